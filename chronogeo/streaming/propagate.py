@@ -8,13 +8,13 @@ delete removes the feature (its links only with `cascade`).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chronogeo.functions import geometry as G
 from chronogeo.operators.features import kind_value
-from chronogeo.operators.skew import previous_in_group
+from chronogeo.operators.skew import last_before, previous_in_group
 from chronogeo.schema import FEATURE_SOURCES, FEATURES
 from chronogeo.sources import snapshots as S
 
@@ -88,24 +88,16 @@ def _update_outcomes(rows: DataFrame, known: DataFrame) -> DataFrame:
     return state.select("identifier", "seq", "op", F.when(alive, "applied").otherwise("noop").alias("outcome"))
 
 
-def last_before(df: DataFrame, key: str, order: str, value: str, out: str, chunks: int = 64) -> DataFrame:
-    """Last non-NULL `value` at or before each row, per `key`, with chunked windows."""
-    from pyspark.sql import Window
+def _last_deletes(changes: DataFrame) -> DataFrame:
+    return changes.filter("op = 'D'").groupBy("identifier").agg(F.max("seq").alias("_last_d"))
 
-    from chronogeo.operators.skew import chunk_of, order_limits
 
-    cells = df.withColumn("_chunk", chunk_of(F.col(order), order_limits(df, order, chunks)))
-    inner = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn(out, F.last(value, ignorenulls=True).over(inner))
-    ends = cells.groupBy(key, "_chunk").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_end"))
-    outer = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(outer)).drop("_end")
-    return cells.join(ends, [key, "_chunk"]).withColumn(out, F.coalesce(out, "_carry")).drop("_chunk", "_carry")
-
-
-def accepted_links(changes: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """(identifier, source) of the true flags of accepted inserts."""
+def accepted_links(changes: DataFrame, outcomes: DataFrame, cascade: bool = False) -> DataFrame:
+    """(identifier, source) of the true flags of accepted inserts; with `cascade` only of those still alive."""
     accepted = outcomes.filter("op = 'I' and outcome = 'applied'").select("identifier", "seq")
+    if cascade:
+        accepted = accepted.join(_last_deletes(changes), "identifier", "left").filter(
+            F.col("_last_d").isNull() | (F.col("seq") > F.col("_last_d"))).drop("_last_d")
     inserts = changes.filter("op = 'I'").select("identifier", "seq", "flags").join(accepted, ["identifier", "seq"], "left_semi")
     pairs = inserts.select("identifier", F.explode("flags").alias("source", "present"))
     return pairs.filter("present").select("identifier", "source").distinct()
@@ -118,12 +110,11 @@ def apply_changes(features: DataFrame, feature_sources: DataFrame, changes: Data
     untouched = features.join(final.select("identifier"), "identifier", "left_anti")
     new_features = untouched.select(*FEATURE_COLUMNS).unionByName(final.filter("alive").select(*FEATURE_COLUMNS))
     outcomes = change_outcomes(changes, features)
-    links = accepted_links(changes, outcomes)
-    links = links.join(feature_sources.select("identifier", "source"), ["identifier", "source"], "left_anti")
-    new_sources = feature_sources.select("identifier", "source").unionByName(links)
+    links = accepted_links(changes, outcomes, cascade)
+    kept = feature_sources.select("identifier", "source")
     if cascade:
-        dead = final.filter(~F.col("alive")).select("identifier")
-        new_sources = new_sources.join(dead, "identifier", "left_anti")
+        kept = kept.join(_last_deletes(changes).select("identifier"), "identifier", "left_anti")
+    new_sources = kept.unionByName(links.join(kept, ["identifier", "source"], "left_anti"))
     return new_features, new_sources, outcomes
 
 
@@ -191,6 +182,6 @@ def change_roundtrip(layers: DataFrame, features: DataFrame, feature_sources: Da
     out = probes.select("identifier").distinct()
     for upto, name, check in ((1, "after_insert", None), (2, "after_update", "MULTIPOLYGON(((0 0,2 0,2 2,0 2,0 0)))"), (3, "after_delete", None)):
         feats, _, _ = apply_changes(features, feature_sources, probes.filter(F.col("seq") <= upto))
-        hit: Column = F.lit(True) if check is None else F.col("geometry") == check
+        hit = F.lit(True) if check is None else F.col("geometry") == check
         out = out.join(feats.select("identifier", hit.alias(name)), "identifier", "left")
     return out.select("identifier", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("after_insert", "after_update", "after_delete")])

@@ -6,6 +6,7 @@ definitions as CTEs, written independently for the comparison engine.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,9 @@ from chronogeo.functions import geometry as G
 from chronogeo.functions.years import parse_years_range
 from chronogeo.operators.graph import TRIPLE_COLUMNS
 from chronogeo.schema import VOCAB as V
-from chronogeo.session import prepare
+from chronogeo.session import prepare, scratch_root
+from chronogeo.sources.readers import read_triples
+from chronogeo.sources.writers import write_triples
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -357,6 +360,19 @@ def prov_graph(spark, sf) -> DataFrame:
     return _all(parts)
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark, sf, view) -> DataFrame:
+    """A graph as a user keeps it: parquet partitioned by predicate, written once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf, view.__name__)
+    if key not in _STORED:
+        path = f"{scratch_root(spark)}/checks/{uuid.uuid4().hex}"
+        write_triples(view(spark, sf), path)
+        _STORED[key] = path
+    return read_triples(spark, _STORED[key])
+
+
 # ---------------------------------------------------------------- edits
 
 def edits(spark, sf) -> DataFrame:

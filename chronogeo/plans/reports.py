@@ -37,20 +37,21 @@ def mismatch_kinds(mismatches: DataFrame) -> DataFrame:
 def with_prefix(df: DataFrame, prefixes: DataFrame, how: str = "startswith", key: str = "identifier") -> DataFrame:
     """Join ids with prefixes; `like` keeps the pattern meaning of `_`, `startswith` does not.
 
-    Matching is an equality on the leading characters, one branch per prefix
-    length, instead of comparing every id with every prefix.
+    Matching is an equality on the characters before the first wildcard, one
+    branch per prefix shape, instead of comparing every id with every prefix.
     """
-    lengths = [r["n"] for r in prefixes.select(F.length("prefix").alias("n")).distinct().collect()]
-    ids = df.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])))
-    cut_id = F.substring(F.col(key), F.lit(1), F.col("_n"))
-    if how == "startswith":
-        ids = ids.withColumn("_head", cut_id)
-        keyed = prefixes.select("prefix", F.col("prefix").alias("_head"))
-        return ids.join(keyed, "_head").drop("_n", "_head")
-    ids = ids.withColumn("_head", F.split(cut_id, "_")[0]).withColumn("_cut", cut_id)
-    keyed = prefixes.select("prefix", F.split("prefix", "_")[0].alias("_head"))
-    return ids.join(keyed, "_head").filter(
-        (F.length("_cut") == F.length("prefix")) & F.expr("_cut like prefix")).drop("_n", "_head", "_cut")
+    wild = F.regexp_instr("prefix", F.lit("[_%]"))
+    head = F.when((F.lit(how) == "like") & (wild > 0), wild - 1).otherwise(F.length("prefix"))
+    shapes = prefixes.select(F.length("prefix").alias("n"), head.alias("h")).distinct().collect()
+    pairs = F.array(*[F.struct(F.lit(r["n"]).alias("n"), F.lit(r["h"]).alias("h")) for r in shapes])
+    ids = df.withColumn("_shape", F.explode(pairs)).withColumn("_head", F.substring(F.col(key), F.lit(1), F.col("_shape.h")))
+    keyed = prefixes.select("prefix", F.struct(F.length("prefix").alias("n"), head.alias("h")).alias("_shape")).withColumn(
+        "_head", F.substring("prefix", F.lit(1), F.col("_shape.h")))
+    out = ids.join(keyed, ["_shape", "_head"])
+    if how == "like":
+        cut_id = F.substring(F.col(key), F.lit(1), F.col("_shape.n"))
+        out = out.withColumn("_cut", cut_id).filter("_cut like prefix").drop("_cut")
+    return out.drop("_shape", "_head")
 
 
 def production_counts(features: DataFrame, prefixes: DataFrame, how: str = "startswith") -> DataFrame:

@@ -61,9 +61,9 @@ _CHAIN = with_views("tree", recursive=True) + f""", named AS (SELECT k, parent,
 
 
 @check(_CHAIN.format(depth=7) + """, src AS (SELECT p_partkey AS k, p_name AS title, p_size, p_brand FROM part UNION SELECT p_partkey, p_brand, p_size, p_brand FROM part WHERE p_size > 45),
- loc AS (SELECT k, CASE WHEN p_size = 7 THEN '' WHEN p_size > 5 THEN ' ' || path WHEN p_size < 9 THEN ' Bib ' || p_brand ELSE '' END AS at, title, p_size, p_brand FROM src JOIN path USING (k)),
+ loc AS (SELECT k, CASE WHEN p_size = 7 THEN '' WHEN p_size > 5 THEN ' ' || path WHEN p_size < 9 THEN ' Bib ' || p_brand ELSE '' END AS whr, title, p_size, p_brand FROM src JOIN path USING (k)),
  alt AS (SELECT * FROM loc UNION ALL SELECT k, '', title, p_size, p_brand FROM loc WHERE p_size > 30)
- SELECT DISTINCT 'x:source/' || k AS item, title || at || CASE WHEN p_size > 20 THEN ' Isola ' || p_brand ELSE '' END || CASE WHEN p_size > 10 THEN ' ' || (1500 + p_size) ELSE '' END AS label FROM alt""")
+ SELECT DISTINCT 'x:source/' || k AS item, title || whr || CASE WHEN p_size > 20 THEN ' Isola ' || p_brand ELSE '' END || CASE WHEN p_size > 10 THEN ' ' || (1500 + p_size) ELSE '' END AS label FROM alt""")
 def search_terms_primary_source(spark, sf):
     return S.search_terms(v.stored(spark, sf, v.source_graph), "primary_source").select("item", "label")
 

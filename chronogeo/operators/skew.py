@@ -26,9 +26,10 @@ def chunk_of(column: Column, limits: list) -> Column:
     return F.size(F.filter(F.array(*[F.lit(v) for v in limits]), lambda v: v <= column))
 
 
-def previous_in_group(df: DataFrame, key: str, order: str, value: str, out: str, chunks: int = 64) -> DataFrame:
+def previous_in_group(df: DataFrame, key: str, order: str, value: str, out: str, chunks: int = 64,
+                      limits: list | None = None) -> DataFrame:
     """`value` of the row before, per `key` in `order`; NULL on the first row. `order` is unique per key."""
-    limits = order_limits(df, order, chunks)
+    limits = order_limits(df, order, chunks) if limits is None else limits
     cells = df.withColumn("_chunk", chunk_of(F.col(order), limits))
     inner = Window.partitionBy(key, "_chunk").orderBy(order)
     cells = cells.withColumn(out, F.lag(value).over(inner)).withColumn("_first", F.row_number().over(inner) == 1)
@@ -41,9 +42,11 @@ def previous_in_group(df: DataFrame, key: str, order: str, value: str, out: str,
         "_chunk", "_first", "_k", "_c", "_carry")
 
 
-def last_before(df: DataFrame, key: str, order: str, value: str, out: str, chunks: int = 64) -> DataFrame:
+def last_before(df: DataFrame, key: str, order: str, value: str, out: str, chunks: int = 64,
+                limits: list | None = None) -> DataFrame:
     """Last non-NULL `value` at or before each row, per `key`, with chunked windows."""
-    cells = df.withColumn("_chunk", chunk_of(F.col(order), order_limits(df, order, chunks)))
+    limits = order_limits(df, order, chunks) if limits is None else limits
+    cells = df.withColumn("_chunk", chunk_of(F.col(order), limits))
     inner = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     cells = cells.withColumn(out, F.last(value, ignorenulls=True).over(inner))
     ends = cells.groupBy(key, "_chunk").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_end"))

@@ -84,35 +84,50 @@ def read_layer_tsv(spark: SparkSession, path: str, id_col: str = "identifier", g
         for c in raw.columns])
 
 
-_TERM = r'(<[^>]*>|_:\S+|"(?:[^"\\]|\\.)*"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)'
-_LINE = rf'^\s*(<[^>]*>|_:\S+)\s+(<[^>]*>)\s+{_TERM}\s*(<[^>]*>|_:\S+)?\s*\.\s*(?:#.*)?$'
+_HEAD = r"^\s*(<[^>]*>|_:\S+)\s+(<[^>]*>)\s+"
+_TAIL = r"^(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?\s*(<[^>]*>|_:\S+)?\s*\.\s*$"
+_NODE = r"^(<[^>]*>|_:\S+)\s*(<[^>]*>|_:\S+)?\s*\.\s*$"
 
 
 def parse_nquads(lines: DataFrame, column: str = "value") -> DataFrame:
-    """N-Triples or N-Quads lines to triples; blank lines and comments are skipped."""
+    """N-Triples or N-Quads lines to triples; blank lines and comment lines are skipped.
+
+    A literal ends at the last quote of its line, so no pattern has to walk
+    through the text, however long it is.
+    """
     line = F.col(column)
 
     def iri(text: Column) -> Column:
         return F.regexp_replace(text, r"^<|>$", "")
 
-    raw = lines.filter(line.rlike(_LINE)).select(
-        F.nullif(iri(F.regexp_extract(line, _LINE, 4)), F.lit("")).alias("g"),
-        iri(F.regexp_extract(line, _LINE, 1)).alias("s"),
-        iri(F.regexp_extract(line, _LINE, 2)).alias("p"),
-        F.regexp_extract(line, _LINE, 3).alias("_o"))
-    literal = F.startswith(F.col("_o"), F.lit('"'))
-    quoted = F.regexp_extract("_o", r'(?s)^"(.*)"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?$', 1)
+    def blank(text: Column) -> Column:
+        return F.nullif(text, F.lit(""))
+
+    raw = lines.filter(line.rlike(_HEAD)).select(
+        iri(F.regexp_extract(line, _HEAD, 1)).alias("s"),
+        iri(F.regexp_extract(line, _HEAD, 2)).alias("p"),
+        F.regexp_replace(line, _HEAD, "").alias("_rest"))
+    rest = F.col("_rest")
+    literal = F.startswith(rest, F.lit('"'))
+    last = F.length(rest) - F.instr(F.reverse(rest), '"') + 1
+    parts = raw.select(
+        "s", "p", literal.alias("_lit"),
+        F.when(literal, F.substring(rest, F.lit(2), last - 2)).alias("_text"),
+        F.when(literal, F.substring(rest, last + 1, F.length(rest))).otherwise(rest).alias("_tail"))
     # a marker keeps escaped backslashes apart while the other escapes are read
-    plain = F.replace(quoted, F.lit("\\\\"), F.lit("\u0001"))
+    plain = F.replace(F.col("_text"), F.lit("\\\\"), F.lit("\u0001"))
     for code, char in (('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
         plain = F.replace(plain, F.lit(code), F.lit(char))
     plain = F.replace(plain, F.lit("\u0001"), F.lit("\\"))
-    return raw.select(
-        "g", "s", "p",
-        F.when(literal, plain).otherwise(iri(F.col("_o"))).alias("o"),
-        F.when(literal, "literal").otherwise("iri").alias("o_type"),
-        F.when(literal, F.nullif(F.regexp_extract("_o", r'"@([A-Za-z0-9-]+)$', 1), F.lit(""))).alias("lang"),
-        F.when(literal, F.nullif(F.regexp_extract("_o", r'"\^\^<([^>]*)>$', 1), F.lit(""))).alias("dtype"))
+    lit, tail = F.col("_lit"), F.col("_tail")
+    good = F.when(lit, tail.rlike(_TAIL)).otherwise(tail.rlike(_NODE))
+    return parts.filter(good).select(
+        blank(iri(F.when(lit, F.regexp_extract(tail, _TAIL, 3)).otherwise(F.regexp_extract(tail, _NODE, 2)))).alias("g"),
+        "s", "p",
+        F.when(lit, plain).otherwise(iri(F.regexp_extract(tail, _NODE, 1))).alias("o"),
+        F.when(lit, "literal").otherwise("iri").alias("o_type"),
+        F.when(lit, blank(F.regexp_extract(tail, _TAIL, 1))).alias("lang"),
+        F.when(lit, blank(F.regexp_extract(tail, _TAIL, 2))).alias("dtype"))
 
 
 def read_nquads(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,8 @@ One writer per root at a time.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +40,22 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], _COMMIT)
 
 
-def last_batch(spark: SparkSession, root: str) -> int | None:
-    return commits(spark, root).agg(F.max("batch_id")).first()[0]
+class BucketState(NamedTuple):
+    """Latest version, last stream batch and the current data folder of every bucket."""
+
+    version: int
+    batch_id: int | None
+    paths: dict[int, str]
+
+
+def current_state(spark: SparkSession, root: str) -> BucketState:
+    """Read the log once; as many rows reach the driver as there are buckets."""
+    rows = commits(spark, root).groupBy("bucket").agg(
+        F.max("version").alias("version"), F.max("batch_id").alias("batch_id"), F.max_by("path", "version").alias("path")).collect()
+    batches = [r["batch_id"] for r in rows if r["batch_id"] is not None]
+    return BucketState(
+        max((r["version"] for r in rows), default=0), max(batches, default=None),
+        {r["bucket"]: r["path"] for r in rows if r["bucket"] is not None and r["bucket"] >= 0})
 
 
 def _log(spark: SparkSession, root: str, rows: list[tuple]) -> None:
@@ -67,13 +83,15 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(row["path"])
 
 
-def commit_buckets(tables: dict[str, DataFrame], root: str, touched: list[int], batch_id: int | None = None) -> int:
+def commit_buckets(tables: dict[str, DataFrame], root: str, touched: list[int], batch_id: int | None = None,
+                   version: int | None = None) -> int:
     """Rewrite the touched buckets of several tables under one commit.
 
-    Each table has a `bucket` column. An emptied bucket is logged without a path.
+    Each table has a `bucket` column. `version` is the one the caller read. A
+    commit that touches nothing is logged too, so its batch id is known.
     """
     spark = next(iter(tables.values())).sparkSession
-    version = (commits(spark, root).agg(F.max("version")).first()[0] or 0) + 1
+    version = (current_state(spark, root).version if version is None else version) + 1
     base = f"{root}/data/{version}-{uuid.uuid4().hex}"
     for name, df in tables.items():
         df.repartition("bucket").write.partitionBy("bucket").parquet(f"{base}/{name}")
@@ -81,22 +99,14 @@ def commit_buckets(tables: dict[str, DataFrame], root: str, touched: list[int],
     return version
 
 
-def read_buckets(spark: SparkSession, root: str, name: str, schema: T.StructType, only: list[int] | None = None) -> DataFrame:
-    """Current rows of one bucketed table, with its `bucket` column.
-
-    The log holds one row per bucket and commit; the list of current folders is
-    bounded by the number of buckets. Files are found through partition pruning.
-    """
-    log = commits(spark, root).filter(F.col("bucket") >= 0)
-    if only is not None:
-        log = log.filter(F.col("bucket").isin(only))
-    current = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
+def read_buckets(spark: SparkSession, state: BucketState, name: str, schema: T.StructType, only: list[int] | None = None) -> DataFrame:
+    """Current rows of one bucketed table, with its `bucket` column; other folders are pruned."""
     full = T.StructType(list(schema) + [T.StructField("bucket", T.IntegerType())])
     by_path: dict[str, list[int]] = {}
-    for row in current:
-        by_path.setdefault(row["path"], []).append(row["bucket"])
-    out = spark.createDataFrame([], full)
-    for path, buckets in sorted(by_path.items()):
-        part = spark.read.schema(full).parquet(f"{path}/{name}").filter(F.col("bucket").isin(buckets))
-        out = out.unionByName(part)
-    return out
+    for bucket, path in state.paths.items():
+        if only is None or bucket in only:
+            by_path.setdefault(path, []).append(bucket)
+    parts = [
+        spark.read.schema(full).parquet(f"{path}/{name}").filter(F.col("bucket").isin(buckets))
+        for path, buckets in sorted(by_path.items())]
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else spark.createDataFrame([], full)

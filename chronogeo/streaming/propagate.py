@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chronogeo.functions import geometry as G
 from chronogeo.operators.features import kind_value
-from chronogeo.operators.skew import last_before, previous_in_group
+from chronogeo.operators.skew import last_before, order_limits, previous_in_group
 from chronogeo.schema import FEATURE_SOURCES, FEATURES
 from chronogeo.sources import snapshots as S
 
@@ -61,31 +61,37 @@ def fold_changes(changes: DataFrame, features: DataFrame, dst_srid: int | None =
         F.col("_base").isNotNull().alias("alive"))
 
 
-def change_outcomes(changes: DataFrame, features: DataFrame) -> DataFrame:
-    """(identifier, seq, op, outcome) per edit: applied, rejected (insert of an existing id) or noop.
+def turn_outcomes(changes: DataFrame, features: DataFrame, limits: list | None = None) -> DataFrame:
+    """(identifier, seq, op, outcome) of inserts and deletes: applied, rejected or noop.
 
     Whether an identifier exists at an edit is decided by the insert or delete
     before it; that look-back is chunked, so no identifier is replayed in one task.
     """
-    rows = _prepared(changes, None).select("identifier", "seq", "op")
-    turns = previous_in_group(rows.filter("op <> 'U'"), "identifier", "seq", "op", "_prev")
+    rows = _prepared(changes, None).select("identifier", "seq", "op").filter("op <> 'U'")
+    turns = previous_in_group(rows, "identifier", "seq", "op", "_prev", limits=limits)
     known = features.select("identifier", F.lit(True).alias("_known"))
-    turns = turns.join(known, "identifier", "left")
     before = F.coalesce(F.col("_prev") == "I", F.col("_known"), F.lit(False))
     outcome = (
         F.when(F.col("op") == "I", F.when(before, "rejected").otherwise("applied"))
         .otherwise(F.when(before, "applied").otherwise("noop")))
-    decided = turns.select("identifier", "seq", "op", outcome.alias("outcome"))
-    return decided.unionByName(_update_outcomes(rows, known))
+    return turns.join(known, "identifier", "left").select("identifier", "seq", "op", outcome.alias("outcome"))
 
 
-def _update_outcomes(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Updates only: carry the last insert or delete forward, chunk by chunk."""
+def update_outcomes(changes: DataFrame, features: DataFrame, limits: list | None = None) -> DataFrame:
+    """The same for updates: applied when the identifier exists at that point, else noop."""
+    rows = _prepared(changes, None).select("identifier", "seq", "op")
     turned = rows.withColumn("_turn", F.when(F.col("op") != "U", F.struct("seq", "op")))
-    state = last_before(turned, "identifier", "seq", "_turn", "_state").filter("op = 'U'")
-    state = state.join(known, "identifier", "left")
+    state = last_before(turned, "identifier", "seq", "_turn", "_state", limits=limits).filter("op = 'U'")
+    known = features.select("identifier", F.lit(True).alias("_known"))
     alive = F.coalesce(F.col("_state.op") == "I", F.col("_known"), F.lit(False))
-    return state.select("identifier", "seq", "op", F.when(alive, "applied").otherwise("noop").alias("outcome"))
+    return state.join(known, "identifier", "left").select(
+        "identifier", "seq", "op", F.when(alive, "applied").otherwise("noop").alias("outcome"))
+
+
+def change_outcomes(changes: DataFrame, features: DataFrame, limits: list | None = None) -> DataFrame:
+    """(identifier, seq, op, outcome) of every edit."""
+    limits = order_limits(changes, "seq") if limits is None else limits
+    return turn_outcomes(changes, features, limits).unionByName(update_outcomes(changes, features, limits))
 
 
 def _last_deletes(changes: DataFrame) -> DataFrame:
@@ -109,13 +115,13 @@ def apply_changes(features: DataFrame, feature_sources: DataFrame, changes: Data
     final = fold_changes(changes, features, dst_srid)
     untouched = features.join(final.select("identifier"), "identifier", "left_anti")
     new_features = untouched.select(*FEATURE_COLUMNS).unionByName(final.filter("alive").select(*FEATURE_COLUMNS))
-    outcomes = change_outcomes(changes, features)
-    links = accepted_links(changes, outcomes, cascade)
+    limits = order_limits(changes, "seq")
+    links = accepted_links(changes, turn_outcomes(changes, features, limits), cascade)
     kept = feature_sources.select("identifier", "source")
     if cascade:
         kept = kept.join(_last_deletes(changes).select("identifier"), "identifier", "left_anti")
     new_sources = kept.unionByName(links.join(kept, ["identifier", "source"], "left_anti"))
-    return new_features, new_sources, outcomes
+    return new_features, new_sources, change_outcomes(changes, features, limits)
 
 
 # ---------------------------------------------------------------- stream
@@ -129,27 +135,28 @@ def init_tables(features: DataFrame, feature_sources: DataFrame, root: str, buck
     S.commit_buckets(tables, root, list(range(buckets)))
 
 
-def read_tables(spark: SparkSession, root: str, only: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
-    return (S.read_buckets(spark, root, "features", FEATURES, only),
-            S.read_buckets(spark, root, "feature_sources", FEATURE_SOURCES, only))
+def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    now = S.current_state(spark, root)
+    return (S.read_buckets(spark, now, "features", FEATURES), S.read_buckets(spark, now, "feature_sources", FEATURE_SOURCES))
 
 
 def propagate_batch(changes: DataFrame, batch_id: int, root: str, buckets: int = 64, cascade: bool = False,
                     dst_srid: int | None = None) -> None:
     """Apply one micro-batch to the buckets it touches; a batch id that is already in the log does nothing."""
     spark = changes.sparkSession
-    done = S.last_batch(spark, root)
-    if done is not None and batch_id <= done:
+    now = S.current_state(spark, root)
+    if now.batch_id is not None and batch_id <= now.batch_id:
         return
-    changes = changes.withColumn("_bucket", S.bucket_of("identifier", buckets)).persist()
+    bucket = S.bucket_of("identifier", buckets)
+    changes = changes.filter("identifier is not null").persist()
     try:
         # at most `buckets` numbers reach the driver
-        touched = sorted(r["_bucket"] for r in changes.filter("identifier is not null").select("_bucket").distinct().collect())
-        features, links = read_tables(spark, root, touched)
+        touched = sorted(r["b"] for r in changes.select(bucket.alias("b")).distinct().collect())
+        features = S.read_buckets(spark, now, "features", FEATURES, touched)
+        links = S.read_buckets(spark, now, "feature_sources", FEATURE_SOURCES, touched)
         new_features, new_links, _ = apply_changes(features, links, changes, cascade, dst_srid)
-        bucket = S.bucket_of("identifier", buckets)
         S.commit_buckets({"features": new_features.withColumn("bucket", bucket),
-                          "feature_sources": new_links.withColumn("bucket", bucket)}, root, touched, batch_id)
+                          "feature_sources": new_links.withColumn("bucket", bucket)}, root, touched, batch_id, now.version)
     finally:
         changes.unpersist()
 

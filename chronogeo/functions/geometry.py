@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 GEOMETRY_TYPE = "array<array<array<struct<x:double,y:double>>>>"
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate `value` once per row or element and hand it to `body`."""
+    return F.transform(F.array(value), body)[0]
+
+
 # ---------------------------------------------------------------- text in / out
 
 def wkt_srid(wkt: Column) -> Column:
@@ -25,30 +30,32 @@ def wkt_srid(wkt: Column) -> Column:
 
 
 def parse_wkt(wkt: Column) -> Column:
-    """POLYGON / MULTIPOLYGON text, with or without an SRID prefix."""
+    """POLYGON / MULTIPOLYGON text, with or without an SRID prefix.
+
+    White space is normalised once per text; after that every split is on one
+    plain character, which needs no pattern per vertex.
+    """
     body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*\(+\s*", ""), r"\s*\)+\s*$", "")
+    body = F.regexp_replace(F.regexp_replace(body, r"\s*([(),])\s*", "$1"), r"\s+", " ")
+    marked = F.replace(F.replace(body, F.lit(")),(("), F.lit("|")), F.lit("),("), F.lit(";"))
 
     def point(text: Column) -> Column:
-        xy = F.split(F.trim(text), r"\s+")
+        xy = F.split(text, " ")
         return F.struct(
             F.get(xy, F.lit(0)).try_cast("double").alias("x"),
             F.get(xy, F.lit(1)).try_cast("double").alias("y"),
         )
 
-    def ring(text: Column) -> Column:
-        return F.transform(F.split(text, ","), point)
-
-    def part(text: Column) -> Column:
-        return F.transform(F.split(text, r"\)\s*,\s*\("), ring)
-
-    parts = F.transform(F.split(body, r"\)\s*\)\s*,\s*\(\s*\("), part)
+    parts = F.transform(F.split(marked, r"\|"), lambda part: F.transform(
+        F.split(part, ";"), lambda ring: F.transform(F.split(ring, ","), point)))
     return F.when(wkt.contains("("), parts).when(wkt.isNotNull(), F.from_json(F.lit("[]"), GEOMETRY_TYPE))
 
 
 def number_text(value: Column) -> Column:
     """Plain decimal text: no exponent, no trailing zeros."""
-    text = value.cast("decimal(38,15)").cast("string")
-    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    whole = (F.abs(value) < 1e15) & (value == F.floor(value))
+    digits = value.cast("decimal(38,15)").cast("string")
+    return F.when(whole, value.cast("long").cast("string")).otherwise(F.rtrim(F.rtrim(digits, F.lit("0")), F.lit(".")))
 
 
 def to_wkt(geom: Column) -> Column:
@@ -72,32 +79,35 @@ def geometry_key(geom: Column) -> Column:
 
 # ---------------------------------------------------------------- measures
 
-def _edges(ring: Column) -> Column:
-    n = F.size(ring)
-    return F.zip_with(
-        F.slice(ring, F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(ring, F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")),
-    )
+def _moments(a: Column, mx: Column, my: Column) -> Column:
+    return F.struct(a.alias("a"), mx.alias("mx"), my.alias("my"))
 
 
-def _ring_moments(ring: Column) -> Column:
-    """Twice the signed area and the first moments, relative to the first vertex."""
-    x0, y0 = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+def _ring_moments(ring: Column, hole: Column) -> Column:
+    """Twice the area and the first moments of one ring, positive for a shell and negative for a hole.
 
-    def add(acc: Column, e: Column) -> Column:
-        ax, ay, bx, by = e["ax"] - x0, e["ay"] - y0, e["bx"] - x0, e["by"] - y0
-        cross = ax * by - bx * ay
-        return F.struct(
-            (acc["a"] + cross).alias("a"),
-            (acc["mx"] + (ax + bx) * cross).alias("mx"),
-            (acc["my"] + (ay + by) * cross).alias("my"),
-        )
+    One pass over the points, which are taken relative to the first one: that
+    keeps large coordinates exact and gives the closing edge no weight, so open
+    rings measure like closed ones.
+    """
+    zero = F.lit(0.0)
+    start = F.struct(zero.alias("x"), zero.alias("y"), zero.alias("a"), zero.alias("mx"), zero.alias("my"))
+
+    def around(origin: Column) -> Column:
+        def add(acc: Column, p: Column) -> Column:
+            x, y = p["x"] - origin["x"], p["y"] - origin["y"]
+            cross = acc["x"] * y - x * acc["y"]
+            return F.struct(
+                x.alias("x"), y.alias("y"), (acc["a"] + cross).alias("a"),
+                (acc["mx"] + (acc["x"] + x) * cross).alias("mx"), (acc["my"] + (acc["y"] + y) * cross).alias("my"))
+
+        def signed(m: Column) -> Column:
+            w = F.signum(m["a"]) * F.when(hole, -1.0).otherwise(1.0)
+            return _moments(w * m["a"], w * (m["mx"] + 3 * origin["x"] * m["a"]), w * (m["my"] + 3 * origin["y"] * m["a"]))
+
+        return F.aggregate(ring, start, add, signed)
 
-    m = F.aggregate(_edges(ring), zero, add)
-    return F.transform(F.array(m), lambda m: F.struct(
-        m["a"].alias("a"), (m["mx"] + 3 * x0 * m["a"]).alias("mx"), (m["my"] + 3 * y0 * m["a"]).alias("my")))[0]
+    return _let(F.get(ring, F.lit(0)), around)
 
 
 def measures(geom: Column) -> Column:
@@ -105,24 +115,13 @@ def measures(geom: Column) -> Column:
 
     Select it once under a name and read its fields, so it is evaluated once per row.
     """
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def ring_row(ring: Column, i: Column) -> Column:
-        return F.transform(F.array(_ring_moments(ring)), lambda m: F.transform(
-            F.array(F.when(i == 0, F.signum(m["a"])).otherwise(-F.signum(m["a"]))),
-            lambda w: F.struct((w * m["a"]).alias("a"), (w * m["mx"]).alias("mx"), (w * m["my"]).alias("my")))[0])[0]
-
-    rings = F.flatten(F.transform(geom, lambda part: F.transform(part, ring_row)))
-    total = F.aggregate(
-        rings, zero,
-        lambda acc, m: F.struct(
-            (acc["a"] + m["a"]).alias("a"), (acc["mx"] + m["mx"]).alias("mx"), (acc["my"] + m["my"]).alias("my")),
+    rings = F.flatten(F.transform(geom, lambda part: F.transform(part, lambda ring, i: _ring_moments(ring, i > 0))))
+    three = lambda acc: F.nullif(acc["a"] * 3, F.lit(0.0))
+    return F.aggregate(
+        rings, _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0)),
+        lambda acc, m: _moments(acc["a"] + m["a"], acc["mx"] + m["mx"], acc["my"] + m["my"]),
         lambda acc: F.struct(
-            (acc["a"] / 2).alias("area"),
-            F.when(acc["a"] != 0, acc["mx"] / F.nullif(acc["a"] * 3, F.lit(0.0))).alias("cx"),
-            F.when(acc["a"] != 0, acc["my"] / F.nullif(acc["a"] * 3, F.lit(0.0))).alias("cy")),
-    )
-    return total
+            (acc["a"] / 2).alias("area"), (acc["mx"] / three(acc)).alias("cx"), (acc["my"] / three(acc)).alias("cy")))
 
 
 def area(geom: Column) -> Column:
@@ -169,10 +168,10 @@ def bbox_status(min_x: Column, min_y: Column, max_x: Column, max_y: Column, box)
 
 def _repair_ring(ring: Column) -> Column:
     """Drop repeated neighbours, then close the ring."""
-    kept = F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, F.greatest(i - 1, F.lit(0)))))
-    return F.transform(F.array(kept), lambda k: F.when(
+    kept = F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, i - 1)))
+    return _let(kept, lambda k: F.when(
         (F.size(k) > 0) & (F.get(k, F.lit(0)) != F.get(k, F.size(k) - 1)),
-        F.concat(k, F.slice(k, F.lit(1), F.lit(1)))).otherwise(k))[0]
+        F.concat(k, F.slice(k, F.lit(1), F.lit(1)))).otherwise(k))
 
 
 def repair_rings(geom: Column) -> Column:
@@ -191,8 +190,7 @@ def ring_report(geom: Column) -> Column:
 
     open_rings = F.filter(rings, lambda r: (F.size(r) > 0) & (F.get(r, F.lit(0)) != F.get(r, F.size(r) - 1)))
     repeats = F.aggregate(
-        F.transform(rings, lambda r: F.size(F.filter(
-            r, lambda p, i: (i > 0) & (p == F.get(r, F.greatest(i - 1, F.lit(0))))))),
+        F.transform(rings, lambda r: F.size(F.filter(r, lambda p, i: (i > 0) & (p == F.get(r, i - 1))))),
         F.lit(0), lambda acc, n: acc + n)
     short = F.filter(rings, lambda r: F.size(_repair_ring(r)) < 4)
     return F.struct(
@@ -236,11 +234,6 @@ def _xy(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate `value` once per element and hand it to `body`."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _lonlat_to_mercator(p: Column) -> Column:
     return _xy(F.radians(p["x"]) * WGS84_A, F.log(F.tan(F.radians(p["y"]) / 2 + math.pi / 4)) * WGS84_A)
 

@@ -128,10 +128,15 @@ def term(s: Column, p: str, o: Column, o_type: str = "iri", lang: Column | None
         F.lit(dtype).cast("string").alias("dtype"))
 
 
-def construct(bindings: DataFrame, template: list[Column]) -> DataFrame:
-    """Template rows of every binding; rows with an unbound subject or object are left out."""
+def construct(bindings: DataFrame, template: list[Column], unique: bool = False) -> DataFrame:
+    """Template rows of every binding; rows with an unbound subject or object are left out.
+
+    `unique` says that no two bindings make the same triple, which saves the
+    shuffle of a distinct. Minted IRIs are best bound as columns before.
+    """
     rows = bindings.select(F.inline(F.array(*template)))
-    return rows.filter(F.col("s").isNotNull() & F.col("o").isNotNull()).select(*TRIPLE_COLUMNS).distinct()
+    rows = rows.filter(F.col("s").isNotNull() & F.col("o").isNotNull()).select(*TRIPLE_COLUMNS)
+    return rows if unique else rows.distinct()
 
 
 def _same_triple(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
@@ -169,29 +174,29 @@ def delete_nodes(triples: DataFrame, nodes: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- reachability
 
-def closure(links: DataFrame, max_depth: int = 1000, acyclic: bool = False) -> DataFrame:
+def closure(links: DataFrame, max_rounds: int = 40, acyclic: bool = False) -> DataFrame:
     """(s, o, depth): every node reachable from `s` and the shortest distance; `s` itself at 0.
 
-    Frontier by frontier. Pairs seen before are dropped, so cycles end the loop;
-    with `acyclic=True` that comparison is saved and depth is minimised at the end.
+    Distances double per round: pairs nearer than 2^k are joined with the links
+    of exactly 2^k steps, so a chain of depth d takes about log2(d) rounds. Known
+    pairs are dropped, and a round without new pairs ends the loop, also on
+    cycles; `acyclic=True` saves that comparison and minimises once at the end.
     Each round is written to the shared folder, so the plan does not grow.
     """
-    links = cut(links.select("s", "o").filter(F.col("o").isNotNull()).distinct())
-    nodes = links.select("s").unionByName(links.select(F.col("o").alias("s"))).distinct()
-    pairs = cut(nodes.select("s", F.col("s").alias("o"), F.lit(0).alias("depth")))
-    rounds, frontier = [pairs], pairs
-    step = links.select(F.col("s").alias("o"), F.col("o").alias("_up"))
-    for depth in range(1, max_depth + 1):
-        grown = frontier.join(step, "o").select("s", F.col("_up").alias("o"), F.lit(depth).alias("depth")).distinct()
+    jump = cut(links.select("s", "o").filter(F.col("o").isNotNull()).distinct())
+    nodes = jump.select("s").unionByName(jump.select(F.col("o").alias("s"))).distinct()
+    near = cut(nodes.select("s", F.col("s").alias("o"), F.lit(0).alias("depth")))
+    for k in range(max_rounds):
+        step = jump.select(F.col("s").alias("o"), F.col("o").alias("_up"))
+        far = near.join(step, "o").select("s", F.col("_up").alias("o"), (F.col("depth") + 2**k).cast("int").alias("depth"))
         if not acyclic:
-            seen = reduce(lambda a, b: a.unionByName(b), rounds).select("s", "o")
-            grown = grown.join(seen, ["s", "o"], "left_anti")
-        frontier = cut(grown)
-        if frontier.isEmpty():
+            far = far.groupBy("s", "o").agg(F.min("depth").alias("depth")).join(near.select("s", "o"), ["s", "o"], "left_anti")
+        far = cut(far)
+        if far.isEmpty():
             break
-        rounds.append(frontier)
-    out = reduce(lambda a, b: a.unionByName(b), rounds)
-    return out.groupBy("s", "o").agg(F.min("depth").alias("depth")) if acyclic else out
+        near = near.unionByName(far)
+        jump = cut(jump.join(step.withColumnRenamed("o", "_mid"), F.col("o") == F.col("_mid")).select("s", F.col("_up").alias("o")).distinct())
+    return near.groupBy("s", "o").agg(F.min("depth").alias("depth")) if acyclic else near
 
 
 def ancestor_counts(pairs: DataFrame) -> DataFrame:
@@ -211,15 +216,16 @@ def ancestor_chain(nodes: DataFrame, links: DataFrame, labels: DataFrame, levels
     Several parents or labels give several paths. Missing labels are skipped,
     the node's own label is blank when it has none.
     """
-    step = links.select(F.col("s").alias("_at"), F.col("o").alias("_up"))
-    name = labels.select(F.col("node").alias("_up"), F.col("label").alias("_name"))
+    # one stored table of (node, parent, parent's label) serves all levels
+    named = links.join(labels.select(F.col("node").alias("o"), F.col("label").alias("_name")), "o", "left")
+    step = cut(named.select(F.col("s").alias("_at"), F.col("o").alias("_up"), "_name").distinct())
     own = labels.select("node", F.col("label").alias("path"))
     out = nodes.select("node").distinct().join(own, "node", "left").withColumn("path", F.coalesce("path", F.lit("")))
     out = out.withColumn("_at", F.col("node"))
     # above a root the key is a value no node has; a shared NULL would pile finished rows on one task
     end = F.concat(F.lit("\u0000"), F.col("node"))
     for _ in range(levels):
-        out = out.join(step, "_at", "left").withColumn("_up", F.coalesce("_up", end)).drop("_at").join(name, "_up", "left")
         head = F.coalesce(F.concat(F.col("_name"), F.lit(", ")), F.lit(""))
-        out = out.select("node", F.concat(head, F.col("path")).alias("path"), F.col("_up").alias("_at"))
+        out = out.join(step, "_at", "left").select(
+            "node", F.concat(head, F.col("path")).alias("path"), F.coalesce("_up", end).alias("_at"))
     return out.select("node", "path").distinct()

@@ -23,7 +23,7 @@ def chunk_of(column: Column, limits: list) -> Column:
     """Number of limits at or below the value."""
     if not limits:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(v) for v in limits]), lambda v: v <= column))
+    return F.size(F.filter(F.expr(f"array({', '.join(str(v) for v in limits)})"), lambda v: v <= column))
 
 
 def previous_in_group(df: DataFrame, key: str, order: str, value: str, out: str, chunks: int = 64,

@@ -56,36 +56,39 @@ def building_triples(buildings: DataFrame, phases: DataFrame, vocab: Vocabulary
     def iri(kind: str, *key):
         return F.concat(F.lit(f"{vocab.base}{kind}/"), X.stable_uuid(F.lit(kind), *key))
 
-    def row(s, p, o, o_type="iri", dtype=None):
-        return R.term(s, p, o, o_type, None, dtype, g)
-
-    base = F.col("base_id")
-    building, changes = iri("builtwork", base), iri("physical_changes", base)
-    ident = F.concat(building, F.lit("/identifier/"), X.stable_uuid(F.lit("identifier"), base))
-    per_building = R.construct(buildings, [
-        row(building, vocab.rdf_type, F.lit(vocab.onto("Building"))),
-        row(building, vocab.label, X.sanitize_label(F.col("name")), "literal"),
-        row(building, vocab.c("P53_has_former_or_current_location"), F.col("island")),
-        row(building, vocab.c("P196i_is_defined_by"), changes),
-        row(ident, vocab.rdf_type, F.lit(vocab.c("E42_Identifier"))),
-        row(ident, vocab.value, base, "literal"),
-        row(building, vocab.c("P1_is_identified_by"), ident),
-        row(changes, vocab.rdf_type, F.lit(vocab.c("E92_Spacetime_Volume"))),
-    ])
-    key = F.col("identifier")
-    presence, span = iri("presence", base, key), iri("timespan", base, key)
-    shape = F.concat(presence, F.lit("/2drepresentation/"), X.stable_uuid(F.lit("2drepresentation"), base, key))
-    per_phase = R.construct(phases.join(buildings.select("base_id"), "base_id", "left_semi"), [
-        row(changes, vocab.c("P166i_had_presence"), presence),
-        row(presence, vocab.rdf_type, F.lit(vocab.c("E93_Presence"))),
-        row(presence, vocab.c("P4_has_time-span"), span),
-        row(presence, vocab.c("P138i_has_representation"), shape),
-        row(span, vocab.rdf_type, F.lit(vocab.c("E52_Time-Span"))),
-        row(span, vocab.c("P82a_begin_of_the_begin"), X.phase_begin(F.col("bob")), "literal", vocab.xsd_date),
-        row(span, vocab.c("P82b_end_of_the_end"), X.phase_end(F.col("eoe")), "literal", vocab.xsd_date),
-        row(shape, vocab.c("P2_has_type"), F.lit(vocab.onto("2d_representation"))),
-        row(shape, vocab.label, key, "literal"),
-    ])
+    def row(s: str, p: str, o, o_type="iri", dtype=None):
+        return R.term(F.col(s), p, o if not isinstance(o, str) else F.col(o), o_type, None, dtype, g)
+
+    base, key = F.col("base_id"), F.col("identifier")
+    # ids are bound once per row; the templates only refer to them
+    heads = buildings.select("base_id", "name", "island", iri("builtwork", base).alias("_b"), iri("physical_changes", base).alias("_c"))
+    heads = heads.withColumn("_i", F.concat("_b", F.lit("/identifier/"), X.stable_uuid(F.lit("identifier"), base)))
+    per_building = R.construct(heads, [
+        row("_b", vocab.rdf_type, F.lit(vocab.onto("Building"))),
+        row("_b", vocab.label, X.sanitize_label(F.col("name")), "literal"),
+        row("_b", vocab.c("P53_has_former_or_current_location"), "island"),
+        row("_b", vocab.c("P196i_is_defined_by"), "_c"),
+        row("_i", vocab.rdf_type, F.lit(vocab.c("E42_Identifier"))),
+        row("_i", vocab.value, "base_id", "literal"),
+        row("_b", vocab.c("P1_is_identified_by"), "_i"),
+        row("_c", vocab.rdf_type, F.lit(vocab.c("E92_Spacetime_Volume"))),
+    ], unique=True)
+    steps = phases.join(buildings.select("base_id"), "base_id", "left_semi").select(
+        "identifier", "bob", "eoe", iri("physical_changes", base).alias("_c"),
+        iri("presence", base, key).alias("_p"), iri("timespan", base, key).alias("_t"),
+        X.stable_uuid(F.lit("2drepresentation"), base, key).alias("_u"))
+    steps = steps.withColumn("_r", F.concat("_p", F.lit("/2drepresentation/"), "_u"))
+    per_phase = R.construct(steps, [
+        row("_c", vocab.c("P166i_had_presence"), "_p"),
+        row("_p", vocab.rdf_type, F.lit(vocab.c("E93_Presence"))),
+        row("_p", vocab.c("P4_has_time-span"), "_t"),
+        row("_p", vocab.c("P138i_has_representation"), "_r"),
+        row("_t", vocab.rdf_type, F.lit(vocab.c("E52_Time-Span"))),
+        row("_t", vocab.c("P82a_begin_of_the_begin"), X.phase_begin(F.col("bob")), "literal", vocab.xsd_date),
+        row("_t", vocab.c("P82b_end_of_the_end"), X.phase_end(F.col("eoe")), "literal", vocab.xsd_date),
+        row("_r", vocab.c("P2_has_type"), F.lit(vocab.onto("2d_representation"))),
+        row("_r", vocab.label, "identifier", "literal"),
+    ], unique=True)
     return per_building.unionByName(per_phase)
 
 

@@ -124,7 +124,7 @@ def event_triples(events: DataFrame, tail: str, vocab: Vocabulary = VOCAB) -> Da
         R.term(ev, vocab.crmdig + "L11_had_output", r),
         R.term(ts, vocab.rdf_type, F.lit(vocab.c("E52_Time-Span"))),
         R.term(ts, vocab.c("P82_at_some_time_within"), F.col("at"), "literal"),
-    ])
+    ], unique=True)
 
 
 def verify_events(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:

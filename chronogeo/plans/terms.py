@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronogeo.functions import text as X
 from chronogeo.operators import graph as R
 from chronogeo.schema import VOCAB, Vocabulary
+from chronogeo.session import cut
 
 CLASSES = {
     "event": "Event",
@@ -107,7 +108,8 @@ def person_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, include_death_on
     By default dates start from births: a death without a birth counts only in a
     graph that has no births at all.
     """
-    names = R.appellations(triples, NAME_KINDS + ["patronymic"], vocab).select("item", "kind", "label").distinct()
+    # read five times below, so it is stored once
+    names = cut(R.appellations(triples, NAME_KINDS + ["patronymic"], vocab).select("item", "kind", "label").distinct())
     rows = open_items(triples, "person", vocab)
     for k in NAME_KINDS:
         rows = R.optional(rows, names.filter(F.col("kind") == k).select("item", F.col("label").alias(k)), "item")
@@ -257,15 +259,18 @@ def search_terms(triples: DataFrame, kind: str, vocab: Vocabulary = VOCAB) -> Da
     return rows.withColumn("node", X.mint_iri(F.col("item"), "search_term", F.col("item"), F.col("label"), F.col("lang")))
 
 
-def term_triples(terms: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
-    """Link, class, type and label of each term; a term without text gets no label row."""
+def term_triples(terms: DataFrame, vocab: Vocabulary = VOCAB, unique: bool = False) -> DataFrame:
+    """Link, class, type and label of each term; a term without text gets no label row.
+
+    `unique`: every row has a node of its own, as in the terms of one kind.
+    """
     item, node = F.col("item"), F.col("node")
     return R.construct(terms, [
         R.term(item, vocab.c("P1_is_identified_by"), node),
         R.term(node, vocab.rdf_type, F.lit(vocab.c("E41_Appellation"))),
         R.term(node, vocab.c("P2_has_type"), F.lit(vocab.kind("search_term"))),
         R.term(node, vocab.label, F.col("label"), "literal", F.col("lang")),
-    ])
+    ], unique)
 
 
 def run_all(triples: DataFrame, vocab: Vocabulary = VOCAB) -> tuple[DataFrame, DataFrame]:

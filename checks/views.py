@@ -17,7 +17,7 @@ from chronogeo.functions import geometry as G
 from chronogeo.functions.years import parse_years_range
 from chronogeo.operators.graph import TRIPLE_COLUMNS
 from chronogeo.schema import VOCAB as V
-from chronogeo.session import prepare, scratch_root
+from chronogeo.session import prepare, scratch_root, spread
 from chronogeo.sources.readers import read_triples
 from chronogeo.sources.writers import write_triples
 
@@ -125,7 +125,7 @@ def registry(spark, sf) -> DataFrame:
 
 def polygons(spark, sf) -> DataFrame:
     """One polygon per order: a box, a box with a hole, or two boxes, as WKT."""
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate"))
     x, y = c("o_custkey"), c("o_orderkey")
     h = F.substring("o_orderpriority", 1, 1).cast("int") + 4
 

@@ -64,3 +64,12 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{scratch_root(spark)}/chronogeo/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for row-wise work on a table that was read as fewer splits than there are cores.
+
+    Large inputs have more splits than cores and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

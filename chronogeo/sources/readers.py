@@ -136,4 +136,4 @@ def read_nquads(spark: SparkSession, path: str) -> DataFrame:
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
     """Triples stored as parquet partitioned by `p`: a pattern reads only its predicates."""
-    return spark.read.schema(TRIPLES).parquet(path)
+    return spark.read.schema(TRIPLES).parquet(path).select(*TRIPLES.fieldNames())

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401 - fills the registry
 from checks import registry
 from checks.run import compare
 from chronogeo import schema
@@ -12,6 +13,7 @@ from chronogeo.plans import buildings as B
 from chronogeo.plans import provenance as PV
 from chronogeo.plans import terms as S
 from chronogeo.schema import VOCAB as V
+from chronogeo.session import cut
 from chronogeo.sources import snapshots
 from chronogeo.streaming import propagate as K
 from tests.conftest import rows
@@ -22,7 +24,7 @@ APP, TYPE, LABEL, P1 = V.c("E41_Appellation"), V.c("P2_has_type"), V.label, V.c(
 def graph(spark, *facts):
     """facts: (s, p, o) for IRIs, (s, p, o, lang) for literals."""
     data = [(None, f[0], f[1], f[2], "literal" if len(f) > 3 else "iri", f[3] if len(f) > 3 else None, None) for f in facts]
-    return spark.createDataFrame(data, schema.TRIPLES)
+    return cut(spark.createDataFrame(data, schema.TRIPLES))
 
 
 def app(item, tail, kind, label, lang=None, typed=True):
@@ -70,7 +72,7 @@ def test_terms_are_idempotent_and_clean_up(spark):
     g = graph(spark, ("g1", V.rdf_type, V.onto("Group")), *app("g1", "n", "appellation", "Monks", typed=False), ("g2", V.rdf_type, V.onto("Group")))
     terms = S.search_terms(g, "group")
     assert rows(terms, "item", "label") == [("g1", "Monks"), ("g2", "")]
-    full = R.add_triples(g, S.term_triples(terms))
+    full = cut(R.add_triples(g, S.term_triples(terms)))
     assert S.open_items(full, "group").count() == 0 and full.count() == g.count() + 8
     assert rows(S.clean_search_terms(full, "group"), "s", "p", "o") == rows(g, "s", "p", "o")
     left, report = S.clean_term_nodes(full, "group")
@@ -126,7 +128,7 @@ def test_archive_paths_with_two_parents_and_a_cycle(spark):
         ("r/c", up, "r/a"), ("r/c", up, "r/b"), ("r/x", up, "r/y"), ("r/y", up, "r/x"))
     got = A.archive_paths(g)
     assert rows(got) == [("r/a", "Radice, AA"), ("r/b", "Radice, Bi"), ("r/c", "Radice, AA, c"), ("r/c", "Radice, Bi, c"), ("r/root", "Radice")]
-    full = R.add_triples(g, A.path_triples(got))
+    full = cut(R.add_triples(g, A.path_triples(got)))
     assert A.archive_paths(full).count() == 0
 
 
@@ -148,16 +150,16 @@ def test_records_and_events(spark):
         gname = "s1/container/context"
         facts += [(gname, e, V.rdf_type, V.prov + "Entity", "iri", None, None), (gname, e, V.prov + "generatedAtTime", at, "literal", None, None),
                   (gname, e, V.prov + "wasAttributedTo", who, "iri", None, None)]
-    g = spark.createDataFrame(facts, schema.TRIPLES)
+    g = cut(spark.createDataFrame(facts, schema.TRIPLES))
     records = PV.form_records(g)
     assert rows(records) == [("s1", "s1/entity_form_record")]
     assert PV.modification_events(g).count() == 0
-    g = R.add_triples(g, PV.record_triples(records))
+    g = cut(R.add_triples(g, PV.record_triples(records)))
     assert PV.form_records(g).count() == 0
     mods, made = PV.modification_events(g), PV.creation_events(g)
     assert rows(mods, "entity", "actor", "at") == [("e1", "u1", "2024-01-02"), ("e2", "u1", "2024-01-01"), ("e3", "u2", "2024-01-01")]
     assert rows(made, "actor", "at") == [("u1", "2024-01-01"), ("u2", "2024-01-01")]
-    g = R.add_triples(R.add_triples(g, PV.event_triples(mods, "modification")), PV.event_triples(made, "creation"))
+    g = cut(R.add_triples(g, PV.event_triples(mods, "modification").unionByName(PV.event_triples(made, "creation"))))
     assert PV.modification_events(g).count() == 0 and PV.creation_events(g).count() == 0
     assert [r["at"] for r in PV.verify_events(g).collect()] == ["2024-01-02"] + ["2024-01-01"] * 4
 
@@ -169,7 +171,7 @@ def test_existing_buildings_are_skipped(spark):
     outcomes, new = B.create_buildings(layer, years, g)
     assert rows(outcomes, "base_id", "outcome") == [("A_1", "skipped"), ("A_2", "inserted")]
     assert new.count() == 8 + 16 + 1
-    again, none = B.create_buildings(layer, years, R.add_triples(g, new))
+    again, none = B.create_buildings(layer, years, cut(R.add_triples(g, new)))
     assert rows(again, "outcome") == [("skipped",), ("skipped",)] and none.count() == 0
     lost, _ = B.create_buildings(layer, years, graph(spark, ("b", P1, "b/id")))
     assert rows(lost, "outcome") == [("error",), ("error",)]

@@ -159,7 +159,7 @@ def phase_years(spark, sf):
 
 @check(_IV + " SELECT base_id, identifier, name, bob, eoe, eoe < bob AS inverted FROM iv")
 def phase_intervals(spark, sf):
-    return PH.phase_intervals(_phases(spark, sf))
+    return B.building_phases(v.plain_layer(spark, sf), v.source_years(spark, sf))[1]
 
 
 @check(_PH + """ SELECT base_id, min_by(name, identifier) AS name, count(bob) AS n_phases, CAST(sum(unknown_sources) AS BIGINT) AS unknown_sources

@@ -183,7 +183,16 @@ def features_in_year(feature_sources: DataFrame, source_years: DataFrame, year:
 
 
 def features_by_year(feature_sources: DataFrame, source_years: DataFrame, years: DataFrame) -> DataFrame:
-    """(year, identifier) for many years: the span join runs on the small dimension only."""
-    active = source_years.join(
-        years.select("year").distinct(), F.col("year").between(F.col("start"), F.col("end"))).select("year", "source")
+    """(year, identifier) for many years.
+
+    The small dimension is unrolled to one row per source and year inside the
+    asked range, so both joins are equalities.
+    """
+    asked = years.select("year").distinct()
+    low, high = asked.agg(F.min("year"), F.max("year")).first()
+    if low is None:
+        return feature_sources.select(F.lit(None).cast(asked.schema["year"].dataType).alias("year"), "identifier").limit(0)
+    begin, end = F.greatest(F.col("start"), F.lit(low)), F.least(F.col("end"), F.lit(high))
+    spans = source_years.filter(begin <= end).select("source", F.explode(F.sequence(begin, end)).alias("year"))
+    active = spans.join(asked, "year", "left_semi")
     return feature_sources.join(active, "source").select("year", "identifier").distinct()

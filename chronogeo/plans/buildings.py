@@ -9,11 +9,15 @@ from chronogeo.functions import text as X
 from chronogeo.operators import graph as R
 from chronogeo.operators import phases as P
 from chronogeo.schema import VOCAB, Vocabulary
+from chronogeo.session import cut
 
 
 def building_phases(layer: DataFrame, source_years: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(buildings, phases) of a long layer."""
-    dated = P.phase_years(layer, source_years)
+    """(buildings, phases) of a long layer.
+
+    The dated identifiers are stored: three aggregates read them, the layer is read once.
+    """
+    dated = cut(P.phase_years(layer, source_years))
     return P.buildings(dated), P.phase_intervals(dated)
 
 

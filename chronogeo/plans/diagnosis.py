@@ -12,6 +12,7 @@ from chronogeo.operators import graph as R
 from chronogeo.operators import periods as P
 from chronogeo.plans.publish import State, update_state
 from chronogeo.schema import VOCAB, Vocabulary
+from chronogeo.session import cut
 
 EXPECTED_OPS = ["insert", "update", "delete"]
 ID_CATEGORIES = ["orphaned_in_production", "orphaned_feature_sources"]
@@ -77,6 +78,11 @@ def structure_issues(layers: dict[str, DataFrame]) -> list[str]:
     return sorted(name for name, df in layers.items() if P.resolve_id_column(df) is None)
 
 
+def layer_keys(layers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored distinct (site, kind, identifier) and (site, kind, source): the checks read these, not the layers."""
+    return (cut(layers.select("site", "kind", "identifier").distinct()), cut(layers.select("site", "kind", "source").distinct()))
+
+
 def diagnose(layers: DataFrame, state: State, registry: DataFrame, rdf: DataFrame | None = None,
              broken_layers: list[str] | None = None) -> DataFrame:
     """(category, table, item, detail): one row per finding, all layers in one job.
@@ -84,13 +90,14 @@ def diagnose(layers: DataFrame, state: State, registry: DataFrame, rdf: DataFram
     `rdf` is (identifier, building); `broken_layers` are layers without an id
     column, which were left out of `layers`.
     """
-    absent = missing_in_production(layers, state.features)
-    names = layers.select(layer_name().alias("table"), "source").filter("source is not null").distinct().join(
+    ids, flags = layer_keys(layers)
+    absent = missing_in_production(ids, state.features)
+    names = flags.select(layer_name().alias("table"), "source").filter("source is not null").distinct().join(
         state.source_years.select("source"), "source", "left_anti")
-    gaps = coverage_audit(layers, registry)
+    gaps = coverage_audit(flags, registry)
     found = [
         _issue(absent, "missing_from_production", F.col("table"), F.col("identifier")),
-        _issue(orphans(state.features, layers), "orphaned_in_production", None, F.col("identifier")),
+        _issue(orphans(state.features, ids), "orphaned_in_production", None, F.col("identifier")),
         _issue(orphans(state.feature_sources, state.features), "orphaned_feature_sources", None, F.col("identifier")),
         _issue(names, "source_name_mismatches", F.col("table"), F.col("source"), F.lit("source is not registered")),
         _issue(gaps, "missing_triggers", layer_name(), F.col("op")),
@@ -131,11 +138,12 @@ def repair(layers: DataFrame, state: State, registry: DataFrame, parse: str = "r
     def note(step: str, delta: DataFrame, item: Column) -> None:
         actions.append(delta.select(F.lit(step).alias("step"), item.alias("item"), F.col("outcome")))
 
-    wired = complete_registry(layers, registry)
+    ids, flags = layer_keys(layers)
+    wired = complete_registry(flags, registry)
     note("registry", wired.delta, F.concat_ws("_", "site", "kind", "op"))
     feats = state.features
     if drop_orphans:
-        gone = orphans(feats, layers)
+        gone = orphans(feats, ids)
         kept = M.delete_keys(feats, gone, ["identifier"])
         note("orphaned features", kept.delta, F.col("identifier"))
         feats = kept.table

@@ -120,13 +120,10 @@ def person_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, include_death_on
         F.min(F.when(F.col("kind") == "patronymic", F.col("label"))).alias("patronymic"))
     rows = R.optional(rows, single, "item")
 
-    births = _year_of(triples, vocab.c("P98i_was_born"), "born", vocab, "E67_Birth").distinct()
+    births = cut(_year_of(triples, vocab.c("P98i_was_born"), "born", vocab, "E67_Birth").distinct())
     deaths = _year_of(triples, vocab.c("P100i_died_in"), "died", vocab, "E69_Death").distinct()
-    dates = births.join(deaths, "item", "full" if include_death_only else "left")
-    if not include_death_only:
-        no_births = births.limit(1).select(F.lit(1).alias("_k"))
-        alone = deaths.withColumn("_k", F.lit(1)).join(F.broadcast(no_births), "_k", "left_anti").drop("_k")
-        dates = dates.unionByName(alone.select("item", F.lit(None).cast("string").alias("born"), "died"))
+    death_only = include_death_only or births.isEmpty()
+    dates = births.join(deaths, "item", "full" if death_only else "left")
     dates = dates.select("item", F.concat(
         F.coalesce("born", F.lit("")), F.coalesce(F.concat(F.lit(" - "), F.col("died")), F.lit(""))).alias("dates"))
     rows = R.optional(rows, dates.distinct(), "item")

@@ -27,19 +27,32 @@ class SiteExport:
     mapping: dict[str, list[str]] = field(default_factory=dict)
 
 
-# Flags and labels of the known sites.
+def _same(*years: str) -> dict[str, str]:
+    return {y: y for y in years}
+
+
+# Flags and labels of the known sites. A site without labels is exported only.
+_NOW, _1982 = {"Today": ["2019"]}, {"1982: Ortofoto": ["1982"]}
+_SECONDO = {
+    **_NOW, **_1982, "1943-45: RAF": ["1945"], "1850: Direzione genio militare": ["1852", "1850"],
+    "1838-41: Censo Stabile, Mappe Austriache - rettifica": ["1839"], "1789": ["1789"], "1697": ["1697"],
+}
+_SECONDO_FLAGS = _same("1500", "1697", "1717", "1789", "1839", "1850", "1852", "1945", "1982", "2019")
 SITES = [
-    SiteExport("madonnadelmonte", "buildings", {"2019": "2019"}, {}, {"Today": ["2019"]}),
-    SiteExport("madonnadelmonte", "islands", {"2019": "2019", "1982": "1982"}, {},
-               {"Today": ["2019"], "1982: Ortofoto": ["1982"]}),
-    SiteExport("sanclemente", "islands", {"1982": "1982", "2019": "2019"}, {"geom": "geometry"},
-               {"Today": ["2019"], "1982: Ortofoto": ["1982"]}),
-    SiteExport("sangiorgioinalga", "buildings", {"2023": "2023"}, {"bw_id": "BW_ID"}, {"Today": ["2023"]}),
-    SiteExport("sangiorgioinalga", "islands",
-               {"2023": "2010-01-01", "1982": "1982-01-01", "1931": "1931-01-01", "1944": "1944-11-09"}, {"bob": "Date"},
-               {"Today": ["2023"], "1982: Ortofoto": ["1982"], "1943-45: RAF": ["1944"], "1931": ["1931"]}),
-    SiteExport("santospirito", "islands", {"1982": "1982", "2019": "2019", "1841": "1841"}, {},
-               {"Today": ["2019"], "1982: Ortofoto": ["1982"]}),
+    SiteExport("madonnadelmonte", "buildings", _same("2019"), {}, _NOW),
+    SiteExport("madonnadelmonte", "islands", _same("1982", "2019"), {}, {**_NOW, **_1982}),
+    SiteExport("sanclemente", "buildings", _same("2019", "1982"), {"geom": "geometry"}, {**_NOW, **_1982}),
+    SiteExport("sanclemente", "islands", _same("1982", "2019"), {"geom": "geometry"}, {**_NOW, **_1982}),
+    SiteExport("sanclemente", "openspaces", _same("2019"), {"geom": "geometry"}, _NOW),
+    SiteExport("sangiorgioinalga", "buildings", _same("2023"), {"bw_id": "BW_ID"}, {"Today": ["2023"]}),
+    SiteExport(
+        "sangiorgioinalga", "islands", {"2023": "2010-01-01", "1982": "1982-01-01", "1931": "1931-01-01", "1944": "1944-11-09"},
+        {"bob": "Date"}, {"Today": ["2023"], **_1982, "1943-45: RAF": ["1944"], "1931": ["1931"]}),
+    SiteExport("sansecondo", "buildings", _SECONDO_FLAGS, {}, _SECONDO),
+    SiteExport("sansecondo", "islands", _SECONDO_FLAGS, {}, _SECONDO),
+    SiteExport("sanservolo", "buildings", _same("2019"), {}, _NOW),
+    SiteExport("santospirito", "buildings", _same("2019")),
+    SiteExport("santospirito", "islands", _same("1982", "2019", "1841")),
 ]
 
 CONTRACT = T.StructType([

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronogeo.functions import geometry as G
 from chronogeo.operators import periods as P
 from chronogeo.schema import META_COLUMNS, TRIPLES
 
@@ -50,6 +51,15 @@ def layer_to_long(df: DataFrame, site: str, kind: str, srid: int = 3857) -> Data
         F.lit(site).alias("site"), F.lit(kind).alias("kind"), "identifier", "name", "srid", "geometry", "source", "present")
 
 
+def seed_layer_row(spark: SparkSession, site: str, kind: str, identifier: str, wkt: str, flags: dict[str, bool],
+                   name: str | None = None) -> DataFrame:
+    """Starter row of a new layer in long form; the SRID comes from the text, 3857 without one."""
+    rows = [(site, kind, identifier, name, wkt, s, p) for s, p in flags.items()]
+    df = spark.createDataFrame(rows, "site string, kind string, identifier string, name string, geometry string, source string, present boolean")
+    srid = F.coalesce(F.nullif(G.wkt_srid(F.col("geometry")), F.lit(0)), F.lit(3857))
+    return df.select("site", "kind", "identifier", "name", srid.alias("srid"), G.to_wkt(G.parse_wkt(F.col("geometry"))).alias("geometry"), "source", "present")
+
+
 def union_layers(layers: dict[tuple[str, str], DataFrame], srid: int = 3857) -> DataFrame:
     """Long form of many wide layers whose flag columns differ."""
     return reduce(lambda a, b: a.unionByName(b), [layer_to_long(df, s, k, srid) for (s, k), df in layers.items()])

@@ -297,6 +297,8 @@ def test_layer_folders_and_tab_files(spark, tmp_path):
     assert rows(readers.read_layer_tsv(spark, str(tmp_path / "tsv"))) == [("A1", True, False, SQUARE)]
     union = readers.union_layers({("n", "buildings"): b, ("n", "islands"): a})
     assert union.count() == 3
+    seed = readers.seed_layer_row(spark, "n", "islands", "A0", "SRID=32633;POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))", {"Today": True, "1982: Ortofoto": False})
+    assert rows(seed, "srid", "geometry", "source", "present") == [(32633, SQUARE, "1982: Ortofoto", False), (32633, SQUARE, "Today", True)]
     assert D.structure_issues({"ok": a, "bad": a.drop("identifier")}) == ["bad"]
 
 

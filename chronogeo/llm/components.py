@@ -17,7 +17,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     joined = both.join(least, "u")
     if large:
         out = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))

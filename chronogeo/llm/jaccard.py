@@ -209,7 +209,7 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90, block: in
     member = cut(tries.select("doc_id", "ord", "n", "da", "db").join(classes, ["n", "da", "db"], "left").drop("da", "db"))
     reps = member.filter("ord = rep").select("ord").distinct()
     nodes = tries.join(reps, "ord", "left_semi").select("ord", F.explode("nodes").alias("node"))
-    shared = nodes.groupBy("node").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last").drop("last")
+    shared = cut(nodes.groupBy("node").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last").drop("last"))
     near = components(cut(nodes.join(shared, "node").filter("ord > lead").select(F.col("ord").alias("a"), F.col("lead").alias("b")).distinct()))
     found = components(_links(keyed, member, near, size, percent, block))
     return (member.join(found.withColumnRenamed("node", "rep"), "rep", "left")

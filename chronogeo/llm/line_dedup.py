@@ -33,12 +33,15 @@ def fingerprints(docs: DataFrame, run: int) -> DataFrame:
 
 
 def later_runs(docs: DataFrame, run: int) -> DataFrame:
-    """(ord, tkey, at): windows whose lines stand at an earlier place of the corpus."""
+    """(ord, tkey, at): windows whose lines stand at an earlier place of the corpus.
+
+    Aggregates are written before they are joined, so that adaptive execution can split a join on a frequent line.
+    """
     windows = cut(fingerprints(docs, run))
     place = F.struct("ord", "at")
-    prints = (windows.groupBy("print").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("print"))
+    prints = cut(windows.groupBy("print").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("print"))
     near = windows.join(prints, "print")
-    earliest = near.groupBy("content").agg(F.min(place).alias("lead"), F.max(place).alias("last")).filter("lead < last")
+    earliest = cut(near.groupBy("content").agg(F.min(place).alias("lead"), F.max(place).alias("last")).filter("lead < last"))
     return (near.join(earliest.select("content", "lead"), "content")
             .filter(F.struct("ord", "at") > F.col("lead")).select("ord", "tkey", "at"))
 

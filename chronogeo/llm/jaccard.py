@@ -7,7 +7,9 @@ found among sets that share a named subtree at the depth their size asks for; sh
 match by themselves, because a subtree mixes n-grams from all over the text.
 
 1. Equal sets become one class, represented by its smallest id.
-2. Sets that share a subtree name are linked to the smallest of them (no pairs), which gives candidate components.
+2. More than that, linked sets agree in all their filled subtrees but k. A set with fewer subtrees that any other set has
+   is linked with nothing and leaves. The others are tied to the smallest set of each subtree name (no pairs), which gives
+   candidate components.
 3. The sets of a component are traversed together: their tries are merged into one index and each set walks it subtree by
    subtree, adding up overlaps with all others at once and stopping when what remains cannot reach the threshold.
    Members already connected aren't compared again. A component too large for one task is dealt into blocks, and each pair
@@ -105,9 +107,11 @@ def _node_batches(size: int, percent: int):
             for salt in (0x11, 0x2357):
                 sums = np.append(np.uint64(0), np.cumsum(arrays.mix(grams ^ np.uint64(salt)), dtype=np.uint64))
                 digest.append((sums[first[1:]] - sums[first[:-1]]).view(np.int64))
+            need = [np.maximum(np.bincount(r, minlength=len(n)) - most_different(n, percent), 1) for r in (a_row, b_row)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": rows.column(0), "ord": rows.column(1), "tkey": rows.column(2), "n": n.astype(np.int64), "da": digest[0], "db": digest[1],
-                "nodes": pa.ListArray.from_arrays(pa.array(lists), pa.array(np.concatenate([a, b])[order].view(np.int64)))})
+                "nodes": pa.ListArray.from_arrays(pa.array(lists), pa.array(np.concatenate([a, b])[order].view(np.int64))),
+                "n_own": np.bincount(a_row, minlength=len(n)).astype(np.int32), "need_own": need[0].astype(np.int32), "need_other": need[1].astype(np.int32)})
 
     return run
 
@@ -204,13 +208,12 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90, block: in
     node of the graph; null ids are one node that comes after all others. Other columns are ignored.
     """
     keyed = with_key(docs)
-    tries = cut(keyed.mapInArrow(_node_batches(size, percent), "doc_id long, ord long, tkey long, n long, da long, db long, nodes array<long>"))
+    tries = cut(keyed.mapInArrow(_node_batches(size, percent), "doc_id long, ord long, tkey long, n long, da long, db long, nodes array<long>, "
+                                 "n_own int, need_own int, need_other int"))
     classes = tries.filter("n > 0").groupBy("n", "da", "db").agg(F.min("ord").alias("rep"))
     member = cut(tries.select("doc_id", "ord", "n", "da", "db").join(classes, ["n", "da", "db"], "left").drop("da", "db"))
     reps = member.filter("ord = rep").select("ord").distinct()
-    nodes = tries.join(reps, "ord", "left_semi").select("ord", F.explode("nodes").alias("node"))
-    shared = cut(nodes.groupBy("node").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last").drop("last"))
-    near = components(cut(nodes.join(shared, "node").filter("ord > lead").select(F.col("ord").alias("a"), F.col("lead").alias("b")).distinct()))
+    near = components(_ties(tries.join(reps, "ord", "left_semi")))
     found = components(_links(keyed, member, near, size, percent, block))
     return (member.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
@@ -218,6 +221,27 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90, block: in
             .select("doc_id", "n_shingles", F.when(F.col("c") < LAST_ID, F.col("c")).alias("component_id")))
 
 
+def _shared(nodes: DataFrame) -> DataFrame:
+    """(node, lead): names that two sets have, and the smallest of these."""
+    return cut(nodes.groupBy("node").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last").select("node", "lead"))
+
+
+def _ties(tries: DataFrame) -> DataFrame:
+    """(a, b): each set that may have links tied to the smallest one with the same subtree."""
+    nodes = (tries.select("ord", "n_own", F.posexplode("nodes").alias("pos", "node"))
+             .select("ord", (F.col("pos") >= F.col("n_own")).alias("other"), "node"))
+    needs = tries.select("ord", F.explode(F.array(
+        F.struct(F.lit(False).alias("other"), F.col("need_own").alias("need")),
+        F.struct(F.lit(True).alias("other"), F.col("need_other").alias("need")))).alias("s")).select("ord", "s.*")
+    for _ in range(2):  # the second time only sets that passed the first count as others
+        nodes = cut(nodes.join(_shared(nodes).select("node"), "node"))
+        enough = (nodes.groupBy("ord", "other").agg(F.count("*").alias("k")).join(needs, ["ord", "other"])
+                  .filter("k >= need").select("ord", "other"))
+        nodes = nodes.join(enough, ["ord", "other"])
+    nodes = cut(nodes)
+    return nodes.join(_shared(nodes), "node").filter("ord > lead").select(F.col("ord").alias("a"), F.col("lead").alias("b")).distinct()
+
+
 def _links(keyed: DataFrame, member: DataFrame, near: DataFrame, size: int, percent: int, block: int) -> DataFrame:
     """(a, b): forests of links within candidate components."""
     sizes = member.filter("ord = rep").groupBy("ord").agg(F.sum("n").alias("n"))

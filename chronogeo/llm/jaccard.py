@@ -252,7 +252,8 @@ def _links(keyed: DataFrame, member: DataFrame, near: DataFrame, size: int, perc
     # With k blocks a set goes to the k pairs that its block is in.
     pair = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda o: F.struct(F.least(o, "own").alias("i"), F.greatest(o, "own").alias("j"))))
     tasks = dealt.select("node", F.col("component").alias("part"), pair.alias("p"))
-    texts = keyed.select("ord", "text").join(tasks, F.col("ord") == F.col("node")).select("part", "p.i", "p.j", "ord", "text")
+    # The same plan at every size: the candidates grow with the input, so they are never broadcast.
+    texts = keyed.select("ord", "text").join(tasks.hint("merge"), F.col("ord") == F.col("node")).select("part", "p.i", "p.j", "ord", "text")
     return (texts.mapInArrow(_set_batches(size), "part long, i long, j long, ord long, grams array<long>")
             .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "ord")
             .mapInArrow(_link_batches(percent), "a long, b long"))

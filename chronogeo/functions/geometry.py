@@ -29,11 +29,16 @@ def wkt_srid(wkt: Column) -> Column:
     return F.coalesce(F.regexp_extract(wkt, r"(?i)^\s*SRID=(\d+)\s*;", 1).try_cast("int"), F.lit(0))
 
 
+# A vertex of less than two numbers, or a text between separators that is no number. No groups: long texts are scanned once.
+_BROKEN = r"[(,]\s*+[^\s,()]*+\s*+[,)]|\.\d*+\.|[-+][-+]|\d[-+]|[eE](?![-+\d])"
+
+
 def parse_wkt(wkt: Column) -> Column:
     """POLYGON / MULTIPOLYGON text, with or without an SRID prefix.
 
     White space is normalised once per text; after that every split is on one
-    plain character, which needs no pattern per vertex.
+    plain character, which needs no pattern per vertex. Text of another type or
+    with anything but numbers in it is NULL.
     """
     body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*\(+\s*", ""), r"\s*\)+\s*$", "")
     body = F.regexp_replace(F.regexp_replace(body, r"\s*([(),])\s*", "$1"), r"\s+", " ")
@@ -48,13 +53,20 @@ def parse_wkt(wkt: Column) -> Column:
 
     parts = F.transform(F.split(marked, r"\|"), lambda part: F.transform(
         F.split(part, ";"), lambda ring: F.transform(F.split(ring, ","), point)))
-    return F.when(wkt.contains("("), parts).when(wkt.isNotNull(), F.from_json(F.lit("[]"), GEOMETRY_TYPE))
+    head = r"(?is)^\s*(SRID=\d+\s*;)?\s*(MULTI)?POLYGON\s*"
+    return F.when(wkt.rlike(head + r"\([-+0-9.eE,()\s]+$") & ~wkt.rlike(_BROKEN), parts).when(wkt.rlike(head + r"EMPTY\s*$"), F.from_json(F.lit("[]"), GEOMETRY_TYPE))
 
 
 def number_text(value: Column) -> Column:
-    """Plain decimal text: no exponent, no trailing zeros."""
+    """Shortest plain decimal text that is read as the same number: no exponent, no trailing zeros.
+
+    Exact up to 37 decimals below a thousandth and for anything under 10^20.
+    """
     whole = (F.abs(value) < 1e15) & (value == F.floor(value))
-    digits = value.cast("decimal(38,15)").cast("string")
+    short = value.cast("string")
+    digits = (F.when(~short.contains("E"), short)
+              .when(F.abs(value) < 1, short.cast("decimal(38,37)").cast("string"))
+              .otherwise(short.cast("decimal(38,15)").cast("string")))
     return F.when(whole, value.cast("long").cast("string")).otherwise(F.rtrim(F.rtrim(digits, F.lit("0")), F.lit(".")))
 
 
@@ -322,9 +334,9 @@ def transform(geom: Column, src: int, dst: int) -> Column:
 
 
 def transform_by_srid(geom: Column, srid: Column, dst: int) -> Column:
-    """Project rows of mixed systems; an unset or unknown SRID is taken as already in `dst`."""
-    branches = F.when(srid == dst, geom)
+    """Project rows of mixed systems; an unset SRID (NULL or 0) is taken as already in `dst`, an unknown one gives NULL."""
+    branches = F.when(srid.isNull() | (srid == 0) | (srid == dst), geom)
     for src in SRIDS:
         if src != dst:
             branches = branches.when(srid == src, transform(geom, src, dst))
-    return branches.otherwise(geom)
+    return branches

@@ -85,15 +85,22 @@ def set_srid(df: DataFrame, srid: int) -> DataFrame:
 
 
 def retarget(df: DataFrame, srid: int, wkt: str = "geometry") -> DataFrame:
-    """Copy of a layer in another system: coordinates projected, label set."""
+    """Copy of a layer in another system: coordinates projected, label set.
+
+    Rows of an unknown system or with unreadable text stay as they are, label
+    included, so `check_typed` reports them.
+    """
     moved = G.to_wkt(G.transform_by_srid(G.parse_wkt(F.col(wkt)), F.col("srid"), srid))
-    return set_srid(df.withColumn(wkt, moved), srid)
+    done = moved.isNotNull() | F.col(wkt).isNull()
+    return df.withColumns({wkt: F.when(done, moved).otherwise(F.col(wkt)),
+                           "srid": F.when(done, F.lit(srid)).otherwise(F.col("srid"))})
 
 
 def check_typed(df: DataFrame, srid: int = 3857, wkt: str = "geometry") -> DataFrame:
     """Rows that do not fit a MULTIPOLYGON column of one system."""
     kind = F.upper(F.regexp_extract(F.col(wkt), r"(?i)^\s*(?:SRID=\d+\s*;)?\s*([a-z]+)", 1))
-    problem = F.when(kind != "MULTIPOLYGON", "type").when(F.col("srid") != srid, "srid")
+    problem = F.when(kind != "MULTIPOLYGON", "type").when(F.col("srid") != srid, "srid").when(
+        F.col(wkt).isNotNull() & G.parse_wkt(F.col(wkt)).isNull(), "text")
     return df.withColumn("problem", problem).filter(F.col("problem").isNotNull())
 
 

@@ -7,6 +7,7 @@ partitioned by `p`, so every pattern below reads only its predicates.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,15 +150,18 @@ def _renamed(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def add_triples(triples: DataFrame, new: DataFrame) -> DataFrame:
     """Set union; only the new rows are compared with the graph."""
-    cols = [c for c in TRIPLE_COLUMNS if c != "o_type"]
+    cols = list(TRIPLE_COLUMNS)
     fresh = new.select(*TRIPLE_COLUMNS).distinct()
     old = _renamed(triples, cols)
     return triples.select(*TRIPLE_COLUMNS).unionByName(fresh.join(old, _same_triple(fresh, old, cols), "left_anti"))
 
 
 def delete_triples(triples: DataFrame, rows: DataFrame, predicates: list[str] | None = None) -> DataFrame:
-    """Graph without the listed triples. Other predicates than `predicates` pass by without a join."""
-    cols = ["s", "p", "o", "lang"]
+    """Graph without the listed triples, compared in all triple columns that `rows` has.
+
+    Other predicates than `predicates` pass by without a join.
+    """
+    cols = [c for c in TRIPLE_COLUMNS if c in rows.columns]
     gone = _renamed(rows.select(*cols).distinct(), cols)
     touched = triples.filter(F.col("p").isin(predicates)) if predicates else triples
     kept = touched.join(gone, _same_triple(touched, gone, cols), "left_anti")
@@ -174,19 +178,23 @@ def delete_nodes(triples: DataFrame, nodes: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- reachability
 
-def closure(links: DataFrame, max_rounds: int = 40, acyclic: bool = False) -> DataFrame:
+def closure(links: DataFrame, acyclic: bool = False) -> DataFrame:
     """(s, o, depth): every node reachable from `s` and the shortest distance; `s` itself at 0.
 
     Distances double per round: pairs nearer than 2^k are joined with the links
     of exactly 2^k steps, so a chain of depth d takes about log2(d) rounds. Known
     pairs are dropped, and a round without new pairs ends the loop, also on
-    cycles; `acyclic=True` saves that comparison and minimises once at the end.
+    cycles; `acyclic=True` saves that comparison and minimises once at the end, and
+    raises when a distance shows that there is a cycle after all.
     Each round is written to the shared folder, so the plan does not grow.
     """
     jump = cut(links.select("s", "o").filter(F.col("o").isNotNull()).distinct())
     nodes = jump.select("s").unionByName(jump.select(F.col("o").alias("s"))).distinct()
     near = cut(nodes.select("s", F.col("s").alias("o"), F.lit(0).alias("depth")))
-    for k in range(max_rounds):
+    most = nodes.count() if acyclic else None
+    for k in count():
+        if acyclic and 2**k > most and not jump.isEmpty():
+            raise ValueError("acyclic=True, but the links have a cycle")
         step = jump.select(F.col("s").alias("o"), F.col("o").alias("_up"))
         far = near.join(step, "o").select("s", F.col("_up").alias("o"), (F.col("depth") + 2**k).cast("int").alias("depth"))
         if not acyclic:

@@ -55,7 +55,7 @@ def populate_paths(paths: DataFrame, links: DataFrame, labels: DataFrame, done:
     )
 
 
-def extend_paths(roots: DataFrame, links: DataFrame, labels: DataFrame, max_depth: int = 1000) -> DataFrame:
+def extend_paths(roots: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
     """Populate level by level until nothing is added.
 
     Only the last level is joined: whoever has a parent on an earlier level got
@@ -64,10 +64,8 @@ def extend_paths(roots: DataFrame, links: DataFrame, labels: DataFrame, max_dept
     links, labels = cut(links.select("s", "o")), cut(labels.select("s", "label"))
     frontier = cut(roots.select("s", "path"))
     out = frontier
-    for _ in range(max_depth):
+    while not frontier.isEmpty():
         frontier = cut(populate_paths(frontier, links, labels, out))
-        if frontier.isEmpty():
-            break
         out = out.unionByName(frontier)
     return out
 

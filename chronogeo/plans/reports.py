@@ -43,14 +43,15 @@ def with_prefix(df: DataFrame, prefixes: DataFrame, how: str = "startswith", key
     wild = F.regexp_instr("prefix", F.lit("[_%]"))
     head = F.when((F.lit(how) == "like") & (wild > 0), wild - 1).otherwise(F.length("prefix"))
     shapes = prefixes.select(F.length("prefix").alias("n"), head.alias("h")).distinct().collect()
+    if not shapes:
+        return df.withColumn("prefix", F.lit(None).cast("string")).limit(0)
     pairs = F.array(*[F.struct(F.lit(r["n"]).alias("n"), F.lit(r["h"]).alias("h")) for r in shapes])
     ids = df.withColumn("_shape", F.explode(pairs)).withColumn("_head", F.substring(F.col(key), F.lit(1), F.col("_shape.h")))
     keyed = prefixes.select("prefix", F.struct(F.length("prefix").alias("n"), head.alias("h")).alias("_shape")).withColumn(
         "_head", F.substring("prefix", F.lit(1), F.col("_shape.h")))
     out = ids.join(keyed, ["_shape", "_head"])
     if how == "like":
-        cut_id = F.substring(F.col(key), F.lit(1), F.col("_shape.n"))
-        out = out.withColumn("_cut", cut_id).filter("_cut like prefix").drop("_cut")
+        out = out.filter(F.expr(f"`{key}` like concat(prefix, '%')"))
     return out.drop("_shape", "_head")
 
 

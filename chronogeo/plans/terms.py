@@ -105,8 +105,8 @@ def group_terms(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
 def person_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, include_death_only: bool = False) -> DataFrame:
     """Every combination of a person's own name parts is a term of its own.
 
-    By default dates start from births: a death without a birth counts only in a
-    graph that has no births at all.
+    Dates start from births; with `include_death_only` a death without a birth
+    counts as well.
     """
     # read five times below, so it is stored once
     names = cut(R.appellations(triples, NAME_KINDS + ["patronymic"], vocab).select("item", "kind", "label").distinct())
@@ -122,8 +122,7 @@ def person_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, include_death_on
 
     births = cut(_year_of(triples, vocab.c("P98i_was_born"), "born", vocab, "E67_Birth").distinct())
     deaths = _year_of(triples, vocab.c("P100i_died_in"), "died", vocab, "E69_Death").distinct()
-    death_only = include_death_only or births.isEmpty()
-    dates = births.join(deaths, "item", "full" if death_only else "left")
+    dates = births.join(deaths, "item", "full" if include_death_only else "left")
     dates = dates.select("item", F.concat(
         F.coalesce("born", F.lit("")), F.coalesce(F.concat(F.lit(" - "), F.col("died")), F.lit(""))).alias("dates"))
     rows = R.optional(rows, dates.distinct(), "item")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from chronogeo.functions import geometry as G
 from chronogeo.operators import periods as P
-from chronogeo.schema import META_COLUMNS, TRIPLES
+from chronogeo.schema import ID_COLUMNS, META_COLUMNS, TRIPLES
 
 KIND_ALIASES = {"open_spaces": "openspaces", "openspaces": "openspaces", "buildings": "buildings",
                 "islands": "islands", "waterways": "waterways", "water_ways": "waterways"}
@@ -65,25 +65,33 @@ def union_layers(layers: dict[tuple[str, str], DataFrame], srid: int = 3857) ->
     return reduce(lambda a, b: a.unionByName(b), [layer_to_long(df, s, k, srid) for (s, k), df in layers.items()])
 
 
-def read_layers(spark: SparkSession, root: str, sites: list[str] | None = None, prefix: str = "qgis_") -> DataFrame:
+def read_layers(spark: SparkSession, root: str, sites: list[str] | None = None, prefix: str = "qgis_", srid: int = 3857) -> DataFrame:
     """Long form of all parquet layers under `root`, one folder per layer.
 
     One scan with merged schemas; site and kind come from the file path. Flags a
-    layer does not have are NULL there and are left out.
+    layer does not have are NULL there and are left out. The identifier is the
+    first known id column that the row fills; flags may be booleans or whole
+    numbers, where any but 0 is true; an unset srid is `srid`.
     """
     df = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(root)
-    flags = P.source_columns(df)
+    ids = [c for c in ID_COLUMNS if c in df.columns]
+    if not ids:
+        raise ValueError(f"no identifier column under {root}")
+    number = (T.BooleanType, T.IntegralType)
+    flags = [f.name for f in df.schema if isinstance(f.dataType, number) and f.name not in (*META_COLUMNS, *ids, "srid")]
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     site, kind = split_layer_name(folder, prefix)
     have = set(df.columns)
-    meta = {"identifier": "string", "name": "string", "srid": "int", "geometry": "string"}
+    meta = {"name": "string", "srid": "int", "geometry": "string"}
+    given = {c: (F.col(c) if c in have else F.lit(None)).cast(t) for c, t in meta.items()}
+    given["srid"] = F.coalesce(given["srid"], F.lit(srid))
     rows = df.select(
-        site.alias("site"), kind.alias("kind"),
-        *[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in meta.items()], *[P.named(f) for f in flags])
+        site.alias("site"), kind.alias("kind"), F.coalesce(*[P.named(c).cast("string") for c in ids]).alias("identifier"),
+        *[v.alias(c) for c, v in given.items()], *[P.named(f).cast("boolean").alias(f) for f in flags])
     if sites is not None:
         rows = rows.filter(F.col("site").isin(sites))
-    ids = ["site", "kind", *meta]
-    return rows.unpivot([F.col(c) for c in ids], [P.named(f) for f in flags], "source", "present").filter("present is not null")
+    keys = ["site", "kind", "identifier", *meta]
+    return rows.unpivot([F.col(c) for c in keys], [P.named(f) for f in flags], "source", "present").filter("present is not null")
 
 
 def read_layer_tsv(spark: SparkSession, path: str, id_col: str = "identifier", geometry: str = "geometry") -> DataFrame:

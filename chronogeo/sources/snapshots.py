@@ -23,6 +23,7 @@ _COMMIT = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("bucket", T.IntegerType()),
     T.StructField("path", T.StringType()),
+    T.StructField("query", T.StringType()),
 ])
 
 
@@ -41,20 +42,24 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 
 
 class BucketState(NamedTuple):
-    """Latest version, last stream batch and the current data folder of every bucket."""
+    """Latest version, last batch of every stream query and the current data folder of every bucket."""
 
     version: int
-    batch_id: int | None
+    batches: dict[str | None, int]
     paths: dict[int, str]
 
 
 def current_state(spark: SparkSession, root: str) -> BucketState:
-    """Read the log once; as many rows reach the driver as there are buckets."""
-    rows = commits(spark, root).groupBy("bucket").agg(
+    """As many rows of the log reach the driver as there are buckets, times queries."""
+    rows = commits(spark, root).groupBy("bucket", "query").agg(
         F.max("version").alias("version"), F.max("batch_id").alias("batch_id"), F.max_by("path", "version").alias("path")).collect()
-    batches = [r["batch_id"] for r in rows if r["batch_id"] is not None]
+    rows.sort(key=lambda r: r["version"])
+    batches: dict[str | None, int] = {}
+    for r in rows:
+        if r["batch_id"] is not None:
+            batches[r["query"]] = max(r["batch_id"], batches.get(r["query"], r["batch_id"]))
     return BucketState(
-        max((r["version"] for r in rows), default=0), max(batches, default=None),
+        max((r["version"] for r in rows), default=0), batches,
         {r["bucket"]: r["path"] for r in rows if r["bucket"] is not None and r["bucket"] >= 0})
 
 
@@ -68,7 +73,7 @@ def commit_snapshot(df: DataFrame, root: str, batch_id: int | None = None) -> in
     version = (commits(spark, root).agg(F.max("version")).first()[0] or 0) + 1
     path = f"{root}/data/{version}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _log(spark, root, [(version, batch_id, None, path)])
+    _log(spark, root, [(version, batch_id, None, path, None)])
     return version
 
 
@@ -84,18 +89,19 @@ def read_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
 
 
 def commit_buckets(tables: dict[str, DataFrame], root: str, touched: list[int], batch_id: int | None = None,
-                   version: int | None = None) -> int:
+                   version: int | None = None, query: str | None = None) -> int:
     """Rewrite the touched buckets of several tables under one commit.
 
     Each table has a `bucket` column. `version` is the one the caller read. A
-    commit that touches nothing is logged too, so its batch id is known.
+    commit that touches nothing is logged too, so its batch id is known. Batch
+    ids count within one `query`.
     """
     spark = next(iter(tables.values())).sparkSession
     version = (current_state(spark, root).version if version is None else version) + 1
     base = f"{root}/data/{version}-{uuid.uuid4().hex}"
     for name, df in tables.items():
         df.repartition("bucket").write.partitionBy("bucket").parquet(f"{base}/{name}")
-    _log(spark, root, [(version, batch_id, b, base) for b in touched] or [(version, batch_id, -1, base)])
+    _log(spark, root, [(version, batch_id, b, base, query) for b in touched or [-1]])
     return version
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chronogeo.functions import geometry as G
@@ -26,11 +27,20 @@ def _prepared(changes: DataFrame, dst_srid: int | None) -> DataFrame:
     geometry = F.col("geometry")
     if dst_srid is not None and "srid" in changes.columns:
         geometry = G.to_wkt(G.transform_by_srid(G.parse_wkt(geometry), F.col("srid"), dst_srid))
-    return changes.filter(F.col("identifier").isNotNull() & F.col("op").isin("I", "U", "D")).select(
+    return distinct_edits(changes).select(
         "identifier", "seq", "op",
         kind_value(F.col("kind"), "t").alias("t"), kind_value(F.col("kind"), "z").alias("z"),
         "name", geometry.alias("geometry"), "flags",
-    ).dropDuplicates(["identifier", "seq"])
+    )
+
+
+def distinct_edits(changes: DataFrame) -> DataFrame:
+    """One valid edit per (identifier, seq): of different ones the smallest row, wherever they are read."""
+    valid = changes.filter(F.col("identifier").isNotNull() & F.col("op").isin("I", "U", "D"))
+    rest = [f for f in valid.schema if f.name not in ("identifier", "seq")]
+    order = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in rest]
+    return valid.groupBy("identifier", "seq").agg(
+        F.min_by(F.struct(*[f.name for f in rest]), F.struct(*order)).alias("_edit")).select("identifier", "seq", "_edit.*")
 
 
 def fold_changes(changes: DataFrame, features: DataFrame, dst_srid: int | None = None) -> DataFrame:
@@ -104,7 +114,7 @@ def accepted_links(changes: DataFrame, outcomes: DataFrame, cascade: bool = Fals
     if cascade:
         accepted = accepted.join(_last_deletes(changes), "identifier", "left").filter(
             F.col("_last_d").isNull() | (F.col("seq") > F.col("_last_d"))).drop("_last_d")
-    inserts = changes.filter("op = 'I'").select("identifier", "seq", "flags").join(accepted, ["identifier", "seq"], "left_semi")
+    inserts = distinct_edits(changes).filter("op = 'I'").select("identifier", "seq", "flags").join(accepted, ["identifier", "seq"], "left_semi")
     pairs = inserts.select("identifier", F.explode("flags").alias("source", "present"))
     return pairs.filter("present").select("identifier", "source").distinct()
 
@@ -141,11 +151,15 @@ def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 
 def propagate_batch(changes: DataFrame, batch_id: int, root: str, buckets: int = 64, cascade: bool = False,
-                    dst_srid: int | None = None) -> None:
-    """Apply one micro-batch to the buckets it touches; a batch id that is already in the log does nothing."""
+                    dst_srid: int | None = None, query: str | None = None) -> None:
+    """Apply one micro-batch to the buckets it touches.
+
+    A batch that the log already has from the same `query` does nothing, so a
+    replay is safe and a second stream on the same root is not mistaken for one.
+    """
     spark = changes.sparkSession
     now = S.current_state(spark, root)
-    if now.batch_id is not None and batch_id <= now.batch_id:
+    if batch_id <= now.batches.get(query, -1):
         return
     bucket = S.bucket_of("identifier", buckets)
     changes = changes.filter("identifier is not null").persist()
@@ -156,16 +170,16 @@ def propagate_batch(changes: DataFrame, batch_id: int, root: str, buckets: int =
         links = S.read_buckets(spark, now, "feature_sources", FEATURE_SOURCES, touched)
         new_features, new_links, _ = apply_changes(features, links, changes, cascade, dst_srid)
         S.commit_buckets({"features": new_features.withColumn("bucket", bucket),
-                          "feature_sources": new_links.withColumn("bucket", bucket)}, root, touched, batch_id, now.version)
+                          "feature_sources": new_links.withColumn("bucket", bucket)}, root, touched, batch_id, now.version, query)
     finally:
         changes.unpersist()
 
 
 def start_propagation(changes: DataFrame, root: str, checkpoint: str, buckets: int = 64, cascade: bool = False,
                       dst_srid: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """Run the propagation on a stream of edits. One query serves all layers."""
+    """Run the propagation on a stream of edits. One query serves all layers; its checkpoint folder names it in the log."""
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: propagate_batch(df, batch_id, root, buckets, cascade, dst_srid))
+        lambda df, batch_id: propagate_batch(df, batch_id, root, buckets, cascade, dst_srid, checkpoint))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

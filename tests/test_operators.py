@@ -309,7 +309,7 @@ def test_snapshots_and_sinks(spark, tmp_path):
     v2 = snapshots.commit_snapshot(one.union(one), root, batch_id=4)
     assert (v1, v2) == (1, 2)
     assert snapshots.read_snapshot(spark, root).count() == 2 and snapshots.read_snapshot(spark, root, 1).count() == 1
-    assert snapshots.current_state(spark, root).batch_id == 4
+    assert snapshots.current_state(spark, root).batches == {None: 4}
     writers.write_outcomes(one, str(tmp_path / "out"))
     assert (tmp_path / "out" / "outcome=inserted").is_dir()
     assert rows(writers.materialise(one, "chronogeo_probe")) == [("a", "inserted")]

@@ -22,7 +22,7 @@ def _folder(spark) -> str:
 
 
 # the state before and after each edit, replayed in order by plain windows
-_REPLAY = with_views("edits", "edit_features") + """, turns AS (SELECT *, last_value(CASE WHEN op <> 'U' THEN op END IGNORE NULLS) OVER
+_STEPS = """, turns AS (SELECT *, last_value(CASE WHEN op <> 'U' THEN op END IGNORE NULLS) OVER
   (PARTITION BY identifier ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM edits),
  o AS (SELECT *, coalesce(prev = 'I', identifier IN (SELECT identifier FROM edit_features)) AS alive FROM turns),
  outc AS (SELECT identifier, seq, op, name, geometry, value, event_type, CASE WHEN op = 'I' THEN CASE WHEN alive THEN 'rejected' ELSE 'applied' END WHEN alive THEN 'applied' ELSE 'noop' END AS outcome FROM o),
@@ -36,6 +36,10 @@ _REPLAY = with_views("edits", "edit_features") + """, turns AS (SELECT *, last_v
   CASE WHEN last_op = 'I' THEN new_name ELSE e.name END AS name, coalesce(geo.g, 'g-old') AS geometry
   FROM edit_features e FULL JOIN done d ON d.identifier = e.identifier LEFT JOIN geo ON geo.identifier = coalesce(e.identifier, d.identifier)
   WHERE coalesce(last_op, CASE WHEN e.identifier IS NOT NULL THEN 'I' ELSE 'D' END) <> 'D')"""
+_REPLAY = with_views("edits", "edit_features") + _STEPS
+_WIRED = "CASE op WHEN 'D' THEN site <> 'S0' WHEN 'U' THEN site <> 'S1' ELSE site <> 'S2' OR event_type = 'signup' END"
+_REPLAY_WIRED = with_views("edits", "edit_features") + f""", placed AS (SELECT *, 'S' || CAST(substr(identifier, 3) AS BIGINT) % 3 AS site FROM edits),
+ wired AS (SELECT * FROM placed WHERE {_WIRED}), unwired AS (SELECT * FROM placed WHERE NOT {_WIRED})""" + _STEPS.replace("FROM edits)", "FROM wired)", 1)
 _LINKS = """, new_links AS (SELECT DISTINCT identifier, unnest(CASE WHEN value >= 50 AND value < 100 THEN ['Today', '1982: Ortofoto'] WHEN value >= 50 THEN ['Today'] ELSE ['1982: Ortofoto'] END) AS source
  FROM outc WHERE op = 'I' AND outcome = 'applied')"""
 
@@ -55,6 +59,34 @@ def apply_changes_sources(spark, sf):
     return K.apply_changes(v.edit_features(spark, sf), v.edit_sources(spark, sf), v.edits(spark, sf))[1]
 
 
+@check(_REPLAY + """, new_links AS (SELECT DISTINCT identifier, CASE WHEN value < 100 THEN '1982: Ortofoto' ELSE 'Today' END AS source
+ FROM outc WHERE op = 'I' AND outcome = 'applied') SELECT identifier, source FROM new_links UNION SELECT identifier, 'Today' FROM edit_features""")
+def apply_changes_first(spark, sf):
+    """One link per insert; only one of the two sources is in the order."""
+    return K.apply_changes(v.edit_features(spark, sf), v.edit_sources(spark, sf), v.edits(spark, sf), mode="first", order=["1982: Ortofoto"])[1]
+
+
+def _wiring(spark, sf):
+    """Edits with a site, and a registry that lacks one operation for each site."""
+    edits = v.edits(spark, sf).withColumn("site", v.txt("S", F.pmod(F.substring("identifier", 3, 20).cast("long"), F.lit(3))))
+    ops = F.explode(F.array(*[F.lit(o) for o in K.OPS]))
+    registry = edits.select("site", "kind").distinct().select("site", "kind", ops.alias("op"))
+    return edits, registry.filter(~(((c("op") == "delete") & (c("site") == "S0")) | ((c("op") == "update") & (c("site") == "S1"))
+                                    | ((c("op") == "insert") & (c("site") == "S2") & (c("kind") == "islands"))))
+
+
+@check(_REPLAY_WIRED + " SELECT identifier, t, z, name, geometry FROM fin")
+def apply_changes_wired(spark, sf):
+    edits, registry = _wiring(spark, sf)
+    return K.apply_changes(v.edit_features(spark, sf), v.edit_sources(spark, sf), edits, registry=registry)[0]
+
+
+@check(_REPLAY_WIRED + " SELECT identifier, seq, op, outcome FROM outc UNION ALL SELECT identifier, seq, op, 'unwired' FROM unwired")
+def change_outcomes_wired(spark, sf):
+    edits, registry = _wiring(spark, sf)
+    return K.apply_changes(v.edit_features(spark, sf), v.edit_sources(spark, sf), edits, registry=registry)[2]
+
+
 def _streamed(spark, sf):
     """Edits written as a file feed in four ordered slices, propagated one micro-batch per slice."""
     feed, root = _folder(spark), _folder(spark)

@@ -145,8 +145,8 @@ def publish_sources(layers: DataFrame, feature_sources: DataFrame, mode: str = "
         raise ValueError("mode is 'all', or 'first' with an order of sources")
     kind_rank = F.lit(0)
     if kind_order:
-        kind_rank = _rank(kind_order, F.col("kind"))
-    rank = _rank(order, F.col("source"))
+        kind_rank = place_in(kind_order, F.col("kind"))
+    rank = place_in(order, F.col("source"))
     fresh = (
         links.join(feature_sources.select("identifier"), "identifier", "left_anti")
         .groupBy("identifier")
@@ -156,7 +156,7 @@ def publish_sources(layers: DataFrame, feature_sources: DataFrame, mode: str = "
     return Change(feature_sources.unionByName(fresh), fresh.withColumn("outcome", F.lit("inserted")))
 
 
-def _rank(order: list[str], value: Column) -> Column:
+def place_in(order: list[str], value: Column) -> Column:
     """Place of a value in the list; values that are not listed come last."""
     place = F.array_position(F.array(*[F.lit(x) for x in order]), value)
     return F.when(place > 0, place).otherwise(len(order) + 1)

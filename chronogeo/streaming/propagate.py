@@ -3,7 +3,9 @@
 Edits are rows (op I/U/D, seq, kind, identifier, name, geometry, flags, srid).
 Rules: an insert publishes a feature and one link per true flag, unless the
 identifier exists; an update moves the geometry of an existing feature; a
-delete removes the feature (its links only with `cascade`).
+delete removes the feature (its links only with `cascade`). With
+`mode="first"` an insert publishes one link, the first true flag in `order`.
+With a `registry` of (site, kind, op) only wired operations are propagated.
 """
 
 from __future__ import annotations
@@ -14,12 +16,29 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chronogeo.functions import geometry as G
-from chronogeo.operators.features import kind_value
+from chronogeo.operators.features import kind_value, place_in
 from chronogeo.operators.skew import last_before, order_limits, previous_in_group
 from chronogeo.schema import FEATURE_SOURCES, FEATURES
 from chronogeo.sources import snapshots as S
 
 FEATURE_COLUMNS = [f.name for f in FEATURES]
+OPS = {"insert": "I", "update": "U", "delete": "D"}
+
+
+def _in_registry(changes: DataFrame, registry: DataFrame, how: str) -> DataFrame:
+    code = F.create_map(*[F.lit(x) for pair in OPS.items() for x in pair])
+    wired = registry.select("site", "kind", code[F.col("op")].alias("op"))
+    return changes.join(wired, ["site", "kind", "op"], how).select(*changes.columns)
+
+
+def wired_edits(changes: DataFrame, registry: DataFrame) -> DataFrame:
+    """Edits whose (site, kind, op) the registry holds; edits without a site or kind are not wired."""
+    return _in_registry(changes, registry, "left_semi")
+
+
+def unwired_edits(changes: DataFrame, registry: DataFrame) -> DataFrame:
+    """The valid edits that the registry leaves out."""
+    return _in_registry(changes.filter(F.col("identifier").isNotNull() & F.col("op").isin(*OPS.values())), registry, "left_anti")
 
 
 def _prepared(changes: DataFrame, dst_srid: int | None) -> DataFrame:
@@ -108,30 +127,50 @@ def _last_deletes(changes: DataFrame) -> DataFrame:
     return changes.filter("op = 'D'").groupBy("identifier").agg(F.max("seq").alias("_last_d"))
 
 
-def accepted_links(changes: DataFrame, outcomes: DataFrame, cascade: bool = False) -> DataFrame:
-    """(identifier, source) of the true flags of accepted inserts; with `cascade` only of those still alive."""
+def accepted_links(changes: DataFrame, outcomes: DataFrame, cascade: bool = False, mode: str = "all",
+                   order: list[str] | None = None) -> DataFrame:
+    """(identifier, source) of the true flags of accepted inserts; with `cascade` only of those still alive.
+
+    With `first`, each insert gives one link: its first true flag in `order`, flags that are not listed last and by name.
+    """
+    if mode not in ("all", "first") or (mode == "first") != bool(order):
+        raise ValueError("mode is 'all', or 'first' with an order of sources")
     accepted = outcomes.filter("op = 'I' and outcome = 'applied'").select("identifier", "seq")
     if cascade:
         accepted = accepted.join(_last_deletes(changes), "identifier", "left").filter(
             F.col("_last_d").isNull() | (F.col("seq") > F.col("_last_d"))).drop("_last_d")
     inserts = distinct_edits(changes).filter("op = 'I'").select("identifier", "seq", "flags").join(accepted, ["identifier", "seq"], "left_semi")
-    pairs = inserts.select("identifier", F.explode("flags").alias("source", "present"))
-    return pairs.filter("present").select("identifier", "source").distinct()
+    true = F.map_keys(F.map_filter("flags", lambda _, present: present))
+    if mode == "first":
+        ranked = F.transform(true, lambda s: F.struct(place_in(order, s).alias("place"), s.alias("source")))
+        links = inserts.select("identifier", F.array_min(ranked)["source"].alias("source")).filter("source IS NOT NULL")
+    else:
+        links = inserts.select("identifier", F.explode(true).alias("source"))
+    return links.distinct()
 
 
 def apply_changes(features: DataFrame, feature_sources: DataFrame, changes: DataFrame, cascade: bool = False,
-                  dst_srid: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(features, feature_sources, outcomes) after a batch of edits."""
+                  dst_srid: int | None = None, mode: str = "all", order: list[str] | None = None,
+                  registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(features, feature_sources, outcomes) after a batch of edits.
+
+    Edits that a `registry` leaves out change nothing and have the outcome `unwired`.
+    """
+    unwired = None
+    if registry is not None:
+        unwired = unwired_edits(changes, registry).select("identifier", "seq", "op", F.lit("unwired").alias("outcome"))
+        changes = wired_edits(changes, registry)
     final = fold_changes(changes, features, dst_srid)
     untouched = features.join(final.select("identifier"), "identifier", "left_anti")
     new_features = untouched.select(*FEATURE_COLUMNS).unionByName(final.filter("alive").select(*FEATURE_COLUMNS))
     limits = order_limits(changes, "seq")
-    links = accepted_links(changes, turn_outcomes(changes, features, limits), cascade)
+    links = accepted_links(changes, turn_outcomes(changes, features, limits), cascade, mode, order)
     kept = feature_sources.select("identifier", "source")
     if cascade:
         kept = kept.join(_last_deletes(changes).select("identifier"), "identifier", "left_anti")
     new_sources = kept.unionByName(links.join(kept, ["identifier", "source"], "left_anti"))
-    return new_features, new_sources, change_outcomes(changes, features, limits)
+    outcomes = change_outcomes(changes, features, limits)
+    return new_features, new_sources, outcomes if unwired is None else outcomes.unionByName(unwired)
 
 
 # ---------------------------------------------------------------- stream
@@ -151,7 +190,8 @@ def read_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 
 def propagate_batch(changes: DataFrame, batch_id: int, root: str, buckets: int = 64, cascade: bool = False,
-                    dst_srid: int | None = None, query: str | None = None) -> None:
+                    dst_srid: int | None = None, query: str | None = None, mode: str = "all",
+                    order: list[str] | None = None, registry: DataFrame | None = None) -> None:
     """Apply one micro-batch to the buckets it touches.
 
     A batch that the log already has from the same `query` does nothing, so a
@@ -168,7 +208,7 @@ def propagate_batch(changes: DataFrame, batch_id: int, root: str, buckets: int =
         touched = sorted(r["b"] for r in changes.select(bucket.alias("b")).distinct().collect())
         features = S.read_buckets(spark, now, "features", FEATURES, touched)
         links = S.read_buckets(spark, now, "feature_sources", FEATURE_SOURCES, touched)
-        new_features, new_links, _ = apply_changes(features, links, changes, cascade, dst_srid)
+        new_features, new_links, _ = apply_changes(features, links, changes, cascade, dst_srid, mode, order, registry)
         S.commit_buckets({"features": new_features.withColumn("bucket", bucket),
                           "feature_sources": new_links.withColumn("bucket", bucket)}, root, touched, batch_id, now.version, query)
     finally:
@@ -176,10 +216,14 @@ def propagate_batch(changes: DataFrame, batch_id: int, root: str, buckets: int =
 
 
 def start_propagation(changes: DataFrame, root: str, checkpoint: str, buckets: int = 64, cascade: bool = False,
-                      dst_srid: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """Run the propagation on a stream of edits. One query serves all layers; its checkpoint folder names it in the log."""
+                      dst_srid: int | None = None, available_now: bool = True, mode: str = "all",
+                      order: list[str] | None = None, registry: DataFrame | None = None) -> StreamingQuery:
+    """Run the propagation on a stream of edits. One query serves all layers; its checkpoint folder names it in the log.
+
+    A `registry` read from files is read again by every micro-batch, as of the files it had at the start.
+    """
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: propagate_batch(df, batch_id, root, buckets, cascade, dst_srid, checkpoint))
+        lambda df, batch_id: propagate_batch(df, batch_id, root, buckets, cascade, dst_srid, checkpoint, mode, order, registry))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

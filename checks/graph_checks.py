@@ -13,6 +13,34 @@ from chronogeo.plans import provenance as PV
 from chronogeo.plans import terms as S
 from chronogeo.schema import VOCAB as V
 
+_TRIPLE = ["g", "s", "p", "o", "o_type", "lang", "dtype"]
+
+
+def _uuid(*key: str) -> str:
+    """SQL of the stable id of a row key."""
+    text = " || chr(31) || ".join(f"coalesce({k}, chr(0))" for k in key)
+    return rf"regexp_replace(sha256({text}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}}).*$', '\1-\2-\3-\4-\5')"
+
+
+def _template(rows: str, *triples: tuple[str, str, str] | tuple[str, str, str, str]) -> str:
+    """SQL of the triples made of each row: (subject, predicate, object[, language of a literal])."""
+    parts = [f"SELECT CAST(NULL AS VARCHAR) AS g, {t[0]} AS s, '{t[1]}' AS p, {t[2]} AS o, '{'literal' if len(t) > 3 else 'iri'}' AS o_type, "
+             f"CAST({t[3] if len(t) > 3 else 'NULL'} AS VARCHAR) AS lang, CAST(NULL AS VARCHAR) AS dtype FROM rows_" for t in triples]
+    return f"WITH rows_ AS ({rows}) SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE o IS NOT NULL"
+
+
+def _named(sql: str, lang: str = "CAST(NULL AS VARCHAR)") -> str:
+    """Search terms with the node and language of each."""
+    return f"SELECT item, item || '/search_term/' || {_uuid('item', 'label', lang)} AS node, label, {lang} AS lang FROM ({sql})"
+
+
+def _difference(before, after):
+    """What an edit of the graph took out and what it put in."""
+    rows = [a.select(_TRIPLE).exceptAll(b.select(_TRIPLE)).withColumn("change", F.lit(x))
+            for a, b, x in ((before, after, "removed"), (after, before, "added"))]
+    return rows[0].unionByName(rows[1])
+
+
 # ---------------------------------------------------------------- search terms
 
 _EV = """WITH l AS (SELECT event_id, 'it' AS lang, event_type AS label FROM events WHERE value >= 20 UNION ALL SELECT event_id, 'en', 'e-' || event_type FROM events WHERE value >= 50),
@@ -23,15 +51,15 @@ _EV = """WITH l AS (SELECT event_id, 'it' AS lang, event_type AS label FROM even
   || CASE WHEN event_type <> 'error' THEN ' ' || year(ts) ELSE '' END END AS label, lang FROM r"""
 
 
-@check(_EV)
+@check(_named(_EV, "lang"))
 def search_terms_event(spark, sf):
-    return S.search_terms(v.stored(spark, sf, v.event_graph), "event").select("item", "label", "lang")
+    return S.search_terms(v.stored(spark, sf, v.event_graph), "event").select("item", "node", "label", "lang")
 
 
-@check("""SELECT 'x:group/' || s_suppkey AS item, s_name || CASE WHEN s_acctbal < 0 THEN 'A' || s_suppkey || ' (' || CASE WHEN s_nationkey < 5 THEN 'Fam' || s_nationkey || ', ' ELSE '' END || ')'
- ELSE CASE WHEN s_nationkey < 5 THEN 'Fam' || s_nationkey || ', ' ELSE '' END END || ' ' || (1900 + s_nationkey) || CASE WHEN s_acctbal > 5000 THEN ' ' || (1950 + s_nationkey) ELSE '' END AS label FROM supplier""")
+@check(_named("""SELECT 'x:group/' || s_suppkey AS item, s_name || CASE WHEN s_acctbal < 0 THEN 'A' || s_suppkey || ' (' || CASE WHEN s_nationkey < 5 THEN 'Fam' || s_nationkey || ', ' ELSE '' END || ')'
+ ELSE CASE WHEN s_nationkey < 5 THEN 'Fam' || s_nationkey || ', ' ELSE '' END END || ' ' || (1900 + s_nationkey) || CASE WHEN s_acctbal > 5000 THEN ' ' || (1950 + s_nationkey) ELSE '' END AS label FROM supplier"""))
 def search_terms_group(spark, sf):
-    return S.search_terms(v.stored(spark, sf, v.group_graph), "group").select("item", "label")
+    return S.search_terms(v.stored(spark, sf, v.group_graph), "group").select("item", "node", "label", "lang")
 
 
 def _person_sql(dates: str) -> str:
@@ -41,9 +69,12 @@ def _person_sql(dates: str) -> str:
  SELECT 'x:person/' || c_custkey AS item, coalesce(al || ' (' || full_name || ')', full_name) || coalesce(' ' || al, '') || ' di ' || n_name || coalesce(' ' || dates, '') AS label FROM p"""
 
 
-@check(_person_sql("CASE WHEN c_mktsegment <> 'MACHINERY' THEN (1900 + c_nationkey) || CASE WHEN c_acctbal > 5000 THEN ' - ' || (1960 + c_nationkey) ELSE '' END END"))
+_PERSON = _named(_person_sql("CASE WHEN c_mktsegment <> 'MACHINERY' THEN (1900 + c_nationkey) || CASE WHEN c_acctbal > 5000 THEN ' - ' || (1960 + c_nationkey) ELSE '' END END"))
+
+
+@check(_PERSON)
 def search_terms_person(spark, sf):
-    return S.search_terms(v.stored(spark, sf, v.person_graph), "person").select("item", "label")
+    return S.search_terms(v.stored(spark, sf, v.person_graph), "person").select("item", "node", "label", "lang")
 
 
 @check(_person_sql("""CASE WHEN c_mktsegment <> 'MACHINERY' THEN (1900 + c_nationkey) || CASE WHEN c_acctbal > 5000 THEN ' - ' || (1960 + c_nationkey) ELSE '' END
@@ -60,12 +91,12 @@ _CHAIN = with_views("tree", recursive=True) + f""", named AS (SELECT k, parent,
  path AS (SELECT k, max_by(path, d) AS path FROM up GROUP BY k)"""
 
 
-@check(_CHAIN.format(depth=7) + """, src AS (SELECT p_partkey AS k, p_name AS title, p_size, p_brand FROM part UNION SELECT p_partkey, p_brand, p_size, p_brand FROM part WHERE p_size > 45),
+@check(_named(_CHAIN.format(depth=7) + """, src AS (SELECT p_partkey AS k, p_name AS title, p_size, p_brand FROM part UNION SELECT p_partkey, p_brand, p_size, p_brand FROM part WHERE p_size > 45),
  loc AS (SELECT k, CASE WHEN p_size = 7 THEN '' WHEN p_size > 5 THEN ' ' || path WHEN p_size < 9 THEN ' Bib ' || p_brand ELSE '' END AS whr, title, p_size, p_brand FROM src JOIN path USING (k)),
  alt AS (SELECT * FROM loc UNION ALL SELECT k, '', title, p_size, p_brand FROM loc WHERE p_size > 30)
- SELECT DISTINCT 'x:source/' || k AS item, title || whr || CASE WHEN p_size > 20 THEN ' Isola ' || p_brand ELSE '' END || CASE WHEN p_size > 10 THEN ' ' || (1500 + p_size) ELSE '' END AS label FROM alt""")
+ SELECT DISTINCT 'x:source/' || k AS item, title || whr || CASE WHEN p_size > 20 THEN ' Isola ' || p_brand ELSE '' END || CASE WHEN p_size > 10 THEN ' ' || (1500 + p_size) ELSE '' END AS label FROM alt"""))
 def search_terms_primary_source(spark, sf):
-    return S.search_terms(v.stored(spark, sf, v.source_graph), "primary_source").select("item", "label")
+    return S.search_terms(v.stored(spark, sf, v.source_graph), "primary_source").select("item", "node", "label", "lang")
 
 
 _BOOK = """WITH w AS (SELECT DISTINCT l_orderkey AS k, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'A'),
@@ -78,9 +109,9 @@ _BOOK = """WITH w AS (SELECT DISTINCT l_orderkey AS k, s_name FROM lineitem JOIN
  SELECT 'x:book/' || o_orderkey AS item, cit || coalesce(' ' || authors, '') || coalesce(' ' || typ, '') || coalesce(' ' || d, '') AS label FROM x"""
 
 
-@check(_BOOK)
+@check(_named(_BOOK))
 def search_terms_secondary_source(spark, sf):
-    return S.search_terms(v.stored(spark, sf, v.book_graph), "secondary_source").select("item", "label")
+    return S.search_terms(v.stored(spark, sf, v.book_graph), "secondary_source").select("item", "node", "label", "lang")
 
 
 @check("""SELECT 'group' AS kind, count(*) AS items, count(*) AS terms FROM supplier UNION ALL
@@ -90,11 +121,10 @@ def search_term_summary(spark, sf):
     return S.run_all(v.stored(spark, sf, v.group_graph).unionByName(v.stored(spark, sf, v.person_graph)))[1]
 
 
-@check("SELECT 'x:person/' || c_custkey AS item, CAST(4 * CASE WHEN c_mktsegment = 'BUILDING' THEN 2 ELSE 1 END AS BIGINT) AS n FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'")
+@check(_template(_PERSON, ("item", V.c("P1_is_identified_by"), "node"), ("node", V.rdf_type, f"'{V.c('E41_Appellation')}'"),
+                 ("node", V.c("P2_has_type"), f"'{V.kind('search_term')}'"), ("node", V.label, "label", "lang")))
 def search_term_triples(spark, sf):
-    """Four triples per new term, counted on their item."""
-    t = S.term_triples(S.search_terms(v.stored(spark, sf, v.person_graph), "person"))
-    return t.groupBy(F.regexp_extract("s", r"^(x:person/\d+)", 1).alias("item")).agg(F.count("*").alias("n"))
+    return S.term_triples(S.search_terms(v.stored(spark, sf, v.person_graph), "person"))
 
 
 @check("SELECT count(*) AS open_items FROM customer WHERE false")
@@ -105,27 +135,22 @@ def search_terms_idempotent(spark, sf):
     return S.open_items(g, "person").agg(F.count("*").alias("open_items"))
 
 
-def _rest(df):
-    """Counts per predicate."""
-    return df.groupBy("p").agg(F.count("*").alias("n"))
-
+_OLD_TERMS = "SELECT *, 'removed' AS change FROM (" + _template(
+    "SELECT 'x:person/' || c_custkey AS item, 'x:person/' || c_custkey || '/old' AS node, 'old ' || c_custkey AS label FROM customer WHERE c_mktsegment = 'HOUSEHOLD'",
+    ("item", V.c("P1_is_identified_by"), "node"), ("node", V.rdf_type, f"'{V.c('E41_Appellation')}'"),
+    ("node", V.c("P2_has_type"), f"'{V.kind('search_term')}'"), ("node", V.label, "label", "NULL")) + ")"
 
-_PERSON_P = f"""WITH o AS (SELECT count(*) AS old FROM customer WHERE c_mktsegment = 'HOUSEHOLD'), a AS (SELECT count(*) * 3 AS app FROM customer),
- x AS (SELECT (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') + (SELECT count(*) FROM customer WHERE c_acctbal < 0) AS more),
- b AS (SELECT count(*) AS born FROM customer WHERE c_mktsegment <> 'MACHINERY'), d AS (SELECT count(*) AS died FROM customer WHERE c_acctbal > 5000), n AS (SELECT count(*) AS n FROM customer)
- SELECT unnest(['{V.rdf_type}', '{V.c("P1_is_identified_by")}', '{V.label}', '{V.c("P2_has_type")}', '{V.c("P98i_was_born")}', '{V.c("P100i_died_in")}', '{V.c("P4_has_time-span")}', '{V.c("P170i_time_is_defined_by")}']) AS p,
- unnest([n.n + 2 * born + 2 * died, app + more, app + more + born + died, app + more + born + died, born, died, born + died, born + died]) AS n FROM o, a, x, b, d, n"""
 
-
-@check(_PERSON_P)
+@check(_OLD_TERMS)
 def clean_search_terms(spark, sf):
-    """What is left per predicate after removing the old terms."""
-    return _rest(S.clean_search_terms(v.stored(spark, sf, v.person_graph), "person"))
+    g = v.stored(spark, sf, v.person_graph)
+    return _difference(g, S.clean_search_terms(g, "person"))
 
 
-@check(_PERSON_P)
+@check(_OLD_TERMS)
 def clean_term_nodes(spark, sf):
-    return _rest(S.clean_term_nodes(v.stored(spark, sf, v.person_graph), "person")[0])
+    g = v.stored(spark, sf, v.person_graph)
+    return _difference(g, S.clean_term_nodes(g, "person")[0])
 
 
 @check("SELECT 'x:person/' || c_custkey AS item, CAST(1 AS BIGINT) AS terms, CAST(4 AS BIGINT) AS triples FROM customer WHERE c_mktsegment = 'HOUSEHOLD'")
@@ -182,10 +207,11 @@ def archive_paths(spark, sf):
     return A.archive_paths(v.stored(spark, sf, v.archive_graph))
 
 
-@check(with_views("tree") + " SELECT 'P1_is_identified_by' AS p, count(*) AS n FROM tree UNION ALL SELECT 'P2_has_type', count(*) FROM tree UNION ALL SELECT 'type', count(*) FROM tree UNION ALL SELECT 'label', count(*) FROM tree")
+@check(_template(_CHAIN.format(depth=100) + " SELECT 'x:arch/' || k AS s, 'x:arch/' || k || '/path' AS node, path FROM path",
+                 ("s", V.c("P1_is_identified_by"), "node"), ("node", V.rdf_type, f"'{V.c('E41_Appellation')}'"),
+                 ("node", V.c("P2_has_type"), f"'{V.kind('path')}'"), ("node", V.label, "path", "NULL")))
 def archive_path_triples(spark, sf):
-    t = A.path_triples(A.archive_paths(v.stored(spark, sf, v.archive_graph)))
-    return t.groupBy(F.regexp_extract("p", r"[/#]([^/#]+)$", 1).alias("p")).agg(F.count("*").alias("n"))
+    return A.path_triples(A.archive_paths(v.stored(spark, sf, v.archive_graph)))
 
 
 @check(with_views("tree") + f""", named AS (SELECT k, parent, {_NODE_LABEL} AS label FROM tree)
@@ -242,20 +268,31 @@ def form_records(spark, sf):
     return PV.form_records(v.stored(spark, sf, v.prov_graph))
 
 
-@check(_PROV + """ SELECT p, count(DISTINCT subject) * k AS n FROM e, (VALUES ('P129i_is_subject_of', 1), ('type', 2), ('P2_has_type', 1), ('P129_is_about', 1)) t(p, k) WHERE p_size >= 25 GROUP BY p, k""")
+_RECORD = V.record_types + "entity_form_record"
+
+
+@check(_template(_PROV + " SELECT DISTINCT subject, subject || '/entity_form_record' AS record FROM e WHERE p_size >= 25",
+                 ("subject", V.c("P129i_is_subject_of"), "record"), ("record", V.rdf_type, f"'{V.crmdig}D1_Digital_Machine'"),
+                 ("record", V.rdf_type, f"'{V.crmdig}D1_Digital_Object'"), ("record", V.c("P2_has_type"), f"'{_RECORD}'"),
+                 ("record", V.c("P129_is_about"), "subject")))
 def form_record_triples(spark, sf):
-    t = PV.record_triples(PV.form_records(v.stored(spark, sf, v.prov_graph)))
-    return t.groupBy(F.regexp_extract("p", r"[/#]([^/#]+)$", 1).alias("p")).agg(F.count("*").alias("n"))
+    return PV.record_triples(PV.form_records(v.stored(spark, sf, v.prov_graph)))
+
+
+_MODIFIED = _PROV + """ SELECT subject, subject || '/entity_form_record' AS record, 'x:prov/' || event_id AS entity, 'x:actor/' || event_type AS actor, at_text AS at FROM e a WHERE p_size < 25
+ AND NOT EXISTS (SELECT 1 FROM e b WHERE b.value > 90 AND b.user_id = a.user_id AND b.event_type = a.event_type AND b.ts = a.ts)"""
 
 
-@check(_PROV + """ SELECT subject, subject || '/entity_form_record' AS record, 'x:prov/' || event_id AS entity, 'x:actor/' || event_type AS actor, at_text AS at FROM e a WHERE p_size < 25
- AND NOT EXISTS (SELECT 1 FROM e b WHERE b.value > 90 AND b.user_id = a.user_id AND b.event_type = a.event_type AND b.ts = a.ts)""")
+@check(_MODIFIED)
 def modification_events(spark, sf):
     return PV.modification_events(v.stored(spark, sf, v.prov_graph))
 
 
-@check(_PROV + """, m AS (SELECT subject, min(ts) AS ts FROM e GROUP BY subject) SELECT subject, subject || '/entity_form_record' AS record, 'x:prov/' || event_id AS entity,
- 'x:actor/' || event_type AS actor, at_text AS at FROM e JOIN m USING (subject, ts) WHERE p_size < 25 AND p_size >= 5""")
+_CREATED = _PROV + """, m AS (SELECT subject, min(ts) AS ts FROM e GROUP BY subject) SELECT subject, subject || '/entity_form_record' AS record, 'x:prov/' || event_id AS entity,
+ 'x:actor/' || event_type AS actor, at_text AS at FROM e JOIN m USING (subject, ts) WHERE p_size < 25 AND p_size >= 5"""
+
+
+@check(_CREATED)
 def creation_events(spark, sf):
     return PV.creation_events(v.stored(spark, sf, v.prov_graph))
 
@@ -268,11 +305,23 @@ def earliest_with_ties(spark, sf):
     return PV.earliest(rows, "subject", "day")
 
 
-@check(_PROV + """ SELECT p, count(*) * k AS n FROM e a, (VALUES ('L11i_was_output_of', 1), ('type', 2), ('P2_has_type', 1), ('P14_carried_out_by', 1), ('P4_has_time-span', 1), ('L11_had_output', 1), ('P82_at_some_time_within', 1)) t(p, k)
- WHERE p_size < 25 AND value <= 90 AND NOT EXISTS (SELECT 1 FROM e b WHERE b.value > 90 AND b.user_id = a.user_id AND b.event_type = a.event_type AND b.ts = a.ts) GROUP BY p, k""")
+def _event_triples(events: str, tail: str) -> str:
+    named = f"SELECT *, record || '/entity_formRecord_{tail}/' || {_uuid('entity', 'actor', 'e_.at')} AS ev FROM ({events}) e_"
+    spans = f"SELECT *, ev || '/at_some_time_within/' || {_uuid('ev')} AS span FROM ({named})"
+    return _template(spans, ("record", V.crmdig + "L11i_was_output_of", "ev"), ("ev", V.rdf_type, f"'{V.crmdig}D7_Digital_Machine_Event'"),
+                     ("ev", V.c("P2_has_type"), f"'{_RECORD}_{tail}'"), ("ev", V.c("P14_carried_out_by"), "actor"),
+                     ("ev", V.c("P4_has_time-span"), "span"), ("ev", V.crmdig + "L11_had_output", "record"),
+                     ("span", V.rdf_type, f"'{V.c('E52_Time-Span')}'"), ("span", V.c("P82_at_some_time_within"), "rows_.at", "NULL"))
+
+
+@check(_event_triples(_MODIFIED, "modification"))
 def modification_triples(spark, sf):
-    t = PV.event_triples(PV.modification_events(v.stored(spark, sf, v.prov_graph)), "modification")
-    return t.groupBy(F.regexp_extract("p", r"[/#]([^/#]+)$", 1).alias("p")).agg(F.count("*").alias("n"))
+    return PV.event_triples(PV.modification_events(v.stored(spark, sf, v.prov_graph)), "modification")
+
+
+@check(_event_triples(_CREATED, "creation"))
+def creation_triples(spark, sf):
+    return PV.event_triples(PV.creation_events(v.stored(spark, sf, v.prov_graph)), "creation")
 
 
 @check(_PROV + f""" SELECT subject, subject || '/entity_form_record' AS record, '{V.record_types}entity_form_record_modification' AS ev_type, 'x:actor/' || event_type AS actor, at_text AS at

@@ -85,3 +85,22 @@ def test_two_streams_and_equal_numbers(spark, tmp_path):
     features, links = K.read_tables(spark, root)
     assert rows(features, "identifier", "name") == [("i1", "a"), ("i2", "c")]
     assert rows(links, "identifier", "source") == [("i1", "S1"), ("i2", "S3")]
+
+
+def test_wired_operations_and_first_sources_in_a_batch(spark, tmp_path):
+    schema = "site string, kind string, seq long, op string, identifier string, name string, geometry string, flags map<string,boolean>"
+    flags = {"S1": True, "S2": True, "S3": False}
+    edits = spark.createDataFrame([
+        ("A", "buildings", 1, "I", "i1", "a", "G", flags), ("A", "buildings", 2, "U", "i1", "a", "H", flags),
+        ("A", "islands", 3, "I", "i2", "b", "G", flags), (None, "buildings", 4, "I", "i3", "c", "G", flags),
+        ("A", "buildings", 5, "I", "i4", "d", "G", {"S3": False}), ("A", "buildings", 6, "I", "i5", "e", "G", None)], schema)
+    registry = spark.createDataFrame([("A", "buildings", "insert"), ("A", "islands", "update")], "site string, kind string, op string")
+    root = str(tmp_path / "root")
+    K.propagate_batch(edits, 0, root, buckets=2, query="q", mode="first", order=["S3", "S2"], registry=registry)
+    features, links = K.read_tables(spark, root)
+    assert rows(features, "identifier", "geometry") == [("i1", "G"), ("i4", "G"), ("i5", "G")]
+    assert rows(links, "identifier", "source") == [("i1", "S2")]
+    outcomes = K.apply_changes(features.limit(0), links.limit(0), edits, registry=registry)[2]
+    assert rows(outcomes.filter("outcome = 'unwired'"), "identifier", "op") == [("i1", "U"), ("i2", "I"), ("i3", "I")]
+    with pytest.raises(ValueError, match="order"):
+        K.propagate_batch(edits, 1, root, buckets=2, query="q", mode="first")

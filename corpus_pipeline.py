@@ -26,12 +26,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by n-gram similarity the one with the smallest id.
+    """Of documents linked by n-gram similarity (five words, 0.8) the one with the smallest id.
 
     Texts without words are linked with nothing and stay. Rows that repeat the id that stays all stay, as do rows without
     an id.
     """
-    groups = jaccard.link_components(docs)
+    groups = jaccard.link_components(docs, size=5, percent=80)
     gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("id_")).distinct()
     names = [f"c{i}" for i in range(len(docs.columns))]
     own = F.col(names[docs.columns.index("doc_id")]).cast("long")

@@ -344,3 +344,15 @@ def test_pipeline(spark, docs):
     ids = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, sf).collect()}
     assert 1 in ids and not ids & {2, 3} and {40, 41, 42} <= ids
     assert corpus_pipeline.STAGES[4][1](spark, docs.limit(0), sf).count() == 0
+
+
+def test_pipeline_near_copies_take_five_words(spark):
+    """0.811 of the five-word and 0.885 of the three-word shingles are shared: one of the two stays."""
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(100)]
+    other = [w + "x" * (i in (30, 70)) for i, w in enumerate(words)]
+    far = [w + "x" * (i in (30, 50, 70)) for i, w in enumerate(words[::-1])]
+    rows = [(5, " ".join(words)), (9, " ".join(other)), (11, " ".join(far)), (12, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()} == {5, 11, 12}

@@ -64,14 +64,14 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
     return grams[new], np.searchsorted(row[new], np.arange(len(offsets)))
 
 
-def _subtrees(grams: np.ndarray, first: np.ndarray, depth: np.ndarray, rows: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the subtrees of the chosen rows at their depths, and the row of each."""
+def _subtrees(grams: np.ndarray, first: np.ndarray, depth: np.ndarray, rows: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the subtrees of the chosen rows at their depths, the row of each, and how many are filled per row."""
     n = np.diff(first)
     row = np.repeat(np.arange(len(n)), n)
     chosen = rows[row]
     grams, row = grams[chosen], row[chosen]
     if not len(grams):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(n), np.int64)
     d = depth[row].astype(np.uint64)
     at = (grams >> np.uint64(1)) >> (np.uint64(63) - d)
     head = np.ones(len(grams), bool)
@@ -82,11 +82,12 @@ def _subtrees(grams: np.ndarray, first: np.ndarray, depth: np.ndarray, rows: np.
     place = arrays.mix(at[heads] * np.uint64(64) + d[heads])
     names, owner = arrays.mix(content + place), row[heads]
     filled = np.bincount(owner, minlength=len(n))
+    bounds, spots = np.searchsorted(owner, np.arange(len(n) + 1)), at[heads]
     for i in np.flatnonzero(rows & (filled <= most) & (n > 0)).tolist():  # so few are filled that only empty ones may agree
-        empty = np.setdiff1d(np.arange(1 << int(depth[i]), dtype=np.uint64), at[heads][owner == i])
+        empty = np.setdiff1d(np.arange(1 << int(depth[i]), dtype=np.uint64), spots[bounds[i]:bounds[i + 1]])
         names = np.append(names, arrays.mix(arrays.mix(empty * np.uint64(64) + np.uint64(depth[i])) ^ np.uint64(0xE1)))
         owner = np.append(owner, np.full(len(empty), i))
-    return names, owner
+    return names, owner, filled
 
 
 def _node_batches(size: int, percent: int):
@@ -98,8 +99,8 @@ def _node_batches(size: int, percent: int):
             low = -(-n * percent // 100)  # the smallest partner
             other = depth_of(low, percent)
             some = n > 0
-            a, a_row = _subtrees(grams, first, own, some, most_different(n, percent))
-            b, b_row = _subtrees(grams, first, other, some & (other != own), most_different(n, percent))
+            a, a_row, a_filled = _subtrees(grams, first, own, some, most_different(n, percent))
+            b, b_row, b_filled = _subtrees(grams, first, other, some & (other != own), most_different(n, percent))
             row = np.concatenate([a_row, b_row])
             order = np.argsort(row, kind="stable")
             lists = np.searchsorted(row[order], np.arange(len(n) + 1)).astype(np.int32)
@@ -107,7 +108,8 @@ def _node_batches(size: int, percent: int):
             for salt in (0x11, 0x2357):
                 sums = np.append(np.uint64(0), np.cumsum(arrays.mix(grams ^ np.uint64(salt)), dtype=np.uint64))
                 digest.append((sums[first[1:]] - sums[first[:-1]]).view(np.int64))
-            need = [np.maximum(np.bincount(r, minlength=len(n)) - most_different(n, percent), 1) for r in (a_row, b_row)]
+            # Empty subtrees don't count: a partner names its own only if it has as few filled ones.
+            need = [np.maximum(k - most_different(n, percent), 1) for k in (a_filled, b_filled)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": rows.column(0), "ord": rows.column(1), "tkey": rows.column(2), "n": n.astype(np.int64), "da": digest[0], "db": digest[1],
                 "nodes": pa.ListArray.from_arrays(pa.array(lists), pa.array(np.concatenate([a, b])[order].view(np.int64))),

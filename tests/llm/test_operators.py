@@ -356,3 +356,33 @@ def test_pipeline_near_copies_take_five_words(spark):
     rows = [(5, " ".join(words)), (9, " ".join(other)), (11, " ".join(far)), (12, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()} == {5, 11, 12}
+
+
+def test_jaccard_of_very_short_sets(spark):
+    """Sets of 1 to 14 words, many of which fill few subtrees; copies have words swapped, added or left out."""
+    rng = random.Random(5)
+    sets = [[f"w{rng.randrange(5000)}" for _ in range(rng.randrange(1, 15))] for _ in range(1500)]
+    for i in range(0, 1500, 2):
+        words = list(sets[i])
+        for _ in range(rng.randrange(1, 3)):
+            if rng.random() < 0.5:
+                words.append(f"w{rng.randrange(5000)}")
+            else:
+                words.pop(rng.randrange(len(words)))
+            words = words or ["w"]
+        sets.append(words)
+    docs = spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(sets)], "doc_id long, text string")
+    root = list(range(len(sets)))
+    holders: dict[str, list[int]] = {}
+    for i, s in enumerate(sets):
+        own = set(s)
+        for j in sorted({j for w in own for j in holders.get(w, [])}):
+            other = set(sets[j])
+            if 100 * len(own & other) >= 80 * len(own | other):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root] if a != b else root
+        for w in own:
+            holders.setdefault(w, []).append(i)
+    got = {r.doc_id: r.component_id for r in jaccard.link_components(docs, 1, 80).collect()}
+    assert got == dict(enumerate(root))
+    assert sum(r != i for i, r in enumerate(root)) > 200

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # A chunk of texts that is handled at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -31,7 +31,7 @@ from chronogeo.llm import arrays
 from chronogeo.llm.components import components
 from chronogeo.llm.tables import LAST_ID, cut, with_key
 
-BLOCK = 1_000_000  # n-grams that a task traverses together
+BLOCK = 400_000  # n-grams that a task traverses together
 SUBTREE = 64  # n-grams added between two looks at the bounds
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays
 from chronogeo.llm.components import components
-from chronogeo.llm.tables import LAST_ID, cut, with_key
+from chronogeo.llm.tables import LAST_ID, cut, small_batches, with_key
 
 BLOCK = 400_000  # n-grams that a task traverses together
 SUBTREE = 64  # n-grams added between two looks at the bounds
@@ -124,7 +124,7 @@ def _set_batches(size: int):
             grams, first = gram_sets(data, offsets, size)
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(i) for i in range(4)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(grams.view(np.int64)))],
-                names=["part", "i", "j", "ord", "grams"])
+                names=["part", "k", "own", "ord", "grams"])
 
     return run
 
@@ -209,7 +209,7 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90, block: in
     links lead to. Texts without words and null texts have an empty set and link with nothing. Rows with an equal id are one
     node of the graph; null ids are one node that comes after all others. Other columns are ignored.
     """
-    keyed = with_key(docs)
+    keyed = with_key(small_batches(docs))
     tries = cut(keyed.mapInArrow(_node_batches(size, percent), "doc_id long, ord long, tkey long, n long, da long, db long, nodes array<long>, "
                                  "n_own int, need_own int, need_other int"))
     classes = tries.filter("n > 0").groupBy("n", "da", "db").agg(F.min("ord").alias("rep"))
@@ -253,9 +253,10 @@ def _links(keyed: DataFrame, member: DataFrame, near: DataFrame, size: int, perc
     dealt = placed.join(blocks, "component").select("node", "component", k.alias("k"), F.pmod(F.xxhash64("node"), k).alias("own"))
     # With k blocks a set goes to the k pairs that its block is in.
     pair = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda o: F.struct(F.least(o, "own").alias("i"), F.greatest(o, "own").alias("j"))))
-    tasks = dealt.select("node", F.col("component").alias("part"), pair.alias("p"))
     # The same plan at every size: the candidates grow with the input, so they are never broadcast.
-    texts = keyed.select("ord", "text").join(tasks.hint("merge"), F.col("ord") == F.col("node")).select("part", "p.i", "p.j", "ord", "text")
-    return (texts.mapInArrow(_set_batches(size), "part long, i long, j long, ord long, grams array<long>")
+    texts = keyed.select("ord", "text").join(dealt.hint("merge"), F.col("ord") == F.col("node"))
+    sets = texts.select(F.col("component").alias("part"), F.col("k").cast("long").alias("k"), F.col("own").cast("long").alias("own"), "ord", "text")
+    return (sets.mapInArrow(_set_batches(size), "part long, k long, own long, ord long, grams array<long>")
+            .select("part", pair.alias("p"), "ord", "grams").select("part", "p.i", "p.j", "ord", "grams")
             .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "ord")
             .mapInArrow(_link_batches(percent), "a long, b long"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays, boosting
+from chronogeo.llm.tables import small_batches
 
 MOST_LABELS = 20_000  # labelled rows that a model is fitted on, those with the smallest hash of their id
 ACCEPT = 0.7
@@ -107,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, **options
 def _scored(docs: DataFrame, model: boosting.Trees) -> DataFrame:
     """The columns of `docs` as c0, c1, ... (so that no name clashes) and `score_`."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names)
+    rows = small_batches(docs).toDF(*names)
     at = names[docs.columns.index("text")]
     rows = rows.withColumn(at, F.col(at).cast("string"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", score_ double"

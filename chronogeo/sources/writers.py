@@ -18,10 +18,11 @@ def write_layer_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> No
 def write_triples(triples: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Parquet partitioned by predicate.
 
-    Rows are spread by predicate and a hash of the subject: a predicate with a
-    third of all triples is written by many tasks, a rare one by few.
+    Rows are brought together by predicate; adaptive execution splits one that is
+    larger than its advisory size over many tasks and joins small ones, so files
+    have about the same size at any scale.
     """
-    triples.repartition("p", F.pmod(F.xxhash64("s"), F.lit(64))).write.mode(mode).partitionBy("p").parquet(path)
+    triples.hint("rebalance", "p").write.mode(mode).partitionBy("p").parquet(path)
 
 
 def write_nquads(triples: DataFrame, path: str, mode: str = "errorifexists") -> None:

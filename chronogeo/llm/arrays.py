@@ -84,7 +84,8 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             row = stop
 
 
-def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
+def spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where words start and end, the row of each, and the first word of each row (and the number of words at the end)."""
     n = len(data)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
@@ -94,8 +95,12 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> W
     after[:-1] = gap[1:]
     start = np.flatnonzero(~gap & (before | edge[:n]))
     end = np.flatnonzero(~gap & (after | edge[1:])) + 1
-    doc = np.searchsorted(offsets, start, "right") - 1
-    return Words(start, end, doc, span_hash(prefix_sums(_BYTE[data]), start, end), np.searchsorted(start, offsets))
+    return start, end, np.searchsorted(offsets, start, "right") - 1, np.searchsorted(start, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
+    start, end, doc, first = spans(data, offsets, space)
+    return Words(start, end, doc, span_hash(prefix_sums(_BYTE[data]), start, end), first)
 
 
 def windows(w: Words, size: int) -> np.ndarray:

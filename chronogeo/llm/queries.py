@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronogeo.llm import chat, decontaminate, exact, jaccard, line_dedup, packing, quality, sharding, substring, token_counts
+from chronogeo.llm import (
+    best_fit, chat, decontaminate, exact, jaccard, line_dedup, orchard, packing, quality, ranked_search, sharding, substring, token_counts)
 from chronogeo.llm.tables import read
 from chronogeo.session import scratch_root
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARD_BYTES = 64 << 20
-END_OF_TEXT = 49407  # of that tokenizer
+END_OF_TEXT = 49407  # of word_bpe_49k.json
 PROBE = "\\### Assistant: </turn> ok"
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer; only the operators that encode need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_lines(read(spark, sf_dir, "documents"), run=2, stats=True).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -39,13 +45,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as flat token files in the shared folder, then counted from these files alone."""
     path = f"{scratch_root(spark)}/chronogeo/{uuid.uuid4().hex}"
-    token_counts.write_token_files(read(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT, path)
+    token_counts.write_token_files(read(spark, sf_dir, "documents"), tokenizer(), END_OF_TEXT, path)
     return token_counts.count_tokens(spark, path, END_OF_TEXT).select(
         F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file"), "doc", "start", "n_tokens", "closed")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer())
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,9 +75,21 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_sharding, op3_substring_dedup, op4_quality, op5_token_counts, op6_packing, op7_exact_dedup,
-    op8_decontamination, op9_chat_formatting, op10_ngram_jaccard)}
+    op8_decontamination, op9_chat_formatting, op10_ngram_jaccard, op11_ranked_search, op12_centroid_clustering, op13_best_fit_packing)}
 
 _SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -147,4 +165,37 @@ links AS MATERIALIZED (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = d.doc_id) AS component_id
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id""",
+    "op11_ranked_search": r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT i, item_id, term FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+size AS MATERIALIZED (SELECT r, count(*) AS n FROM t GROUP BY r),
+total AS MATERIALIZED (SELECT count(*) AS docs, sum(n)::BIGINT AS tokens FROM size),
+tf AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS MATERIALIZED (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term),
+adds AS MATERIALIZED (SELECT tf.r, doc_id, tf.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // tokens))) AS s
+  FROM tf JOIN w ON w.term = tf.term JOIN size ON size.r = tf.r, total),
+scores AS (SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(s)::BIGINT AS score FROM q JOIN adds ON adds.term = q.term GROUP BY i, r)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50""",
 }
+
+_ROUND = """
+d{n} AS (SELECT v.vec_id, v.x, c.cluster, list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.c[i]) * (v.x[i] - c.c[i])))::BIGINT AS distance FROM v, c{n} c),
+a{n} AS MATERIALIZED (SELECT vec_id, any_value(x) AS x, arg_min(cluster, distance * 1000 + cluster) AS cluster, min(distance) AS distance FROM d{n} GROUP BY vec_id)"""
+_MOVE = """,
+s{n} AS (SELECT cluster, i, sum(v)::BIGINT AS s, count(*) AS k FROM (SELECT cluster, unnest(x) AS v, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY ALL),
+c{m} AS MATERIALIZED (SELECT c.cluster, coalesce(m.c, c.c) AS c FROM c{n} c LEFT JOIN
+  (SELECT cluster, list(CASE WHEN s < 0 AND s % k <> 0 THEN -((-s) // k) - 1 WHEN s < 0 THEN -((-s) // k) ELSE s // k END ORDER BY i) AS c FROM s{n} GROUP BY cluster) m
+  ON m.cluster = c.cluster),"""
+
+# Distinct vec_ids are taken for granted here.
+ORACLE["op12_centroid_clustering"] = """
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda y: floor(64 * y::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, x AS c FROM (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h LIMIT 16)),""" + "".join(
+    _ROUND.format(n=n) + (_MOVE.format(n=n, m=n + 1) if n < 3 else "") for n in range(4)) + """
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+  (SELECT sha256(list_aggregate(list_transform(c.c, lambda y: y::VARCHAR), 'string_agg', ',')) FROM c3 c WHERE c.cluster = a3.cluster) AS centroid_sha256
+FROM a3"""

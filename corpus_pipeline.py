@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronogeo.llm import decontaminate, jaccard, line_dedup, packing, quality
-from chronogeo.llm.queries import TOKENIZER
+from chronogeo.llm.queries import tokenizer
 from chronogeo.llm.tables import cut, read
 
 
@@ -45,7 +45,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, tokenizer())
 
 
 STAGES = [

@@ -3,8 +3,8 @@
 A round sorts the pieces that are left and the gaps of the open sequences by size, from large to small, over ranges. In each
 range a sweep gives every piece the smallest gap that holds it (its successor); what is left of that gap serves the same
 sweep again while it is in the range. Pieces without a gap in their own range get those that larger ranges have left over,
-nearest range first: the k-th such piece by rank gets the k-th such gap, so no two want the same one. Then gaps shrink,
-and the next round begins.
+nearest range first. Ranks decide who gets which: the k-th such gap takes as many as surely fit, after those that the gaps
+before it took, so no two want the same place. Then gaps shrink, and the next round begins.
 
 New sequences are opened by the largest pieces that found no gap and are longer than any gap that is left (or by any, once
 hardly a piece finds one): as many as pieces of about this length need. Only counts per range and length come to the
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,12 @@ from chronogeo.llm.byte_bpe import encoder
 from chronogeo.llm.tables import cut
 
 RANGE = 100_000  # pieces and gaps in a range
+MOST_RANGES = 5_000  # beyond it ranges get larger: a few numbers of each come to the driver
 CHUNK = 1 << 19  # bytes of text that a task encodes together
 FEW = 200  # if a round places less than this part of the pieces that it leaves, they all count as without a gap
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, unit long, inner int, unit_length int"
-_EVENT = "part int, gap boolean, key long, size int, seq long, offset int, at int"
+_EVENT = "part int, gap boolean, key long, size int, seq long, offset int, at int, n int"
 
 
 def _piece_batches(path: str, size: int, end: int, small: int, with_ids: bool):
@@ -113,12 +115,14 @@ def _sweep_batches(size: int):
     """Sorted rows of one range (gap, key, size): largest first, gaps before pieces. Gives the rows of _EVENT.
 
     A piece with its sequence and offset has found a gap. Others have seq null and their rank in `at`. Gaps come with their
-    room; `at` is the rank among those that smaller ranges may use, null if the room is below the range.
+    room; `at` is the rank among those that smaller ranges may use, null if the room is below the range. Rows without a
+    key hold the number `n` of such rows of one size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         rooms: dict[int, list[int]] = {}
+        tally: Counter = Counter()
         mask, low, missed = 0, size, 0  # bit r: a gap with room r
         for batch in batches:
             out: list[tuple] = []
@@ -129,8 +133,9 @@ def _sweep_batches(size: int):
                     mask |= 1 << x
                     continue
                 above = mask >> x
+                tally[False, x, bool(above)] += 1
                 if not above:
-                    out.append((part, False, key, x, None, None, missed))
+                    out.append((part, False, key, x, None, None, missed, None))
                     missed += 1
                     continue
                 room = x + (above & -above).bit_length() - 1
@@ -138,7 +143,7 @@ def _sweep_batches(size: int):
                 seq = own.pop()
                 if not own:
                     mask ^= 1 << room
-                out.append((part, False, key, x, seq, size - room, None))
+                out.append((part, False, key, x, seq, size - room, None, None))
                 if room > x:
                     rooms.setdefault(room - x, []).append(seq)
                     mask |= 1 << (room - x)
@@ -146,41 +151,47 @@ def _sweep_batches(size: int):
         rank = 0
         for room in sorted(rooms, reverse=True):
             keys, usable = rooms[room], room >= low
+            if keys:
+                tally[True, room, not usable] = len(keys)
             for lo in range(0, len(keys), 10_000):
                 some = keys[lo:lo + 10_000]
-                yield _events([(part, True, key, room, None, None, rank + i if usable else None) for i, key in enumerate(some)])
+                yield _events([(part, True, key, room, None, None, rank + i if usable else None, None) for i, key in enumerate(some)])
                 rank += len(some) * usable
+        yield _events([(part, gap, None, x, None, None, None if done else 0, n) for (gap, x, done), n in tally.items()])
 
     return run
 
 
 def _events(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+    kinds = (pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
     columns = zip(*rows) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "gap", "key", "size", "seq", "offset", "at"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "gap", "key", "size", "seq", "offset", "at", "n"])
 
 
-def _meet(missed: dict[int, int], spare: dict[int, int]) -> tuple[list[tuple], dict[int, int]]:
-    """(part, lo, hi, gap_part, top): pieces lo .. hi - 1 without a gap of a range get the gaps top, top - 1, .. of another.
+def _meet(missed: dict[int, list[int]], spare: dict[int, list[int]]) -> tuple[list[tuple], dict[int, int]]:
+    """(part, lo, hi, gap_part, top, per): pieces lo .. hi - 1 without a gap of a range go to the gaps top, top - 1, .. of another.
 
-    Ranges are numbered from large to small. Also the first piece of each range that stays without one.
+    Each gap takes as many as fit by the least room and the greatest length. Ranges are numbered from large to small; given
+    are the counts of pieces with the greatest length, and of gaps with the least room. Also the first piece of each range
+    that stays without a gap.
     """
     stack: list[list[int]] = []
     rows, alone = [], {}
     for part in sorted({*missed, *spare}):
-        lo, n = 0, missed.get(part, 0)
+        lo, (n, longest) = 0, missed.get(part, (0, 1))
         while lo < n and stack:
-            gap_part, left = stack[-1]
-            take = min(left, n - lo)
-            rows.append((part, lo, lo + take, gap_part, left - 1))
-            lo += take
-            stack[-1][1] -= take
+            gap_part, left, room = stack[-1]
+            per = room // longest
+            units = min(left * per, n - lo)
+            rows.append((part, lo, lo + units, gap_part, left - 1, per))
+            lo += units
+            stack[-1][1] -= -(-units // per)
             if not stack[-1][1]:
                 stack.pop()
         if lo < n:
             alone[part] = lo
-        if spare.get(part):
-            stack.append([part, spare[part]])
+        if part in spare:
+            stack.append([part, *spare[part]])
     return rows, alone
 
 
@@ -210,22 +221,23 @@ def _round(units: DataFrame, gaps: DataFrame, rows: int, size: int) -> tuple[Dat
     spark = units.sparkSession
     events = gaps.select(F.lit(True).alias("gap"), "key", "size").unionByName(units.select(F.lit(False).alias("gap"), "key", "size"))
     order = [F.desc("size"), F.desc("gap"), F.asc("key")]
-    swept = cut(events.repartitionByRange(max(1, math.ceil(rows / RANGE)), *order).sortWithinPartitions(*order)
-                .mapInArrow(_sweep_batches(size), _EVENT))
-    # Ranges are ordered by size, so there are about as many rows as ranges and lengths.
-    table = swept.groupBy("part", "gap", "size", F.col("at").isNull().alias("off")).agg(F.count("*").alias("n")).orderBy("part", F.desc("size")).collect()
-    missed, spare = {}, {}
+    n_ranges = min(math.ceil(rows / RANGE), MOST_RANGES)
+    ranges = events.repartitionByRange(n_ranges, *order) if n_ranges > 1 else events.repartition(1)  # RANGE rows at most
+    swept = cut(ranges.sortWithinPartitions(*order).mapInArrow(_sweep_batches(size), _EVENT))
+    # Ranges are ordered by size, so there are about as many sums as ranges and lengths.
+    table = sorted(swept.filter("key IS NULL").select("part", "gap", "size", F.col("at").isNull().alias("off"), "n").collect(), key=lambda r: (r["part"], -r["size"]))
+    missed, spare = {}, {}  # how many, and the greatest length or the least room
+    top, low = {}, {}  # the most room and the least length
     for r in table:
         if not r["off"]:
-            into = spare if r["gap"] else missed
-            into[r["part"]] = into.get(r["part"], 0) + r["n"]
+            mine, own = (spare, top) if r["gap"] else (missed, low)
+            n, x = mine.get(r["part"], (0, r["size"]))
+            mine[r["part"]] = [n + r["n"], r["size"] if r["gap"] else x]
+            own[r["part"]] = top.get(r["part"], r["size"]) if r["gap"] else r["size"]
     ways, alone = _meet(missed, spare)
     # The most room that a gap has after this round, and the lengths of the pieces that found none.
-    top, low = {}, {}
-    for r in table:
-        if not r["off"]:
-            (top.setdefault if r["gap"] else low.__setitem__)(r["part"], r["size"])
-    room = max([0, *(r["size"] for r in table if r["gap"] and r["off"]), *(top[w[3]] - low[w[0]] for w in ways)])
+    room = max([0, *(r["size"] for r in table if r["gap"] and r["off"]),
+                *(top[w[3]] - low[w[0]] * (w[5] if (w[2] - w[1]) % w[5] == 0 else 1) for w in ways)])
     counts, skip = np.zeros(size + 1, np.int64), dict(alone)
     for r in table:
         if r["part"] in alone and not r["gap"] and not r["off"]:
@@ -244,24 +256,29 @@ def _round(units: DataFrame, gaps: DataFrame, rows: int, size: int) -> tuple[Dat
     def spread(df: DataFrame, *made) -> DataFrame:
         return df.select(F.explode(F.filter(F.array(*made), lambda r: r.isNotNull())).alias("r")).select("r.*")
 
-    out = swept.filter("at IS NULL").select("gap", "key", "size", "seq", "offset")
-    spares = swept.filter("gap AND at IS NOT NULL").select("part", "at", "key", "size")
-    if ways:  # a row or two per range
-        way = F.broadcast(spark.createDataFrame(ways, "part int, lo int, hi int, gap_part int, top int"))
-        spots = (swept.filter("NOT gap AND at IS NOT NULL").join(way, "part").filter("at >= lo AND at < hi")
-                 .select(F.col("gap_part").alias("part"), (F.col("top") - (F.col("at") - F.col("lo"))).alias("at"), F.col("key").alias("unit"), F.col("size").alias("need")))
-        out = out.unionByName(spread(
-            spares.join(spots, ["part", "at"], "left"),
-            F.when(F.col("unit").isNotNull(), row(False, "unit", F.col("need"), F.col("key"), F.lit(size) - F.col("size"))),
-            row(True, "key", F.col("size") - F.coalesce("need", F.lit(0)))))
+    out = swept.filter("at IS NULL AND key IS NOT NULL").select("gap", "key", "size", "seq", "offset")
+    rest = swept.filter("at IS NOT NULL AND key IS NOT NULL").select("part", "gap", "at", "key", "size")
+    spares, without = rest.filter("gap"), rest.filter("NOT gap")
+    if ways:  # a few rows per range
+        way = F.broadcast(spark.createDataFrame(ways, "part int, lo int, hi int, gap_part int, top int, per int"))
+        spots = (without.join(way, "part").filter("at >= lo AND at < hi")
+                 .select(F.col("gap_part").alias("part"), F.expr("top - (at - lo) div per").cast("int").alias("at"),
+                         F.struct(F.col("at").alias("rank"), F.col("key").alias("unit"), F.col("size").alias("need")).alias("taken"))
+                 .groupBy("part", "at").agg(F.array_sort(F.collect_list("taken")).alias("taken")))  # what one gap takes
+        out = out.unionByName(spares.join(spots, ["part", "at"], "left").select(F.explode(F.concat(
+            F.array(row(True, "key", F.col("size") - F.aggregate(F.coalesce("taken.need", F.array().cast("array<int>")), F.lit(0), lambda a, x: a + x))),
+            F.coalesce(F.transform("taken", lambda t, i: F.struct(
+                F.lit(False).alias("gap"), t["unit"].alias("key"), t["need"].alias("size"), F.col("key").alias("seq"),
+                (F.lit(size) - F.col("size") + F.aggregate(F.slice(F.col("taken.need"), F.lit(1), i), F.lit(0), lambda a, x: a + x)).cast("int").alias("offset"))),
+                F.array().cast("array<struct<gap:boolean,key:bigint,size:int,seq:bigint,offset:int>>")))).alias("r")).select("r.*"))
     elif spare:
         out = out.unionByName(spread(spares, row(True, "key", F.col("size"))))
     if alone:
-        base = np.cumsum([0, *(missed[part] - first for part, first in sorted(alone.items()))]).tolist()
+        base = np.cumsum([0, *(missed[part][0] - first for part, first in sorted(alone.items()))]).tolist()
         firsts = spark.createDataFrame([(part, first, b) for (part, first), b in zip(sorted(alone.items()), base)], "part int, first int, base long")
         opens = F.col("base") + F.col("at") - F.col("first") < opened
         out = out.unionByName(spread(
-            swept.filter("NOT gap AND at IS NOT NULL").join(F.broadcast(firsts), "part").filter("at >= first"),
+            without.join(F.broadcast(firsts), "part").filter("at >= first"),
             F.when(opens, row(False, "key", F.col("size"), F.col("key"), 0)).otherwise(row(False, "key", F.col("size"))),
             F.when(opens, row(True, "key", F.lit(size) - F.col("size")))))
     return cut(out.filter(~F.col("gap") | (F.col("size") >= shortest))), n - opened, opened + sum(r["n"] for r in table if r["gap"])

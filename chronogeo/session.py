@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,17 +55,49 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def cut(df: DataFrame) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Runtime settings for what is run inside; afterwards all are as before."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+# The shuffle files of a job that has written its table are of no more use.
+CLEAN_UP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def cut(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Loops use this instead of a growing plan: the lineage ends in files that
     survive executor loss, columns stay prunable and Catalyst sees real sizes,
-    so it only broadcasts what is known to be small.
+    so it only broadcasts what is known to be small. `batch_rows` limits the
+    Arrow batches of Python workers in `df`. See `discard`.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/chronogeo/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    small = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)} if batch_rows else {}
+    with settings(spark, CLEAN_UP | small):
+        df.write.mode("errorifexists").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables made by `cut`, when nothing will read them any more."""
+    for table in tables:
+        path = getattr(table, "cut_to", None) if "cut_to" in vars(table) else None
+        jvm = getattr(table.sparkSession, "_jvm", None)
+        if path and jvm:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

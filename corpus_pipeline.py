@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chronogeo.llm import decontaminate, jaccard, line_dedup, packing, quality
 from chronogeo.llm.queries import tokenizer
-from chronogeo.llm.tables import cut, read
+from chronogeo.llm.tables import cut, discard, read
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,5 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

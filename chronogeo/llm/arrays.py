@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -13,7 +14,9 @@ CHUNK_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes of eight
+LONG_WORD = 1024  # bytes, beyond which a word is hashed by itself
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 # Words end at these bytes: space, tab, newline, vertical tab, form feed, carriage return.
@@ -58,10 +61,32 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] from prefix_sums(values); the same wherever the values stand."""
+    """Hash of values[start:end] from prefix_sums(values); the same wherever the values stand.
+
+    Values are hashes and spans have less than a thousand of them: a sum of powers modulo 2**64 is good for such."""
     return mix((sums[end] - sums[start]) * powers(len(sums))[1][start] + (end - start).astype(np.uint64))
 
 
+def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of data[start:end], eight bytes after the other, each step a mix of all before.
+
+    Words of up to eight bytes and equal length never share one, and there is no rule by which longer ones do: a sum of
+    powers would give equal hashes to certain regular words.
+    """
+    size = end - start
+    value = mix(size.astype(np.uint64) + _STEP)
+    eight = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), 0, (1,))
+    row = np.flatnonzero(size <= LONG_WORD)
+    at, left = start[row], size[row]
+    while len(row):
+        value[row] = mix((value[row] ^ (eight[at] & _HEAD[np.minimum(left, 8)])) * _STEP + np.uint64(1))
+        more = left > 8
+        row, at, left = row[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        value[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    return value
+
+
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and where each begins; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -100,7 +125,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> t
 
 def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
     start, end, doc, first = spans(data, offsets, space)
-    return Words(start, end, doc, span_hash(prefix_sums(_BYTE[data]), start, end), first)
+    return Words(start, end, doc, word_hash(data, start, end), first)
 
 
 def windows(w: Words, size: int) -> np.ndarray:

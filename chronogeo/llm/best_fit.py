@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays
 from chronogeo.llm.byte_bpe import encoder
-from chronogeo.llm.tables import cut
+from chronogeo.llm.tables import BATCH_ROWS, cut, discard
 
 RANGE = 100_000  # pieces and gaps in a range
 MOST_RANGES = 5_000  # beyond it ranges get larger: a few numbers of each come to the driver
@@ -281,7 +281,9 @@ def _round(units: DataFrame, gaps: DataFrame, rows: int, size: int) -> tuple[Dat
             without.join(F.broadcast(firsts), "part").filter("at >= first"),
             F.when(opens, row(False, "key", F.col("size"), F.col("key"), 0)).otherwise(row(False, "key", F.col("size"))),
             F.when(opens, row(True, "key", F.lit(size) - F.col("size")))))
-    return cut(out.filter(~F.col("gap") | (F.col("size") >= shortest))), n - opened, opened + sum(r["n"] for r in table if r["gap"])
+    state = cut(out.filter(~F.col("gap") | (F.col("size") >= shortest)))
+    discard(swept)
+    return state, n - opened, opened + sum(r["n"] for r in table if r["gap"])
 
 
 def lay_out(found: DataFrame, size: int = 1024) -> DataFrame:
@@ -304,7 +306,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end: int = 2, with_i
     Sequences have at most `size` tokens and offsets without gaps from 0. Only texts of more tokens are cut. Rows are packed
     by themselves, also if ids repeat or are null. Other columns are ignored; an empty table gives no rows.
     """
-    found = cut(pieces(docs, tokenizer, size, end, with_ids))
+    found = cut(pieces(docs, tokenizer, size, end, with_ids), BATCH_ROWS)
     placed = lay_out(found, size)
     return found.join(placed, "unit").select(
         "doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, "sequence_id", (F.col("offset") + F.col("inner")).alias("offset"))

@@ -25,18 +25,19 @@ _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 _FORMATTED = re.compile(r"<turn ((?:[^\\>]|\\.)*)>((?:[^\\<]+|\\.|<(?!/?turn))*)</turn>\n", re.DOTALL)
 
 # Layouts by their field paths. `each` is a list of turns, `turns` are (role, field) pairs of one record,
-# `one` is a record that is itself a turn. A field in brackets may be missing.
+# `one` is a record that is itself a turn. `roles` are other names that a layout has for roles; else they stay as they are.
+ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 LAYOUTS = [
     {"paths": ["role", "text"], "optional": ["conv_id", "turn", "weight"], "one": ("role", "text")},
+    {"paths": ["role", "content"], "optional": ["id", "turn", "weight"], "one": ("role", "content")},
     {"paths": ["messages[].role", "messages[].content"], "optional": ["id", "source"], "each": ("messages", "role", "content")},
-    {"paths": ["conversations[].from", "conversations[].value"], "optional": ["id", "source"], "each": ("conversations", "from", "value")},
+    {"paths": ["conversations[].from", "conversations[].value"], "optional": ["id", "source"], "each": ("conversations", "from", "value"), "roles": ROLES},
     {"paths": ["prompt", "response"], "optional": ["system"], "turns": [("system", "system"), ("user", "prompt"), ("assistant", "response")]},
     {"paths": ["prompt", "completion"], "optional": ["system"], "turns": [("system", "system"), ("user", "prompt"), ("assistant", "completion")]},
     {"paths": ["instruction", "output"], "optional": ["input", "system"],
      "turns": [("system", "system"), ("user", "instruction+input"), ("assistant", "output")]},
     {"paths": ["question", "answer"], "optional": ["context"], "turns": [("user", "context+question"), ("assistant", "answer")]},
 ]
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
 def field_paths(value, at: str = "") -> set[str]:
@@ -95,8 +96,8 @@ def _canonical_batches(layouts: list[dict]):
                 found = [(None, None)] if layout is None else turns_of(record, layout)
                 for i, (role, text) in enumerate(found):
                     out["conv_id"].append(conv)
-                    out["turn"].append(first if "one" in (layout or {}) or layout is None else i)
-                    out["role"].append(ROLES.get(role, role) if layout else None)
+                    out["turn"].append(first if "one" in (layout or {}) or layout is None else (first or 0) + i)
+                    out["role"].append(layout.get("roles", {}).get(role, role) if layout else None)
                     out["text"].append(None if layout is None else "" if text is None else str(text).encode("utf-8", "replace").decode())
                     out["unknown"].append(None if layout else print_)
             yield pa.RecordBatch.from_pydict({
@@ -109,7 +110,8 @@ def _canonical_batches(layouts: list[dict]):
 def canonical_turns(records: DataFrame, layouts: list[dict] | None = None) -> DataFrame:
     """(conv_id, turn, role, text, unknown) from (conv_id, turn, record): one row per turn.
 
-    `record` is a JSON object; `turn` places records that are single turns. Null text is empty text; a null role stays.
+    `record` is a JSON object; `turn` is the place of its first turn in the conversation. Null text is empty text; a null
+    role stays.
     Records that can't be read or have no known layout give one row with their fingerprint in `unknown`.
     """
     return records.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("record").cast("string")).mapInArrow(

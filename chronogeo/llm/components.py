@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronogeo.llm.tables import cut
+from chronogeo.llm.tables import cut, discard
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: link every larger neighbour to the smallest one. Small star: the same for smaller neighbours and oneself.
 
     The smallest neighbour comes from an aggregate with partial minima and goes back by a join, so a node with very many
-    neighbours needs no task of its own.
+    neighbours needs no task of its own. The files of `edges` go.
     """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
@@ -23,7 +23,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return cut(out.filter("a > b").distinct())
+    done = cut(out.filter("a > b").distinct())
+    discard(least, edges)
+    return done
 
 
 def _state(edges: DataFrame) -> tuple:

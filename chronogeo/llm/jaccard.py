@@ -3,36 +3,37 @@
 The n-grams of a text, as 64-bit hashes in ascending order, are a path-compressed binary trie: a subtree holds the hashes
 with one bit prefix, and its digest names its content. Two sets that link differ in at most k = n(1-t)/t elements (n: the
 smaller size, t: the similarity). At a depth with more than k subtrees one of them is equal in both, so all links are
-found among sets that share a named subtree at the depth their size asks for; short prefixes of frequent n-grams never
-match by themselves, because a subtree mixes n-grams from all over the text.
+found among sets that share a named subtree at the depth their size asks for.
 
 1. Equal sets become one class, represented by its smallest id.
-2. More than that, linked sets agree in all their filled subtrees but k. A set with fewer subtrees that any other set has
-   is linked with nothing and leaves. The others are tied to the smallest set of each subtree name (no pairs), which gives
-   candidate components.
-3. The sets of a component are traversed together: their tries are merged into one index and each set walks it subtree by
-   subtree, adding up overlaps with all others at once and stopping when what remains cannot reach the threshold.
-   Members already connected aren't compared again. A component too large for one task is dealt into blocks, and each pair
-   of blocks is a task.
-4. The links found give the components.
+2. Linked sets agree in all their filled subtrees but k. A set with fewer names that any other set has is linked with
+   nothing and leaves. Of a set that may leave out r names, some r + 1 hold one of a partner's: the rarest do, so names that
+   many texts have by chance tie nothing. The others tie their sets to the smallest one (no pairs): candidate components.
+3. The sets of a component are joined in one task over a trie of their n-grams (see trie.py), which walks shared beginnings
+   once and leaves subtrees by the lengths that remain.
+4. A component too large for a task is dealt into blocks by similarity, each set once. The links found unite sets to classes;
+   only names that several classes have count in the next round. Near copies by the million are one class after a few
+   rounds. What is still too large when a round finds no link, or after `ROUNDS`, is compared block by block.
+5. All links found give the components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays
 from chronogeo.llm.components import components
-from chronogeo.llm.tables import LAST_ID, cut, small_batches, with_key
+from chronogeo.llm.tables import BATCH_ROWS, LAST_ID, cut, discard, with_key
+from chronogeo.llm.trie import link_sets
 
-BLOCK = 400_000  # n-grams that a task traverses together
-SUBTREE = 64  # n-grams added between two looks at the bounds
+BLOCK = 2_000_000  # n-grams that a task joins together
+ROUNDS = 4  # in which a large component is dealt into blocks before it is compared block by block
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -123,60 +124,20 @@ def _set_batches(size: int):
         for rows, data, offsets in arrays.chunks(batches):
             grams, first = gram_sets(data, offsets, size)
             yield pa.RecordBatch.from_arrays(
-                [*(rows.column(i) for i in range(4)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(grams.view(np.int64)))],
-                names=["part", "k", "own", "ord", "grams"])
+                [*(rows.column(i) for i in range(rows.num_columns - 1)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(grams.view(np.int64)))],
+                names=[*rows.schema.names[:-1], "grams"])
 
     return run
 
 
-def link_forest(group: np.ndarray, grams: list[np.ndarray], percent: int) -> np.ndarray:
-    """For each set the smallest index it is connected with. group: ascending; only sets of one group are compared."""
-    total = len(grams)
-    root = np.arange(total)
-    size = np.array([len(g) for g in grams])
-    first = np.append(0, np.cumsum(size))
-    flat = np.concatenate(grams) ^ arrays.mix(np.repeat(group, size).astype(np.uint64))
-    code, _ = pd.factorize(flat)
-    order = np.argsort(code, kind="stable")
-    holder = np.repeat(np.arange(total), size)[order]  # the sets below each n-gram of the merged trie
-    begin = np.searchsorted(code[order], np.arange(code.max() + 2)) if len(code) else np.zeros(1, np.int64)
-    edges = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), total)
-    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        apart = hi - lo  # trees left in this group
-        for x in range(lo, hi - 1):
-            if apart == 1:
-                break
-            n = size[x]
-            shared, rest = np.zeros(hi - lo, np.int64), n
-            need = -(-(percent * (n + size[lo:hi])) // (100 + percent))  # I with 100 I >= p (nx + ny - I)
-            open_ = (root[lo:hi] != root[x]) & (np.arange(lo, hi) > x)
-            for a in range(first[x], first[x + 1], SUBTREE):
-                if not (open_ & (shared + np.minimum(rest, size[lo:hi]) >= need)).any():
-                    break
-                c = code[a:min(a + SUBTREE, first[x + 1])]
-                width = begin[c + 1] - begin[c]
-                at = np.repeat(begin[c] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-                shared += np.bincount(holder[at] - lo, minlength=hi - lo)
-                rest -= len(c)
-            for r in np.unique(root[lo:hi][open_ & (shared >= need)] if rest == 0 else root[:0]).tolist():
-                if r != root[x]:
-                    low, high = min(r, root[x]), max(r, root[x])
-                    root[lo:hi][root[lo:hi] == high] = low
-                    apart -= 1
-    return root
-
-
 def _link_batches(percent: int):
+    """Sorted rows (part, i, j, ord, grams); the sets of one (part, i, j) are joined when the next begins."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, number, held = None, -1, 0
-        group, ords, sets = [], [], []
-
-        def links():
-            if not sets:
-                return None
-            order = np.lexsort((np.array(ords), np.array(group)))
-            ids, groups = np.array(ords)[order], np.array(group)[order]
-            root = link_forest(groups, [sets[k] for k in order], percent)
+        key, ords, sets = None, [], []
+
+        def links() -> pa.RecordBatch:
+            root, ids = link_sets(sets, percent), np.array(ords, np.int64)
             moved = np.flatnonzero(root != np.arange(len(root)))
             return pa.RecordBatch.from_pydict({"a": ids[moved], "b": ids[root[moved]]})
 
@@ -186,17 +147,13 @@ def _link_batches(percent: int):
             keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
             for i, (own, ord_) in enumerate(zip(keys, batch.column(3).to_pylist())):
                 if own != key:
-                    if held > BLOCK:
+                    if len(sets) > 1:
                         yield links()
-                        group, ords, sets, held = [], [], [], 0
-                    key, number = own, number + 1
-                group.append(number)
+                    key, ords, sets = own, [], []
                 ords.append(ord_)
                 sets.append(flat[bounds[i]:bounds[i + 1]].copy())
-                held += len(sets[-1])
-        last = links()
-        if last is not None:
-            yield last
+        if len(sets) > 1:
+            yield links()
 
     return run
 
@@ -207,56 +164,126 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90, block: in
     A set holds the distinct n-grams of `size` words (A-Z in lower case, split at white space), for fewer words their
     whole sequence. Two documents link if 100 * intersection >= percent * union; component_id is the smallest doc_id that
     links lead to. Texts without words and null texts have an empty set and link with nothing. Rows with an equal id are one
-    node of the graph; null ids are one node that comes after all others. Other columns are ignored.
+    node of the graph; null ids are one node that comes after all others. Other columns are ignored. `percent` is 50 or more:
+    below it a set's partners could need more than the two depths that are named.
     """
-    keyed = with_key(small_batches(docs))
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be from 50 to 100")
+    keyed = with_key(docs)
     tries = cut(keyed.mapInArrow(_node_batches(size, percent), "doc_id long, ord long, tkey long, n long, da long, db long, nodes array<long>, "
-                                 "n_own int, need_own int, need_other int"))
-    classes = tries.filter("n > 0").groupBy("n", "da", "db").agg(F.min("ord").alias("rep"))
+                                 "n_own int, need_own int, need_other int"), BATCH_ROWS)
+    classes = cut(tries.filter("n > 0").groupBy("n", "da", "db").agg(F.min("ord").alias("rep")))  # stored: a frequent set's join can be split
     member = cut(tries.select("doc_id", "ord", "n", "da", "db").join(classes, ["n", "da", "db"], "left").drop("da", "db"))
-    reps = member.filter("ord = rep").select("ord").distinct()
-    near = components(_ties(tries.join(reps, "ord", "left_semi")))
-    found = components(_links(keyed, member, near, size, percent, block))
+    discard(classes)
+    sizes = member.filter("ord = rep").groupBy("ord").agg(F.sum("n").alias("n"))
+    links = _links(keyed, tries, cut(sizes), size, percent, block)
+    # An id with several texts connects their classes.
+    several = cut(member.groupBy("ord").agg(F.min("rep").alias("b"), F.max("rep").alias("hi")).filter("b < hi").select("ord", "b"))
+    same = member.join(several, "ord").select(F.col("rep").alias("a"), "b").distinct()
+    found = components(links.unionByName(same))
     return (member.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component", "rep", "ord").alias("c"))
             .select("doc_id", "n_shingles", F.when(F.col("c") < LAST_ID, F.col("c")).alias("component_id")))
 
 
-def _shared(nodes: DataFrame) -> DataFrame:
-    """(node, lead): names that two sets have, and the smallest of these."""
-    return cut(nodes.groupBy("node").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last").select("node", "lead"))
+def _names(tries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(ord, slot, need, node): names of the subtrees at a set's own depth and at that of its smallest partners."""
+    slot = lambda k, need, names: F.struct(F.lit(k).cast("byte").alias("slot"), F.col(need).alias("need"), names.alias("nodes"))
+    own = F.slice("nodes", F.lit(1), F.col("n_own"))
+    other = F.slice("nodes", F.col("n_own") + 1, F.size("nodes") - F.col("n_own"))
+    return (tries.filter("n > 0").join(sizes.select("ord"), "ord", "left_semi")
+            .select("ord", F.explode(F.array(slot(0, "need_own", own), slot(1, "need_other", other))).alias("s"))
+            .select("ord", "s.slot", "s.need", F.explode("s.nodes").alias("node")))
 
 
-def _ties(tries: DataFrame) -> DataFrame:
-    """(a, b): each set that may have links tied to the smallest one with the same subtree."""
-    nodes = (tries.select("ord", "n_own", F.posexplode("nodes").alias("pos", "node"))
-             .select("ord", (F.col("pos") >= F.col("n_own")).alias("other"), "node"))
-    needs = tries.select("ord", F.explode(F.array(
-        F.struct(F.lit(False).alias("other"), F.col("need_own").alias("need")),
-        F.struct(F.lit(True).alias("other"), F.col("need_other").alias("need")))).alias("s")).select("ord", "s.*")
-    for _ in range(2):  # the second time only sets that passed the first count as others
-        nodes = cut(nodes.join(_shared(nodes).select("node"), "node"))
-        enough = (nodes.groupBy("ord", "other").agg(F.count("*").alias("k")).join(needs, ["ord", "other"])
-                  .filter("k >= need").select("ord", "other"))
-        nodes = nodes.join(enough, ["ord", "other"])
-    nodes = cut(nodes)
-    return nodes.join(_shared(nodes), "node").filter("ord > lead").select(F.col("ord").alias("a"), F.col("lead").alias("b")).distinct()
+def _class(names: DataFrame):
+    """The class of a row's set, at first the set itself."""
+    return F.col("label" if "label" in names.columns else "ord")
 
 
-def _links(keyed: DataFrame, member: DataFrame, near: DataFrame, size: int, percent: int, block: int) -> DataFrame:
-    """(a, b): forests of links within candidate components."""
-    sizes = member.filter("ord = rep").groupBy("ord").agg(F.sum("n").alias("n"))
-    placed = cut(near.join(sizes, near["node"] == sizes["ord"]).select("node", "component", "n"))
-    blocks = placed.groupBy("component").agg(F.ceil(F.sum("n") * 2 / block).alias("k"))
-    k = F.when(F.col("k") > 2, F.col("k")).otherwise(1)
-    dealt = placed.join(blocks, "component").select("node", "component", k.alias("k"), F.pmod(F.xxhash64("node"), k).alias("own"))
-    # With k blocks a set goes to the k pairs that its block is in.
-    pair = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda o: F.struct(F.least(o, "own").alias("i"), F.greatest(o, "own").alias("j"))))
+def _shared(names: DataFrame) -> DataFrame:
+    """(node, held, lead): names that sets of several classes have, how often, and the smallest of these sets."""
+    return cut(names.groupBy("node").agg(F.min(_class(names)).alias("lo"), F.max(_class(names)).alias("hi"), F.count("*").alias("held"), F.min("ord").alias("lead"))
+               .filter("lo < hi").select("node", "held", "lead"))
+
+
+def _ties(names: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The names that may still prove a link between classes, the rarest of each set that must hold a proof, and their ties (a, b)."""
+    for _ in range(2):  # the second time only sets that passed the first count as others
+        shared = _shared(names)
+        kept = cut(names.join(shared.select("node"), "node"))
+        enough = cut(kept.groupBy("ord", "slot", "need").agg(F.count("*").alias("k")).filter("k >= need").drop("k"))
+        discard(shared, names)
+        names = cut(kept.join(enough, ["ord", "slot", "need"]))  # the same columns
+        discard(kept, enough)
+    shared = _shared(names)
+    lists = (names.join(shared.select("node", "held"), "node").groupBy("ord", _class(names).alias("label"), "slot", "need")
+             .agg(F.array_sort(F.collect_set(F.struct("held", "node"))).alias("l")))
+    few = cut(lists.select("ord", "label", F.explode(F.slice("l", F.lit(1), F.greatest(F.size("l") - F.col("need") + 1, F.lit(0)))).alias("x"))
+              .select("ord", "label", "x.node"))
+    lead = _shared(few)
+    ties = cut(few.join(lead, "node").filter("ord > lead").select(F.col("ord").alias("a"), F.col("lead").alias("b")).distinct())
+    discard(shared, lead)
+    return names, few, ties
+
+
+def _join(keyed: DataFrame, placed: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): forests of links among the sets of each (part, i, j). placed: (ord, part, pairs), pairs an array of (i, j)."""
     # The same plan at every size: the candidates grow with the input, so they are never broadcast.
-    texts = keyed.select("ord", "text").join(dealt.hint("merge"), F.col("ord") == F.col("node"))
-    sets = texts.select(F.col("component").alias("part"), F.col("k").cast("long").alias("k"), F.col("own").cast("long").alias("own"), "ord", "text")
-    return (sets.mapInArrow(_set_batches(size), "part long, k long, own long, ord long, grams array<long>")
-            .select("part", pair.alias("p"), "ord", "grams").select("part", "p.i", "p.j", "ord", "grams")
-            .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "ord")
-            .mapInArrow(_link_batches(percent), "a long, b long"))
+    texts = keyed.select(F.col("ord").alias("own"), "text").join(placed.hint("merge"), F.col("own") == F.col("ord")).select("part", "pairs", "ord", "text")
+    sets = texts.mapInArrow(_set_batches(size), "part long, pairs array<struct<i:bigint,j:bigint>>, ord long, grams array<long>")
+    return cut(sets.select("part", F.explode("pairs").alias("p"), "ord", "grams").select("part", "p.i", "p.j", "ord", "grams")
+               .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "ord")
+               .mapInArrow(_link_batches(percent), "a long, b long"), BATCH_ROWS)
+
+
+def _pair(i, j):
+    return F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"))
+
+
+def _dealt(large: DataFrame, few: DataFrame, block: int, turn: int) -> DataFrame:
+    """(ord, part, pairs): sets with the same smallest name, by a hash of the turn, go to one block; an overfull block is split."""
+    alike = few.groupBy("ord").agg(F.min(F.xxhash64("node", F.lit(turn))).alias("h"))
+    k = F.greatest(F.lit(1), F.ceil(F.col("total") * 2 / block))
+    placed = cut(large.join(alike, "ord").select("ord", "part", "n", F.pmod("h", k).alias("i")))
+    load = cut(placed.groupBy("part", "i").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 2 / block)).alias("blocks")))
+    return placed.join(load, ["part", "i"]).select("ord", "part", F.array(_pair(F.col("i"), F.pmod(F.xxhash64("ord"), "blocks"))).alias("pairs"))
+
+
+def _every_pair(large: DataFrame, block: int) -> DataFrame:
+    """(ord, part, pairs): with k blocks a set goes to the k pairs that its block is in."""
+    k = F.greatest(F.lit(1), F.ceil(F.col("total") * 2 / block)).cast("long")
+    own = F.pmod(F.xxhash64("ord"), k)
+    return large.select("ord", "part", F.transform(F.sequence(F.lit(0).cast("long"), k - 1), lambda o: _pair(F.least(o, own), F.greatest(o, own))).alias("pairs"))
+
+
+def _links(keyed: DataFrame, tries: DataFrame, sizes: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """(a, b): links that connect what links connect, among one set of each class of equal sets. The files of `tries` go."""
+    names, found = _names(tries, sizes), []
+    for turn in range(ROUNDS + 1):
+        names, few, ties = _ties(names)
+        if not turn:
+            discard(tries)
+        near = components(ties)
+        placed = cut(near.join(sizes, near["node"] == sizes["ord"]).select("ord", F.col("component").alias("part"), "n"))
+        totals = cut(placed.groupBy("part").agg(F.sum("n").alias("total")))
+        small, large = totals.filter(F.col("total") <= block), totals.filter(F.col("total") > block)
+        whole = placed.join(small, "part").select("ord", "part", F.array(_pair(F.lit(0), F.lit(0))).alias("pairs"))
+        found.append(_join(keyed, whole, size, percent))
+        if large.isEmpty():
+            break
+        rest = placed.join(large, "part")
+        last = turn == ROUNDS
+        if not last:
+            found.append(_join(keyed, _dealt(rest, few, block, turn), size, percent))
+            last = found[-1].isEmpty()
+        if last:
+            found.append(_join(keyed, _every_pair(rest, block), size, percent))
+            break
+        united = components(reduce(DataFrame.unionByName, found)).select(F.col("node").alias("ord"), "component")
+        labelled = (names.drop("label").join(cut(rest.select("ord")), "ord", "left_semi").join(cut(united), "ord", "left")
+                    .withColumn("label", F.coalesce("component", "ord")).drop("component"))
+        before, names = names, cut(labelled)
+        discard(before, few, placed, totals)
+    return reduce(DataFrame.unionByName, found)

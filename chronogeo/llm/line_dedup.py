@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronogeo.llm.tables import cut, order_of, with_key, without
+from chronogeo.llm.tables import cut, discard, order_of, with_key, without
 
 BLANK = r"^[\x20\x09-\x0D]*$"
 
@@ -33,17 +33,20 @@ def fingerprints(docs: DataFrame, run: int) -> DataFrame:
 
 
 def later_runs(docs: DataFrame, run: int) -> DataFrame:
-    """(ord, tkey, at): windows whose lines stand at an earlier place of the corpus.
+    """(ord, tkey, gone): numbers of the lines of windows that stand at an earlier place of the corpus.
 
-    Aggregates are written before they are joined, so that adaptive execution can split a join on a frequent line.
+    Aggregates are written before they are joined, so that adaptive execution can split a join on a frequent line; every
+    table goes after its last reader.
     """
     windows = cut(fingerprints(docs, run))
     place = F.struct("ord", "at")
     prints = cut(windows.groupBy("print").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("print"))
     near = windows.join(prints, "print")
     earliest = cut(near.groupBy("content").agg(F.min(place).alias("lead"), F.max(place).alias("last")).filter("lead < last"))
-    return (near.join(earliest.select("content", "lead"), "content")
-            .filter(F.struct("ord", "at") > F.col("lead")).select("ord", "tkey", "at"))
+    later = cut(near.join(earliest.select("content", "lead"), "content").filter(F.struct("ord", "at") > F.col("lead"))
+                .groupBy("ord", "tkey").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("gone")))
+    discard(windows, prints, earliest)
+    return later
 
 
 def remove_lines(docs: DataFrame, run: int = 2, stats: bool = False) -> DataFrame:
@@ -55,8 +58,7 @@ def remove_lines(docs: DataFrame, run: int = 2, stats: bool = False) -> DataFram
     shorter texts stay as they are. Rows with an equal id and different texts keep a run that only they share at the same
     place. A repeated row comes out as often as it went in. All other columns are kept.
     """
-    found = (later_runs(with_key(docs), run).groupBy("ord", "tkey")
-             .agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("gone")))
+    found = later_runs(with_key(docs), run)
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
             .select("row", order_of(F.col("row.doc_id")).alias("ord"), F.xxhash64(text).alias("tkey"))

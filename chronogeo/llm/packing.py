@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays, stock
-from chronogeo.llm.tables import cut, small_batches
+from chronogeo.llm.tables import BATCH_ROWS, cut
 from chronogeo.llm.tokens import encoder
 
 STEP = 8  # tokens in a length class
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, with
     """
     if size > 1 << 14 or size % STEP:
         raise ValueError(f"size must be a multiple of {STEP} up to {1 << 14}")
-    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         _piece_batches(tokenizer, size, end, with_ids),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
 
@@ -109,7 +109,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, with_i
 
     Every id of every document is in exactly one piece. Other columns are ignored; an empty table gives no rows.
     """
-    return lay_out(cut(pieces(docs, tokenizer, size, end, with_ids)), size)
+    return lay_out(cut(pieces(docs, tokenizer, size, end, with_ids), BATCH_ROWS), size)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

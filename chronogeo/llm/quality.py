@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays, boosting
-from chronogeo.llm.tables import small_batches
+from chronogeo.llm.tables import BATCH_ROWS, cut
 
 MOST_LABELS = 20_000  # labelled rows that a model is fitted on, those with the smallest hash of their id
 ACCEPT = 0.7
@@ -90,14 +90,16 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, **options) -> boosting.Trees:
     """A model from the texts of at most `most` labelled rows that are not held out.
 
-    Rows with a null id or null quality are no labels; several labels of an id count by their mean. The bound is on rows
+    Rows with a null id or null quality are no labels; several labels of an id count by their mean, and of several texts
+    the smallest counts. The bound is on rows
     that reach the driver: that many rows of some thirty numbers each.
     """
     chosen = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).filter(~held_out())
               .groupBy(F.col("doc_id").cast("long").alias("id_")).agg((F.avg(F.col("quality").cast("double")) >= 0.5).cast("int").alias("y"))
               .orderBy(F.xxhash64("id_"), "id_").limit(most))
     rows = (docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").cast("string").alias("text"))
-            .join(F.broadcast(chosen), "id_").dropDuplicates(["id_"]).select("text", "y").mapInArrow(_feature_batches, "x array<double>, y int").toArrow())
+            .join(F.broadcast(chosen), "id_").groupBy("id_").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+            .select("text", "y").mapInArrow(_feature_batches, "x array<double>, y int").toArrow())
     if not rows.num_rows:
         return boosting.constant(0.5)
     x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
@@ -106,9 +108,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, **options
 
 
 def _scored(docs: DataFrame, model: boosting.Trees) -> DataFrame:
-    """The columns of `docs` as c0, c1, ... (so that no name clashes) and `score_`."""
+    """The columns of `docs` as c0, c1, ... (so that no name clashes) and `score_`, lazy."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = small_batches(docs).toDF(*names)
+    rows = docs.toDF(*names)
     at = names[docs.columns.index("text")]
     rows = rows.withColumn(at, F.col(at).cast("string"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", score_ double"
@@ -121,10 +123,10 @@ def classify(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> Data
     Null text counts as empty, and an empty text is scored like any other. Null ids are not held out.
     """
     model = train(docs, labels)
-    scored = _scored(docs.select(F.col("doc_id").cast("long"), "text"), model)
+    scored = cut(_scored(docs.select(F.col("doc_id").cast("long"), "text"), model).select("c0", "score_"), BATCH_ROWS)
     return scored.withColumnRenamed("c0", "doc_id").select("doc_id", held_out().alias("held_out"), F.col("score_").alias("score"), (F.col("score_") >= accept).cast("int").alias("predicted"))
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """The rows of `docs` that the classifier accepts, with all their columns."""
-    return _scored(docs, train(docs, labels)).filter(F.col("score_") >= accept).drop("score_").toDF(*docs.columns)
+    return cut(_scored(docs, train(docs, labels)).filter(F.col("score_") >= accept).drop("score_"), BATCH_ROWS).toDF(*docs.columns)

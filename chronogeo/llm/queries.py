@@ -67,8 +67,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
-    records = rows.unionByName(probe).select("conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
-    return chat.read_back(chat.format_turns(chat.canonical_turns(records).filter("unknown IS NULL")))
+    # Conversations in three layouts that keep roles as they are; to_json makes no record of another one.
+    content = F.struct("role", F.col("text").alias("content"))
+    layouts = [F.struct("role", "text"), content, F.struct(F.array(content).alias("messages"))]
+    texts = [F.to_json(x, {"ignoreNullFields": "false"}) for x in layouts]
+    kind = F.pmod(F.xxhash64("conv_id"), F.lit(len(texts)))
+    record = F.when(kind == 0, texts[0]).when(kind == 1, texts[1]).otherwise(texts[2])
+    records = rows.unionByName(probe).select("conv_id", "turn", record.alias("record"))
+    return chat.read_back(chat.format_turns(chat.canonical_turns(records)))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays
-from chronogeo.llm.tables import LAST_ID, cut, order_of
+from chronogeo.llm.tables import BATCH_ROWS, LAST_ID, cut, order_of
 
 MOST_TERMS = 500_000  # terms, counted per item, that are sent to the tasks together
 BLOCK = 400_000  # postings that a task indexes together
@@ -173,7 +173,7 @@ def _search_block(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     send = spark.sparkContext.broadcast
     text = F.col("text").cast("string")
     counted = cut(docs.select(order_of(F.col("doc_id")).alias("ord"), text.alias("text")).mapInArrow(
-        _count_batches(send(vocabulary)), "ord long, n long, terms array<int>, tfs array<long>"))
+        _count_batches(send(vocabulary)), "ord long, n long, terms array<int>, tfs array<long>"), BATCH_ROWS)
     n_docs, tokens = counted.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     df = np.zeros(len(vocabulary), np.int64)
     for r in counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).collect():

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays
-from chronogeo.llm.tables import cut, with_key
+from chronogeo.llm.tables import BATCH_ROWS, cut, discard, with_key
 
 ROUNDS = ("run", "pair", "pair")
 SPAN = 8  # words in a symbol at most, and words at either side that decide on it
@@ -160,28 +160,35 @@ def _remove_batches(size: int):
 
 
 def repeated_spans(docs: DataFrame, size: int = 50) -> DataFrame:
-    """(ord, tkey, first, n): windows first .. first+n-1 of a document are also in an earlier one."""
+    """(ord, tkey, spans): windows first .. first+n-1 of each span (first, n) of a document are also in an earlier one.
+
+    Aggregates are written before they are joined, so that adaptive execution can split a join on a frequent passage, and
+    every table goes after its last reader.
+    """
     keyed = with_key(docs)
-    found = cut(keyed.select("ord", "tkey", "text").mapInArrow(
-        _segment_batches(size), "ord long, tkey long, anchor long, content long, first int, n int"))
-    shared = (found.groupBy("anchor").agg(F.min("ord").alias("a"), F.max("ord").alias("b"))
-              .filter("a < b").select("anchor"))
-    found = cut(found.join(shared, "anchor"))
+    every = cut(keyed.select("ord", "tkey", "text").mapInArrow(
+        _segment_batches(size), "ord long, tkey long, anchor long, content long, first int, n int"), BATCH_ROWS)
+    shared = cut(every.groupBy("anchor").agg(F.min("ord").alias("a"), F.max("ord").alias("b"))
+                 .filter("a < b").select("anchor"))
+    found = cut(every.join(shared, "anchor"))
+    discard(every, shared)
     classes = cut(found.groupBy("anchor", "content").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")))
     whole = (found.join(classes.filter("lead < last"), ["anchor", "content"]).filter("lead < ord")
              .select("ord", "tkey", "first", "n"))
     # A symbol with several contents: windows at its rim may repeat although the whole segment doesn't.
-    rims = classes.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
-    leads = (found.join(classes.join(rims, "anchor").select("anchor", "content", "lead"), ["anchor", "content"])
-             .filter("lead = ord")
+    rims = cut(classes.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor"))
+    several = cut(classes.join(rims, "anchor").select("anchor", "content", "lead"))
+    leads = (found.join(several, ["anchor", "content"]).filter("lead = ord")
              .groupBy("ord", "tkey").agg(F.collect_set(F.struct("first", "n")).alias("spans")))
     single = cut(keyed.select("ord", "tkey", "text").join(leads, ["ord", "tkey"])
                  .dropDuplicates(["ord", "tkey"]).select("ord", "tkey", "text", "spans")
-                 .mapInArrow(_window_batches(size), "ord long, tkey long, first int, wa long, wb long"))
-    earliest = single.groupBy("wa", "wb").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last")
+                 .mapInArrow(_window_batches(size), "ord long, tkey long, first int, wa long, wb long"), BATCH_ROWS)
+    earliest = cut(single.groupBy("wa", "wb").agg(F.min("ord").alias("lead"), F.max("ord").alias("last")).filter("lead < last"))
     rim = (single.join(earliest, ["wa", "wb"]).filter("lead < ord")
            .select("ord", "tkey", "first", F.lit(1).alias("n")))
-    return whole.unionByName(rim)
+    spans = cut(whole.unionByName(rim).groupBy("ord", "tkey").agg(F.collect_set(F.struct("first", "n")).alias("spans")))
+    discard(found, classes, rims, several, single, earliest)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
@@ -193,8 +200,6 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     """
     if size < MIN_WORDS:
         raise ValueError(f"a window needs {MIN_WORDS} words at least")
-    spans = (repeated_spans(docs, size).groupBy("ord", "tkey")
-             .agg(F.collect_set(F.struct("first", "n")).alias("spans")))
-    return (with_key(docs).join(spans, ["ord", "tkey"], "left").select("doc_id", "text", "spans")
+    return (with_key(docs).join(repeated_spans(docs, size), ["ord", "tkey"], "left").select("doc_id", "text", "spans")
             .mapInArrow(_remove_batches(size), "doc_id long, n_words long, n_removed long, kept string"))
 

@@ -5,27 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronogeo.session import cut
+from chronogeo.session import cut, discard
 
-__all__ = ["LAST_ID", "cut", "order_of", "read", "small_batches", "with_key", "without"]
+__all__ = ["BATCH_ROWS", "LAST_ID", "cut", "discard", "order_of", "read", "with_key", "without"]
 
 # Rows without an id are ordered after all others.
 LAST_ID = (1 << 63) - 1
-BATCH_ROWS = 500  # rows in an Arrow batch at most
+BATCH_ROWS = 500  # rows of long texts in an Arrow batch at most: both sides of a Python worker keep whole batches
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """Hold the session to small Arrow batches: both sides of a Python worker keep whole ones of long rows in memory."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return df
-
-
 def order_of(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(LAST_ID))
 

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronogeo.llm import arrays
+from chronogeo.llm.tables import BATCH_ROWS
 from chronogeo.llm.tokens import encoder
+from chronogeo.session import settings
 
 WIDTH = 2  # bytes of an id, little-endian
 BLOCK = 1 << 20  # ids in a block
@@ -41,9 +43,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, separator: int, path: str
     bytes as they are, the separator's two bytes as its line end, to any store that Spark can write to.
     """
     end = separator.to_bytes(WIDTH, "little").decode("latin-1")
-    (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_id_batches(tokenizer, separator), "ids binary")
-     .select(F.col("ids").cast("string").alias("value"))
-     .write.option("encoding", "ISO-8859-1").option("lineSep", end).text(path))
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_id_batches(tokenizer, separator), "ids binary")
+         .select(F.col("ids").cast("string").alias("value"))
+         .write.option("encoding", "ISO-8859-1").option("lineSep", end).text(path))
 
 
 def _separator_batches(separator: int, block: int):

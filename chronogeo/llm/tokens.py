@@ -47,7 +47,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.slot: dict[bytes, int] = {}
         self.size, self.used = np.zeros(1 << 16, np.int64), 0
         self.ids = np.zeros(1 << 18, np.uint32)
         self.start = np.zeros(1 << 16, np.int64)
@@ -63,10 +63,8 @@ class Encoder:
             return np.concatenate([np.zeros(0, np.uint32), *found]), np.cumsum([0, *map(len, found)])
         lower = _LOWER[data]
         w = arrays.words(lower, offsets, _BREAK)
-        code, distinct = pd.factorize(w.hash)
-        example = np.zeros(len(distinct), np.int64)
-        example[code[::-1]] = np.arange(len(code))[::-1]
-        slots = self._slots(distinct, lower.tobytes(), w.start[example].tolist(), w.end[example].tolist())
+        code, example = _distinct(lower, w)
+        slots = self._slots(lower.tobytes(), w.start[example].tolist(), w.end[example].tolist())
         word = slots[code]
         length, begin = self.size[word], self.start[word]
         ends = np.cumsum(length)
@@ -81,15 +79,15 @@ class Encoder:
             parts[i] = np.array(self.full.encode(raw[offsets[i]:offsets[i + 1]].decode(), add_special_tokens=False).ids, np.uint32)
         return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
-    def _slots(self, distinct: np.ndarray, lower: bytes, start: list[int], end: list[int]) -> np.ndarray:
+    def _slots(self, lower: bytes, start: list[int], end: list[int]) -> np.ndarray:
         if len(self.slot) > MOST_WORDS:
             self.forget()
-        names = distinct.tolist()
+        names = [lower[a:b] for a, b in zip(start, end)]
         slots = np.array([self.slot.get(h, -1) for h in names], np.int64)
         new = np.flatnonzero(slots < 0)
         if len(new):
             own = new.tolist()
-            for i, ids in zip(own, self._words([lower[start[i]:end[i]].decode() for i in own])):
+            for i, ids in zip(own, self._words([names[i].decode() for i in own])):
                 k = len(self.slot)
                 if k == len(self.size):
                     self.size, self.start = np.resize(self.size, 2 * k), np.resize(self.start, 2 * k)
@@ -120,6 +118,24 @@ class Encoder:
         return out
 
 
+def _distinct(data: np.ndarray, w: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each word among the distinct ones, and a word for each number. Hashes find them, bytes decide."""
+    code, _ = pd.factorize(w.hash)
+    example = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
+    example[code[::-1]] = np.arange(len(code))[::-1]
+    size, first = w.end - w.start, example[code]
+    same = (size == size[first]).all()
+    if same:
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        same = (data[np.repeat(w.start, size) + step] == data[np.repeat(w.start[first], size) + step]).all()
+    if not same:
+        raw = data.tobytes()
+        code, _ = pd.factorize(np.array([raw[a:b] for a, b in zip(w.start.tolist(), w.end.tolist())], object))
+        example = np.zeros(int(code.max()) + 1, np.int64)
+        example[code[::-1]] = np.arange(len(code))[::-1]
+    return code, example
+
+
 def _places(raw: bytes, mark: bytes) -> list[int]:
     found, at = [], raw.find(mark)
     while at >= 0:

@@ -32,7 +32,7 @@ from chronogeo.llm.components import components
 from chronogeo.llm.tables import BATCH_ROWS, LAST_ID, cut, discard, with_key
 from chronogeo.llm.trie import link_sets
 
-BLOCK = 2_000_000  # n-grams that a task joins together
+BLOCK = 4_000_000  # n-grams that a task joins together, some 0.3 GB there
 ROUNDS = 4  # in which a large component is dealt into blocks before it is compared block by block
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -131,26 +131,29 @@ def _set_batches(size: int):
 
 
 def _link_batches(percent: int):
-    """Sorted rows (part, i, j, ord, grams); the sets of one (part, i, j) are joined when the next begins."""
+    """Sorted rows (part, i, j, ord, label, grams); the sets of one (part, i, j) are joined when the next begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ords, sets = None, [], []
+        key, ords, labels, sets = None, [], [], []
 
         def links() -> pa.RecordBatch:
-            root, ids = link_sets(sets, percent), np.array(ords, np.int64)
-            moved = np.flatnonzero(root != np.arange(len(root)))
+            ids = np.array(ords, np.int64)
+            _, first, own = np.unique(np.array(labels, np.int64), return_index=True, return_inverse=True)
+            root = link_sets(sets, percent, first[own])
+            moved = np.flatnonzero(root != first[own])
             return pa.RecordBatch.from_pydict({"a": ids[moved], "b": ids[root[moved]]})
 
         for batch in batches:
-            grams = batch.column(4)
+            grams = batch.column(5)
             flat, bounds = grams.values.to_numpy(zero_copy_only=False).view(np.uint64), grams.offsets.to_numpy()
             keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
-            for i, (own, ord_) in enumerate(zip(keys, batch.column(3).to_pylist())):
+            for i, (own, ord_, label) in enumerate(zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist())):
                 if own != key:
                     if len(sets) > 1:
                         yield links()
-                    key, ords, sets = own, [], []
+                    key, ords, labels, sets = own, [], [], []
                 ords.append(ord_)
+                labels.append(label)
                 sets.append(flat[bounds[i]:bounds[i + 1]].copy())
         if len(sets) > 1:
             yield links()
@@ -172,28 +175,27 @@ def link_components(docs: DataFrame, size: int = 3, percent: int = 90, block: in
     keyed = with_key(docs)
     tries = cut(keyed.mapInArrow(_node_batches(size, percent), "doc_id long, ord long, tkey long, n long, da long, db long, nodes array<long>, "
                                  "n_own int, need_own int, need_other int"), BATCH_ROWS)
-    classes = cut(tries.filter("n > 0").groupBy("n", "da", "db").agg(F.min("ord").alias("rep")))  # stored: a frequent set's join can be split
-    member = cut(tries.select("doc_id", "ord", "n", "da", "db").join(classes, ["n", "da", "db"], "left").drop("da", "db"))
-    discard(classes)
-    sizes = member.filter("ord = rep").groupBy("ord").agg(F.sum("n").alias("n"))
-    links = _links(keyed, tries, cut(sizes), size, percent, block)
+    # One row per class of equal sets, combined before the shuffle; stored, so that the join of a frequent set can be split.
+    same = ["nodes", "n_own", "need_own", "need_other"]
+    classes = cut(tries.filter("n > 0").groupBy("n", "da", "db").agg(F.min("ord").alias("rep"), *[F.first(c).alias(c) for c in same]))
+    member = cut(tries.select("doc_id", "ord", "n", "da", "db").join(classes.select("n", "da", "db", "rep"), ["n", "da", "db"], "left").drop("da", "db"))
+    discard(tries)
+    links = _links(keyed, classes, size, percent, block)
     # An id with several texts connects their classes.
     several = cut(member.groupBy("ord").agg(F.min("rep").alias("b"), F.max("rep").alias("hi")).filter("b < hi").select("ord", "b"))
-    same = member.join(several, "ord").select(F.col("rep").alias("a"), "b").distinct()
-    found = components(links.unionByName(same))
+    found = components(links.unionByName(member.join(several, "ord").select(F.col("rep").alias("a"), "b").distinct()))
     return (member.join(found.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component", "rep", "ord").alias("c"))
             .select("doc_id", "n_shingles", F.when(F.col("c") < LAST_ID, F.col("c")).alias("component_id")))
 
 
-def _names(tries: DataFrame, sizes: DataFrame) -> DataFrame:
+def _names(classes: DataFrame) -> DataFrame:
     """(ord, slot, need, node): names of the subtrees at a set's own depth and at that of its smallest partners."""
     slot = lambda k, need, names: F.struct(F.lit(k).cast("byte").alias("slot"), F.col(need).alias("need"), names.alias("nodes"))
     own = F.slice("nodes", F.lit(1), F.col("n_own"))
     other = F.slice("nodes", F.col("n_own") + 1, F.size("nodes") - F.col("n_own"))
-    return (tries.filter("n > 0").join(sizes.select("ord"), "ord", "left_semi")
-            .select("ord", F.explode(F.array(slot(0, "need_own", own), slot(1, "need_other", other))).alias("s"))
+    return (classes.select(F.col("rep").alias("ord"), F.explode(F.array(slot(0, "need_own", own), slot(1, "need_other", other))).alias("s"))
             .select("ord", "s.slot", "s.need", F.explode("s.nodes").alias("node")))
 
 
@@ -228,12 +230,17 @@ def _ties(names: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return names, few, ties
 
 
-def _join(keyed: DataFrame, placed: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): forests of links among the sets of each (part, i, j). placed: (ord, part, pairs), pairs an array of (i, j)."""
+def _sets(keyed: DataFrame, placed: DataFrame, size: int) -> DataFrame:
+    """(ord, grams) of the sets of candidates."""
     # The same plan at every size: the candidates grow with the input, so they are never broadcast.
-    texts = keyed.select(F.col("ord").alias("own"), "text").join(placed.hint("merge"), F.col("own") == F.col("ord")).select("part", "pairs", "ord", "text")
-    sets = texts.mapInArrow(_set_batches(size), "part long, pairs array<struct<i:bigint,j:bigint>>, ord long, grams array<long>")
-    return cut(sets.select("part", F.explode("pairs").alias("p"), "ord", "grams").select("part", "p.i", "p.j", "ord", "grams")
+    texts = keyed.select("ord", "text").join(placed.select(F.col("ord").alias("own")).hint("merge"), F.col("ord") == F.col("own")).select("ord", "text")
+    return cut(texts.mapInArrow(_set_batches(size), "ord long, grams array<long>"), BATCH_ROWS)
+
+
+def _join(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): new links among the sets of each (part, i, j). placed: (ord, label, part, pairs), pairs an array of (i, j)."""
+    rows = sets.join(placed.withColumnRenamed("ord", "own").hint("merge"), F.col("ord") == F.col("own"))
+    return cut(rows.select("part", F.explode("pairs").alias("p"), "ord", "label", "grams").select("part", "p.i", "p.j", "ord", "label", "grams")
                .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "ord")
                .mapInArrow(_link_batches(percent), "a long, b long"), BATCH_ROWS)
 
@@ -243,47 +250,53 @@ def _pair(i, j):
 
 
 def _dealt(large: DataFrame, few: DataFrame, block: int, turn: int) -> DataFrame:
-    """(ord, part, pairs): sets with the same smallest name, by a hash of the turn, go to one block; an overfull block is split."""
+    """(ord, label, part, pairs): sets with the same smallest name, by a hash of the turn, go to one block; an overfull block is split."""
     alike = few.groupBy("ord").agg(F.min(F.xxhash64("node", F.lit(turn))).alias("h"))
     k = F.greatest(F.lit(1), F.ceil(F.col("total") * 2 / block))
-    placed = cut(large.join(alike, "ord").select("ord", "part", "n", F.pmod("h", k).alias("i")))
+    placed = cut(large.join(alike, "ord").select("ord", "label", "part", "n", F.pmod("h", k).alias("i")))
     load = cut(placed.groupBy("part", "i").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") * 2 / block)).alias("blocks")))
-    return placed.join(load, ["part", "i"]).select("ord", "part", F.array(_pair(F.col("i"), F.pmod(F.xxhash64("ord"), "blocks"))).alias("pairs"))
+    return placed.join(load, ["part", "i"]).select(
+        "ord", "label", "part", F.array(_pair(F.col("i"), F.pmod(F.xxhash64("ord"), "blocks"))).alias("pairs"))
 
 
 def _every_pair(large: DataFrame, block: int) -> DataFrame:
-    """(ord, part, pairs): with k blocks a set goes to the k pairs that its block is in."""
+    """(ord, label, part, pairs): with k blocks a set goes to the k pairs that its block is in."""
     k = F.greatest(F.lit(1), F.ceil(F.col("total") * 2 / block)).cast("long")
     own = F.pmod(F.xxhash64("ord"), k)
-    return large.select("ord", "part", F.transform(F.sequence(F.lit(0).cast("long"), k - 1), lambda o: _pair(F.least(o, own), F.greatest(o, own))).alias("pairs"))
+    return large.select("ord", "label", "part", F.transform(F.sequence(F.lit(0).cast("long"), k - 1), lambda o: _pair(F.least(o, own), F.greatest(o, own))).alias("pairs"))
 
 
-def _links(keyed: DataFrame, tries: DataFrame, sizes: DataFrame, size: int, percent: int, block: int) -> DataFrame:
-    """(a, b): links that connect what links connect, among one set of each class of equal sets. The files of `tries` go."""
-    names, found = _names(tries, sizes), []
+def _links(keyed: DataFrame, classes: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """(a, b): links that connect what links connect, among one set of each class of equal sets. Most of `classes` goes."""
+    counts = cut(classes.groupBy(F.col("rep").alias("own")).agg(F.sum("n").alias("n")))
+    names, found, sets = _names(classes), [], None
     for turn in range(ROUNDS + 1):
         names, few, ties = _ties(names)
         if not turn:
-            discard(tries)
+            discard(classes)
+        label = few.groupBy("ord").agg(F.min(_class(few)).alias("label"))
         near = components(ties)
-        placed = cut(near.join(sizes, near["node"] == sizes["ord"]).select("ord", F.col("component").alias("part"), "n"))
+        placed = cut(near.join(counts, near["node"] == counts["own"]).select("own", F.col("component").alias("part"), "n")
+                     .join(label, F.col("own") == F.col("ord")).select("ord", "label", "part", "n"))
+        if sets is None:
+            sets = _sets(keyed, placed, size)
         totals = cut(placed.groupBy("part").agg(F.sum("n").alias("total")))
-        small, large = totals.filter(F.col("total") <= block), totals.filter(F.col("total") > block)
-        whole = placed.join(small, "part").select("ord", "part", F.array(_pair(F.lit(0), F.lit(0))).alias("pairs"))
-        found.append(_join(keyed, whole, size, percent))
-        if large.isEmpty():
+        sized = placed.join(totals, "part")
+        found.append(_join(sets, sized.filter(F.col("total") <= block).select("ord", "label", "part", F.array(_pair(F.lit(0), F.lit(0))).alias("pairs")), percent))
+        large = sized.filter(F.col("total") > block)
+        if totals.filter(F.col("total") > block).isEmpty():
             break
-        rest = placed.join(large, "part")
         last = turn == ROUNDS
         if not last:
-            found.append(_join(keyed, _dealt(rest, few, block, turn), size, percent))
+            found.append(_join(sets, _dealt(large, few, block, turn), percent))
             last = found[-1].isEmpty()
         if last:
-            found.append(_join(keyed, _every_pair(rest, block), size, percent))
+            found.append(_join(sets, _every_pair(large, block), percent))
             break
-        united = components(reduce(DataFrame.unionByName, found)).select(F.col("node").alias("ord"), "component")
-        labelled = (names.drop("label").join(cut(rest.select("ord")), "ord", "left_semi").join(cut(united), "ord", "left")
-                    .withColumn("label", F.coalesce("component", "ord")).drop("component"))
-        before, names = names, cut(labelled)
-        discard(before, few, placed, totals)
+        united = cut(components(reduce(DataFrame.unionByName, found)).select(F.col("node").alias("own"), "component"))
+        still = cut(large.select(F.col("ord").alias("own")).join(united, "own", "left").select("own", F.coalesce("component", "own").alias("label")))
+        before = names
+        names = cut(names.drop("label").join(still, F.col("ord") == F.col("own")).drop("own"))
+        discard(before, few, ties, placed, totals, united, still)
+    discard(names, few)
     return reduce(DataFrame.unionByName, found)

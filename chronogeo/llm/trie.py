@@ -33,17 +33,18 @@ class Trie:
     def __init__(self, sets: list[np.ndarray], percent: int):
         m = len(sets)
         self.percent, self.n = percent, np.array([len(s) for s in sets], np.int64)
-        owner = np.repeat(np.arange(m), self.n)
-        code, _ = pd.factorize(np.concatenate(sets)) if m else (np.zeros(0, np.int64), None)
-        held = np.bincount(code) if len(code) else np.zeros(0, np.int64)
-        shared = held[code] > 1 if len(code) else np.zeros(0, bool)
-        place = np.empty(len(held), np.int64)
-        place[np.argsort(-held, kind="stable")] = np.arange(len(held))
-        code, owner = place[code[shared]], owner[shared]
-        order = np.lexsort((code, owner))
-        self.code, self.none = code[order], int((held > 1).sum())
+        code = pd.factorize(np.concatenate(sets))[0].astype(np.int32)
+        held = np.bincount(code)
+        shared = held[code] > 1
+        place = np.empty(len(held), np.int32)
+        place[np.argsort(-held, kind="stable")] = np.arange(len(held), dtype=np.int32)
+        owner = np.repeat(np.arange(m, dtype=np.int32), self.n)[shared]
+        code = place[code[shared]]
         self.size = np.bincount(owner, minlength=m)
         self.first = np.append(0, np.cumsum(self.size))
+        for a, b in zip(self.first[:-1].tolist(), self.first[1:].tolist()):
+            code[a:b].sort()
+        self.code, self.none = code, int((held > 1).sum())
         self.levels = self._grow()
 
     def _grow(self) -> list[Level]:
@@ -53,7 +54,7 @@ class Trie:
         while len(sets):
             width = np.minimum(self.size[sets] - at, step)
             spot = (self.first[sets] + at)[:, None] + np.arange(step)
-            edge = np.where(np.arange(step) < width[:, None], self.code[np.minimum(spot, len(self.code) - 1)], self.none)
+            edge = np.where(np.arange(step) < width[:, None], self.code[np.minimum(spot, len(self.code) - 1)], np.int32(self.none))
             key = np.ascontiguousarray(np.column_stack([node[sets], edge]).astype(np.int32))
             _, head, own = np.unique(key.view(f"V{key.shape[1] * 4}").ravel(), return_index=True, return_inverse=True)
             rest = self.size[sets] - at - width
@@ -96,18 +97,17 @@ class Trie:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def link_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For each set the smallest index that links lead to. The sets are sorted and not empty.
+def link_sets(sets: list[np.ndarray], percent: int, root: np.ndarray) -> np.ndarray:
+    """For each set the smallest index that links lead to. The sets are sorted and not empty; `root` is what is known so far.
 
     Two sets of one class need no join, and a pair is settled by a join of either. So the sets of the largest class are
     never joined, unless it grew by that.
     """
-    m = len(sets)
-    root = np.arange(m)
-    if m == 2:
+    m, root = len(sets), root.copy()
+    if m == 2 and root[0] != root[1]:
         n, shared = len(sets[0]) + len(sets[1]), len(np.intersect1d(*sets, assume_unique=True))
         root[1] = 0 if 100 * shared >= percent * (n - shared) else 1
-    if m <= 2:
+    if m <= 2 or (root == root[0]).all():
         return root
     trie, left = Trie(sets, percent), np.ones(m, bool)
     while True:

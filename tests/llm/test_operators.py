@@ -14,7 +14,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chronogeo.llm import arrays, boosting, chat, decontaminate, exact, jaccard, line_dedup, packing, quality, sharding, stock, substring, token_counts
+from chronogeo.llm import (
+    arrays, boosting, chat, decontaminate, exact, jaccard, line_dedup, packing, quality, queries, sharding, stock, substring, token_counts, tokens,
+    trie)
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, hash long, kept string, n long, part long, score_ double, row int"
@@ -183,9 +185,9 @@ def test_decontamination(spark, docs, empty, monkeypatch, block):
     assert decontaminate.report(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
-@pytest.mark.parametrize("block", [jaccard.BLOCK, 300])
-def test_jaccard(docs, empty, block):
-    for size, percent in ((3, 90), (1, 80)):
+@pytest.mark.parametrize("block, kinds", [(jaccard.BLOCK, ((3, 90), (1, 80))), (500, ((1, 80),))])
+def test_jaccard(docs, empty, block, kinds):
+    for size, percent in kinds:
         sets = []
         for i, t in texts():
             w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -199,6 +201,81 @@ def test_jaccard(docs, empty, block):
         want = Counter((i if i < 1 << 63 else None, len(s), low[i] if low[i] < 1 << 63 else None) for i, s in sets)
         assert got(jaccard.link_components(docs, size, percent, block), "doc_id", "n_shingles", "component_id") == want
     assert jaccard.link_components(empty).count() == 0
+    with pytest.raises(ValueError):
+        jaccard.link_components(docs, 1, 40)
+
+
+def test_an_id_with_several_texts_connects_them(spark):
+    rows = [(2, "a b c d"), (3, "k l m n"), (5, "a b c d"), (5, "k l m n"), (6, "q r s t")]
+    out = jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.component_id) for r in out.collect()} == {(2, 2), (3, 2), (5, 2), (6, 6)}
+
+
+def brute_links(sets, percent):
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_trie_joins():
+    """Families of sets with shared beginnings, sizes from 1 to 300, chance overlaps in all of them."""
+    rng = np.random.default_rng(6)
+    common = rng.integers(1, 1 << 60, 40).astype(np.uint64)
+    for percent in (50, 80, 90):
+        sets = [np.unique(rng.choice(common, rng.integers(1, 30)))]
+        for _ in range(12):
+            base = np.unique(np.append(rng.integers(1, 1 << 60, rng.integers(1, 300)).astype(np.uint64), rng.choice(common, rng.integers(0, 30))))
+            for _ in range(rng.integers(1, 9)):
+                keep = base[rng.random(len(base)) > rng.random() * 0.3]
+                sets.append(np.unique(np.append(keep, rng.integers(1, 1 << 60, rng.integers(1, 2 + len(base) // 8)).astype(np.uint64))))
+        plain = [set(s.tolist()) for s in sets]
+        want = brute_links(plain, percent)
+        assert trie.link_sets(sets, percent, np.arange(len(sets))).tolist() == want
+        known = np.array([min(j for j, r in enumerate(want) if r == w) if i % 3 else i for i, w in enumerate(want)])
+        assert trie.link_sets(sets, percent, known).tolist() == want
+        tree = trie.Trie(sets, percent)
+        for x in range(len(sets)):
+            open_ = np.arange(len(sets)) != x
+            found = {j for j, s in enumerate(plain) if j != x and 100 * len(plain[x] & s) >= percent * len(plain[x] | s)}
+            assert set(tree.join(x, open_).tolist()) == found
+    same = [np.arange(100, dtype=np.uint64)] * 5
+    assert [len(level.above) for level in trie.Trie(same, 90).levels] == [1] * 7  # one path for all
+
+
+def test_words_of_regular_letters_differ(spark):
+    """Thue-Morse words and their complements, whose sums of powers are equal modulo 2**64 for every odd base."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, f"{word} {tail}"), (2, f"{other} {tail}"), (3, word), (4, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring.remove_repeats(docs).collect()} == {1: 0, 2: 120, 3: 0, 4: 0}
+    assert {r.component_id for r in jaccard.link_components(docs, 1).filter("doc_id > 2").collect()} == {3, 4}
+    data = [x.encode() for x in (word, other, word)]
+    coder = tokens.Encoder(PATH, True)
+    ids, first = coder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    for k, text in enumerate((word, other, word)):
+        assert ids[first[k]:first[k + 1]].tolist() == ids_of(text)
+
+
+def test_equal_hashes_are_told_apart_by_bytes(monkeypatch):
+    monkeypatch.setattr(arrays, "word_hash", lambda data, start, end: (end - start).astype(np.uint64))
+    text = b"ab cd ab ef gh cd"
+    ids, _ = tokens.Encoder(PATH, True).encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert ids.tolist() == ids_of(text.decode())
+
+
+def test_settings_of_the_session_stay(spark, docs):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")}
+    packing.pack(docs, PATH).count()
+    jaccard.link_components(docs.limit(5)).count()
+    assert {k: spark.conf.get(k, None) for k in before} == before
 
 
 def test_jaccard_finds_every_link_at_the_threshold(spark):
@@ -323,13 +400,26 @@ def test_chat(spark):
 
 def test_chat_layouts(spark):
     records = ['{"messages":[{"role":"user","content":"q"},{"role":"assistant","content":null}]}', '{"id":7,"conversations":[{"from":"human","value":"q"},{"from":"gpt","value":"a"}]}',
-               '{"prompt":"q","response":"a"}', '{"instruction":"q","input":"i","output":"a"}', '{"what":1}', "no json", None, '{"messages":[]}']
+               '{"role":"human","content":"x"}', '{"prompt":"q","response":"a"}', '{"instruction":"q","input":"i","output":"a"}', '{"what":1}', "no json", None, '{"messages":[]}']
     rows = spark.createDataFrame([(i, 0, r) for i, r in enumerate(records)], "conv_id long, turn long, record string")
     out = {}
     for r in chat.canonical_turns(rows).orderBy("conv_id", "turn").collect():
         out.setdefault(r.conv_id, []).append((r.role, r.text) if r.unknown is None else "unknown")
     qa = [("user", "q"), ("assistant", "a")]
-    assert out == {0: [("user", "q"), ("assistant", "")], 1: qa, 2: qa, 3: [("user", "q\n\ni"), ("assistant", "a")], 4: ["unknown"], 5: ["unknown"], 6: ["unknown"]}
+    assert out == {0: [("user", "q"), ("assistant", "")], 1: qa, 2: [("human", "x")], 3: qa, 4: [("user", "q\n\ni"), ("assistant", "a")],
+                   5: ["unknown"], 6: ["unknown"], 7: ["unknown"]}
+
+
+def test_roles_of_conversations_stay(spark, tmp_path):
+    """The query feeds several layouts; roles that some layouts rename come back as they were."""
+    rows = [(c, t, role, f"text {c} {t}") for c in range(12) for t, role in enumerate(("human", "gpt", "assistant", "tool"))]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.write.parquet(str(tmp_path / "conversations.parquet"))
+    out = {r.conv_id: r for r in queries.op9_chat_formatting(spark, str(tmp_path)).collect()}
+    assert set(out) == {-7, *range(12)}
+    for c in range(12):
+        own = [r for r in rows if r[0] == c]
+        assert out[c].turns_sha256 == sha("".join(f"{r[2]}\n{r[3]}\n" for r in own)) and out[c].loss_sha256 == sha(f"text {c} 2")
 
 
 def test_pipeline(spark, docs):

@@ -53,7 +53,7 @@ def number_flags(spark, sf):
     path = _folder(spark)
     wide.write.parquet(f"{path}/qgis_south_buildings")
     flags = P.source_columns(wide, exclude=(*META_COLUMNS, P.resolve_id_column(wide)))
-    return readers.read_layers(spark, path).filter(c("source").isin(flags)).select("identifier", "source", "present")
+    return readers.read_layers(spark, path, sources=flags).select("identifier", "source", "present")
 
 
 @check("SELECT c_custkey AS k, c_mktsegment AS a FROM customer")

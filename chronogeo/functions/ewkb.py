@@ -107,13 +107,20 @@ def _decode_srid(batch: pa.Array) -> pa.Array:
 
 
 def _lengths(lists: pa.Array) -> np.ndarray:
+    if not len(lists):
+        return np.zeros(0, np.int64)
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _items(lists: pa.Array) -> pa.Array:
+    """The items of all lists. Where there are none, an array from Spark may lack its buffers, so it is not touched."""
+    return lists.flatten() if _lengths(lists).any() else pa.array([], lists.type.value_type)
+
+
 def _put(buf: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
     """Write each little-endian value at its position."""
     values = np.ascontiguousarray(values)
-    buf[at[:, None] + np.arange(values.dtype.itemsize)] = values.view(np.uint8).reshape(len(values), -1)
+    buf[at[:, None] + np.arange(values.dtype.itemsize)] = values.view(np.uint8).reshape(-1, values.dtype.itemsize)
 
 
 def _before(sizes: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
@@ -124,9 +131,9 @@ def _before(sizes: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
 
 def _encode(geoms: pa.Array, srids: pa.Array) -> pa.Array:
     """Little-endian multipolygons as upper-case hex."""
-    parts = geoms.flatten()
-    rings = parts.flatten()
-    x, y = rings.flatten().flatten()
+    parts = _items(geoms)
+    rings = _items(parts)
+    x, y = _items(rings).flatten()
     n_parts, n_rings, n_points = _lengths(geoms), _lengths(parts), _lengths(rings)
     row, part = np.repeat(np.arange(len(geoms)), n_parts), np.repeat(np.arange(len(parts)), n_rings)
     ring = np.repeat(np.arange(len(rings)), n_points)

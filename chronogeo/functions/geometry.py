@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 GEOMETRY_TYPE = "array<array<array<struct<x:double,y:double>>>>"
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate `value` once per row or element and hand it to `body`."""
+def let(value: Column, body) -> Column:
+    """Evaluate `value` once per row or element and hand it to `body`; the plan holds it once, too."""
     return F.transform(F.array(value), body)[0]
 
 
+_let = let
+
+
 # ---------------------------------------------------------------- text in / out
 
 def wkt_srid(wkt: Column) -> Column:
@@ -40,6 +43,10 @@ def parse_wkt(wkt: Column) -> Column:
     plain character, which needs no pattern per vertex. Text of another type or
     with anything but numbers in it is NULL.
     """
+    return let(wkt, _parsed)
+
+
+def _parsed(wkt: Column) -> Column:
     body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*\(+\s*", ""), r"\s*\)+\s*$", "")
     body = F.regexp_replace(F.regexp_replace(body, r"\s*([(),])\s*", "$1"), r"\s+", " ")
     marked = F.replace(F.replace(body, F.lit(")),(("), F.lit("|")), F.lit("),("), F.lit(";"))
@@ -84,6 +91,50 @@ def to_wkt(geom: Column) -> Column:
     return F.when(F.size(geom) == 0, F.lit("MULTIPOLYGON EMPTY")).otherwise(text)
 
 
+def _least_rotation(ring: Column) -> Column:
+    """The closed ring that begins at its smallest vertex; of several such beginnings the smallest ring."""
+    least = F.array_min(ring)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(ring), F.lit(1))), lambda i: F.get(ring, i - 1) == least)
+    turned = F.array_min(F.transform(starts, lambda i: F.concat(F.slice(ring, i, F.size(ring)), F.slice(ring, F.lit(1), i - 1))))
+    return let(turned, lambda r: F.concat(r, F.slice(r, F.lit(1), F.lit(1))))
+
+
+def _canonical_ring(ring: Column, hole: Column) -> Column:
+    opened = F.when((F.size(ring) > 1) & (F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1)), F.slice(ring, F.lit(1), F.size(ring) - 1)).otherwise(ring)
+
+    def turned(points: Column) -> Column:
+        against = _ring_turn(points) * F.when(hole, -1.0).otherwise(1.0) < 0
+        return let(F.when(against, F.reverse(points)).otherwise(points), lambda r: F.when(F.size(r) == 0, r).otherwise(_least_rotation(r)))
+
+    return let(opened, turned)
+
+
+def _ring_turn(ring: Column) -> Column:
+    """Twice the signed area, taken from the first vertex."""
+    def around(origin: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("a"))
+        return F.aggregate(ring, start, lambda acc, p: F.struct(
+            (p["x"] - origin["x"]).alias("x"), (p["y"] - origin["y"]).alias("y"),
+            (acc["a"] + acc["x"] * (p["y"] - origin["y"]) - (p["x"] - origin["x"]) * acc["y"]).alias("a")), lambda acc: acc["a"])
+
+    return let(F.get(ring, F.lit(0)), around)
+
+
+def canonical(geom: Column) -> Column:
+    """The same shape in one form: shells counter-clockwise and holes clockwise, every ring closed and begun at its
+    smallest vertex, holes and parts in order. Where a ring begins, which way it runs and how parts are listed is lost."""
+    def part(rings: Column) -> Column:
+        holes = F.sort_array(F.transform(F.slice(rings, F.lit(2), F.size(rings)), lambda r: _canonical_ring(r, F.lit(True))))
+        return F.concat(F.transform(F.slice(rings, F.lit(1), F.lit(1)), lambda r: _canonical_ring(r, F.lit(False))), holes)
+
+    return F.sort_array(F.transform(geom, part))
+
+
+def geometry_digest(geom: Column) -> Column:
+    """128 bits of the canonical form, to be stored with a row: equal shapes have equal digests."""
+    return F.md5(to_wkt(canonical(geom)))
+
+
 def geometry_key(geom: Column) -> Column:
     """Hash of the ordered vertices; equal keys mean equal coordinates."""
     return F.sha2(to_wkt(geom), 256)

@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 
 from chronogeo.functions import geometry as G
 from chronogeo.functions.years import PARSERS
+from chronogeo.operators.intervals import at_points
 from chronogeo.schema import KIND_ROWS
 
 
 class Change(NamedTuple):
+    """`parts`: the rows that were there and the new ones, where a change only adds rows."""
+
     table: DataFrame
     delta: DataFrame
+    parts: tuple[DataFrame, DataFrame] | None = None
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,7 +47,7 @@ def insert_missing(target: DataFrame, incoming: DataFrame, keys: list[str]) -> C
     known = incoming.join(target.select(*keys), keys, "left_semi").select(*keys).distinct()
     delta = fresh.select(*keys, F.lit("inserted").alias("outcome")).unionByName(
         known.select(*keys, F.lit("exists").alias("outcome")))
-    return Change(target.unionByName(fresh), delta)
+    return Change(target.unionByName(fresh), delta, (target, fresh))
 
 
 def update_from(target: DataFrame, incoming: DataFrame, keys: list[str], cols: list[str]) -> Change:
@@ -123,7 +127,7 @@ def publish_features(layers: DataFrame, features: DataFrame, kind_rows=None, dst
     known = rows.join(features.select("identifier"), "identifier", "left_semi").select("identifier").distinct()
     delta = fresh.select("identifier", F.lit("inserted").alias("outcome")).unionByName(
         known.withColumn("outcome", F.lit("exists")))
-    return Change(features.unionByName(fresh), delta)
+    return Change(features.unionByName(fresh), delta, (features, fresh))
 
 
 def true_sources(layers: DataFrame) -> DataFrame:
@@ -153,7 +157,7 @@ def publish_sources(layers: DataFrame, feature_sources: DataFrame, mode: str = "
         .agg(F.min(F.struct(kind_rank.alias("k"), rank.alias("r"), F.col("source"))).alias("first"))
         .select("identifier", "first.source")
     )
-    return Change(feature_sources.unionByName(fresh), fresh.withColumn("outcome", F.lit("inserted")))
+    return Change(feature_sources.unionByName(fresh), fresh.withColumn("outcome", F.lit("inserted")), (feature_sources, fresh))
 
 
 def place_in(order: list[str], value: Column) -> Column:
@@ -171,7 +175,7 @@ def register_sources(layers: DataFrame, source_years: DataFrame, parse: str = "r
         .withColumn("_span", span)
         .select("source", F.col("_span.start").alias("start"), F.col("_span.end").alias("end"))
     )
-    return Change(source_years.unionByName(fresh), fresh.withColumn("outcome", F.lit("inserted")))
+    return Change(source_years.unionByName(fresh), fresh.withColumn("outcome", F.lit("inserted")), (source_years, fresh))
 
 
 # ---------------------------------------------------------------- slices
@@ -188,17 +192,12 @@ def features_in_year(feature_sources: DataFrame, source_years: DataFrame, year:
     return feature_sources.join(active, "source", "left_semi").select("identifier").distinct()
 
 
-def features_by_year(feature_sources: DataFrame, source_years: DataFrame, years: DataFrame) -> DataFrame:
-    """(year, identifier) for many years.
+def as_of_dates(df: DataFrame, dates: DataFrame, begin: str = "bob", end: str = "eoe", date: str = "date") -> DataFrame:
+    """Rows valid on each of many dates, with the date: begin <= date < end, an open end is NULL. See `intervals`."""
+    return at_points(df, dates, begin, end, date)
 
-    The small dimension is unrolled to one row per source and year inside the
-    asked range, so both joins are equalities.
-    """
-    asked = years.select("year").distinct()
-    low, high = asked.agg(F.min("year"), F.max("year")).first()
-    if low is None:
-        return feature_sources.select(F.lit(None).cast(asked.schema["year"].dataType).alias("year"), "identifier").limit(0)
-    begin, end = F.greatest(F.col("start"), F.lit(low)), F.least(F.col("end"), F.lit(high))
-    spans = source_years.filter(begin <= end).select("source", F.explode(F.sequence(begin, end)).alias("year"))
-    active = spans.join(asked, "year", "left_semi")
-    return feature_sources.join(active, "source").select("year", "identifier").distinct()
+
+def features_by_year(feature_sources: DataFrame, source_years: DataFrame, years: DataFrame) -> DataFrame:
+    """(year, identifier) for many years: the spans of the small dimension meet the years, both joins are equalities."""
+    active = at_points(source_years.select("source", "start", "end"), years, "start", "end", "year", closed=True)
+    return feature_sources.join(active.select("source", "year"), "source").select("year", "identifier").distinct()

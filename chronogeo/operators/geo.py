@@ -116,8 +116,9 @@ def geometry_diff(layer: DataFrame, features: DataFrame, srid: int = 3857,
     """Pairs whose coordinates differ, with centroid shift, area change and a significance flag.
 
     The comparison uses the repaired and projected layer geometry; the measures
-    use the projected geometry as drawn. Equal pairs are dropped right after the
-    join, so only differing rows are measured.
+    use the projected geometry as drawn. Pairs with equal coordinates are dropped
+    right after the join, then pairs with one canonical form (see
+    `geometry_digest`), so only differing rows are measured.
     """
     a = layer.select("layer", "identifier", "srid", G.parse_wkt(F.col("geometry")).alias("_raw"))
     a = a.select(
@@ -125,7 +126,8 @@ def geometry_diff(layer: DataFrame, features: DataFrame, srid: int = 3857,
         G.transform_by_srid(F.col("_raw"), F.col("srid"), srid).alias("_a"),
         G.transform_by_srid(G.repair_rings(F.col("_raw")), F.col("srid"), srid).alias("_fixed"))
     b = features.select("identifier", G.parse_wkt(F.col("geometry")).alias("_b"))
-    pairs = a.join(b, "identifier").filter(F.col("_fixed") != F.col("_b"))
+    pairs = a.join(b, "identifier").filter(
+        (F.col("_fixed") != F.col("_b")) & (G.geometry_digest(F.col("_fixed")) != G.geometry_digest(F.col("_b"))))
     pairs = with_measures(with_measures(pairs, "_a", "layer_"), "_b", "prod_")
     shift = G.distance(F.col("layer_cx"), F.col("layer_cy"), F.col("prod_cx"), F.col("prod_cy"))
     return pairs.select(

@@ -208,7 +208,9 @@ def closure(links: DataFrame, acyclic: bool = False) -> DataFrame:
 
 
 def ancestor_counts(pairs: DataFrame) -> DataFrame:
-    """(s, o, n): number of nodes on the way from `s` up to `o`, both ends included.
+    """(s, o, n): number of nodes on the way from `s` up to `o`, both ends included, from pairs (s, o) alone.
+
+    `hierarchy.way_counts` needs no join of the pairs with themselves where every node has one parent.
 
     Counts are combined before the shuffle; pairs meet on the middle node, where
     the side of the (few) ancestors of one node is the short one.

@@ -40,14 +40,18 @@ def table_columns(tables: dict[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- union of periods
 
-def apply_contract(df: DataFrame, contract: T.StructType, aliases: dict[str, str] | None = None) -> DataFrame:
-    """Rename drifted columns, then cast to the contract; absent columns become NULL."""
+def apply_contract(df: DataFrame, contract: T.StructType, aliases: dict[str, str] | None = None, unreadable: str | None = None) -> DataFrame:
+    """Rename drifted columns, then cast to the contract; absent columns become NULL.
+
+    So do values that cannot be read as the type; `unreadable` names a column that counts them per row.
+    """
     df = df.withColumnsRenamed(aliases or {})
-    have = set(df.columns)
-    return df.select(*[
-        (named(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in contract
-    ])
+    have = [f for f in contract if f.name in df.columns]
+    out = [(named(f.name).try_cast(f.dataType) if f in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in contract]
+    if unreadable:
+        lost = [(named(f.name).isNotNull() & named(f.name).try_cast(f.dataType).isNull()).cast("int") for f in have]
+        out.append(reduce(lambda a, b: a + b, lost, F.lit(0)).alias(unreadable))
+    return df.select(*out)
 
 
 def tag_period(df: DataFrame, period: str, column: str = "period") -> DataFrame:

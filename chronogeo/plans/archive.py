@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronogeo.functions import text as X
 from chronogeo.operators import graph as R
+from chronogeo.operators import hierarchy as H
 from chronogeo.schema import VOCAB, Vocabulary
 from chronogeo.session import cut
 
@@ -56,12 +57,16 @@ def populate_paths(paths: DataFrame, links: DataFrame, labels: DataFrame, done:
 
 
 def extend_paths(roots: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
-    """Populate level by level until nothing is added.
+    """Roots and everything below them, each with the path of its parent and its own label.
 
-    Only the last level is joined: whoever has a parent on an earlier level got
-    its path then. Nodes on a cycle are never reached from a root.
+    With one parent each, paths double per round (`hierarchy.paths_by_doubling`). Else they are populated level by level
+    until nothing is added: only the last level is joined, and whoever has a parent on an earlier level got its path then.
+    Nodes on a cycle are never reached from a root.
     """
-    links, labels = cut(links.select("s", "o")), cut(labels.select("s", "label"))
+    links, labels = cut(H.distinct_links(links)), cut(labels.select("s", "label").distinct())
+    roots = cut(roots.select("s", "path"))
+    if not H.has_several_parents(links):
+        return roots.unionByName(H.paths_by_doubling(roots, links, labels))
     frontier = cut(roots.select("s", "path"))
     out = frontier
     while not frontier.isEmpty():
@@ -94,16 +99,10 @@ def path_triples(paths: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
 def item_paths(links: DataFrame, labels: DataFrame, items: DataFrame | None = None, acyclic: bool = False) -> DataFrame:
     """(s, item_label): distinct labels of an item and all nodes above it, the farthest first.
 
-    The list of one item is as long as its chain of ancestors.
+    The list of one item is as long as its chain of ancestors. With `items`, only these walk up; items that no link
+    names have themselves alone.
     """
-    pairs = R.closure(links, acyclic=acyclic).select("s", "o")
-    if items is not None:
-        pairs_of = pairs.join(items.select("s").distinct(), "s", "left_semi")
-        down = pairs_of.select("s", F.col("o").alias("mid"))
-        up = pairs.select(F.col("s").alias("mid"), "o")
-        counts = down.join(up, "mid").groupBy("s", "o").agg(F.count("*").alias("n"))
-    else:
-        counts = R.ancestor_counts(pairs)
+    counts = H.way_counts(R.closure(links, acyclic=acyclic) if items is None else H.ancestors_of(links, items), links)
     named = counts.join(labels.select(F.col("node").alias("o"), "label"), "o")
     # a label met twice counts once, at its farthest place
     far = named.groupBy("s", "label").agg(F.max("n").alias("n"))

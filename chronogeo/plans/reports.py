@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronogeo.operators import geo
+from chronogeo.operators import periods as P
 
 
 def identifier_mismatches(layer: DataFrame, features: DataFrame, rdf: DataFrame) -> DataFrame:
@@ -25,6 +26,11 @@ def identifier_mismatches(layer: DataFrame, features: DataFrame, rdf: DataFrame)
     return flags.join(rdf.select("identifier", "building").distinct(), "identifier", "left")
 
 
+def ordered(df: DataFrame, by: list[str], place: str = "place") -> DataFrame:
+    """`df` with the place of each row from 1 in the order of `by`, so that a list stays ordered wherever it is stored."""
+    return P.assign_sequence_ids(df, "", 1, by, place).withColumn(place, F.col(place).cast("long"))
+
+
 def mismatch_kinds(mismatches: DataFrame) -> DataFrame:
     """Rows that disagree, with the kind of disagreement."""
     kind = (

@@ -65,20 +65,22 @@ def union_layers(layers: dict[tuple[str, str], DataFrame], srid: int = 3857) ->
     return reduce(lambda a, b: a.unionByName(b), [layer_to_long(df, s, k, srid) for (s, k), df in layers.items()])
 
 
-def read_layers(spark: SparkSession, root: str, sites: list[str] | None = None, prefix: str = "qgis_", srid: int = 3857) -> DataFrame:
+def read_layers(spark: SparkSession, root: str, sites: list[str] | None = None, prefix: str = "qgis_", srid: int = 3857,
+                sources: list[str] | None = None) -> DataFrame:
     """Long form of all parquet layers under `root`, one folder per layer.
 
     One scan with merged schemas; site and kind come from the file path. Flags a
     layer does not have are NULL there and are left out. The identifier is the
-    first known id column that the row fills; flags may be booleans or whole
-    numbers, where any but 0 is true; an unset srid is `srid`.
+    first known id column that the row fills. Boolean columns are flags; a column
+    of whole numbers is one only if `sources` lists it, and any but 0 is true
+    there. Other columns are metadata of the layer. An unset srid is `srid`.
     """
     df = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(root)
     ids = [c for c in ID_COLUMNS if c in df.columns]
     if not ids:
         raise ValueError(f"no identifier column under {root}")
-    number = (T.BooleanType, T.IntegralType)
-    flags = [f.name for f in df.schema if isinstance(f.dataType, number) and f.name not in (*META_COLUMNS, *ids, "srid")]
+    flags = [f.name for f in df.schema if f.name not in (*META_COLUMNS, *ids, "srid") and (
+        isinstance(f.dataType, T.BooleanType) or isinstance(f.dataType, T.IntegralType) and f.name in (sources or ()))]
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     site, kind = split_layer_name(folder, prefix)
     have = set(df.columns)
@@ -94,12 +96,25 @@ def read_layers(spark: SparkSession, root: str, sites: list[str] | None = None,
     return rows.unpivot([F.col(c) for c in keys], [P.named(f) for f in flags], "source", "present").filter("present is not null")
 
 
-def read_layer_tsv(spark: SparkSession, path: str, id_col: str = "identifier", geometry: str = "geometry") -> DataFrame:
-    """Tab file with header; every column but id and geometry is a 0/1 flag and becomes boolean."""
+# Columns of a layer file that are never flags.
+FILE_COLUMNS = (*META_COLUMNS, *ID_COLUMNS, "id", "srid")
+
+
+def read_layer_tsv(spark: SparkSession, path: str, flags: list[str] | None = None, unreadable: str | None = None) -> DataFrame:
+    """Tab file with header: flags as booleans, all other columns as text.
+
+    Without a list, every column is a flag that is no known metadata column. A flag is 1, t, true or yes, or 0, f, false or
+    no; an empty one is NULL, and so is any other text. `unreadable` names a column that counts such texts per row.
+    """
     raw = spark.read.option("sep", "\t").option("header", "true").option("maxCharsPerColumn", "-1").csv(path)
-    return raw.select(*[
-        P.named(c) if c in (id_col, geometry) else F.coalesce(P.named(c).try_cast("int") == 1, F.lit(False)).alias(c)
-        for c in raw.columns])
+    chosen = [c for c in raw.columns if (c not in FILE_COLUMNS if flags is None else c in flags)]
+    value = lambda c: F.lower(F.trim(P.named(c)))
+    read = {c: F.when(value(c).isin("1", "t", "true", "yes"), True).when(value(c).isin("0", "f", "false", "no"), False) for c in chosen}
+    out = [read[c].alias(c) if c in read else P.named(c) for c in raw.columns]
+    if unreadable:
+        bad = [F.coalesce(read[c].isNull() & (F.trim(P.named(c)) != ""), F.lit(False)).cast("int") for c in chosen]
+        out.append(reduce(lambda a, b: a + b, bad, F.lit(0)).alias(unreadable))
+    return raw.select(*out)
 
 
 _HEAD = r"^\s*(<[^>]*>|_:\S+)\s+(<[^>]*>)\s+"

@@ -49,7 +49,8 @@ def test_unlisted_sources_come_last(spark):
 def test_layers_with_other_ids_and_number_flags(spark, tmp_path):
     spark.createDataFrame([("b1", "POINT", 1, 0)], "BW_ID string, geometry string, `1900` int, `2000` int").write.parquet(str(tmp_path / "qgis_AA_buildings"))
     spark.createDataFrame([("c1", "POINT", True)], "identifier string, geometry string, `1800` boolean").write.parquet(str(tmp_path / "qgis_BB_buildings"))
-    got = rows(readers.read_layers(spark, str(tmp_path)), "identifier", "srid", "source", "present")
+    assert rows(readers.read_layers(spark, str(tmp_path)), "identifier", "source") == [("c1", "1800")]
+    got = rows(readers.read_layers(spark, str(tmp_path), sources=["1900", "2000"]), "identifier", "srid", "source", "present")
     assert got == [("b1", 3857, "1900", True), ("b1", 3857, "2000", False), ("c1", 3857, "1800", True)]
 
 

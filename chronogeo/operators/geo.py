@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronogeo.functions import geometry as G
 from chronogeo.operators.features import as_of
+from chronogeo.session import cut
 
 
 def with_geometry(df: DataFrame, wkt: str = "geometry", out: str = "geom") -> DataFrame:
@@ -116,19 +117,21 @@ def geometry_diff(layer: DataFrame, features: DataFrame, srid: int = 3857,
     """Pairs whose coordinates differ, with centroid shift, area change and a significance flag.
 
     The comparison uses the repaired and projected layer geometry; the measures
-    use the projected geometry as drawn. Pairs with equal coordinates are dropped
-    right after the join, then pairs with one canonical form (see
-    `geometry_digest`), so only differing rows are measured.
+    use the projected geometry as drawn. Shapes are the same if their digests are
+    (`geometry_digest`). Digests and measures are made row by row before the
+    join, which moves these few numbers and no vertex. The texts are parsed once,
+    into stored tables: else the plan of a text that is still to be made would
+    be repeated wherever its geometry is used.
     """
-    a = layer.select("layer", "identifier", "srid", G.parse_wkt(F.col("geometry")).alias("_raw"))
+    a = cut(layer.select("layer", "identifier", "srid", G.parse_wkt(F.col("geometry")).alias("_raw")))
     a = a.select(
         "layer", "identifier", "srid",
         G.transform_by_srid(F.col("_raw"), F.col("srid"), srid).alias("_a"),
         G.transform_by_srid(G.repair_rings(F.col("_raw")), F.col("srid"), srid).alias("_fixed"))
-    b = features.select("identifier", G.parse_wkt(F.col("geometry")).alias("_b"))
-    pairs = a.join(b, "identifier").filter(
-        (F.col("_fixed") != F.col("_b")) & (G.geometry_digest(F.col("_fixed")) != G.geometry_digest(F.col("_b"))))
-    pairs = with_measures(with_measures(pairs, "_a", "layer_"), "_b", "prod_")
+    a = with_measures(a, "_a", "layer_").withColumn("_da", G.geometry_digest(F.col("_fixed"))).drop("_a", "_fixed")
+    b = cut(features.select("identifier", G.parse_wkt(F.col("geometry")).alias("_b")))
+    b = with_measures(b, "_b", "prod_").withColumn("_db", G.geometry_digest(F.col("_b"))).drop("_b")
+    pairs = a.join(b, "identifier").filter(F.col("_da") != F.col("_db"))
     shift = G.distance(F.col("layer_cx"), F.col("layer_cy"), F.col("prod_cx"), F.col("prod_cy"))
     return pairs.select(
         "layer", "identifier", "srid",

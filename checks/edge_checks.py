@@ -97,7 +97,7 @@ def import_site(spark, sf):
     year = F.element_at(F.array(*[F.lit(y) for y in _SITE.flags]), (c("l_suppkey") % len(_SITE.flags) + 1).cast("int"))
     rows = table(spark, sf, "lineitem").select(
         c("l_orderkey").cast("long").alias("id"), F.lit("G").alias("geometry"), v.txt("P_", c("l_partkey")).alias("BW_ID"), year.alias("Date"))
-    layer = E.import_layer(E.export_site([rows], _SITE), _SITE.mapping)
+    layer = E.import_layer(E.export_site([rows], _SITE, E.CONTRACT), _SITE.mapping)
     return P.to_long(layer, ["identifier"], list(_SITE.mapping)).select("identifier", "source", c("present").cast("boolean").alias("present"))
 
 

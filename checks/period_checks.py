@@ -212,7 +212,7 @@ def export_site(spark, sf):
         c("l_orderkey").alias("id"), v.txt("S_", c("l_suppkey")).alias("geom"),
         F.when(c("l_linestatus") == "F", v.txt("L_", c("l_partkey"))).alias("bw_id"), F.year("l_shipdate").cast("string").alias("bob"), "l_returnflag")
     config = E.SiteExport("s", "buildings", {"y2019": "2001", "y1982": "1995"}, {"geom": "geometry", "bw_id": "BW_ID", "bob": "Date"})
-    return E.export_site([rows.filter(c("l_returnflag") == f).drop("l_returnflag") for f in "ANR"], config)
+    return E.export_site([rows.filter(c("l_returnflag") == f).drop("l_returnflag") for f in "ANR"], config, E.CONTRACT)
 
 
 @check(with_views("periods") + """, m AS (SELECT * FROM (VALUES ('A', '2001', 'Today'), ('A', '2000', 'Today'), ('N', '1995', '1982: Ortofoto'), ('R', '1995', '1982: Ortofoto')) t(flag, period, source))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chronogeo.functions import text as X
 from chronogeo.schema import VOCAB, Vocabulary
-from chronogeo.session import cut
+from chronogeo.session import cut, discard
 
 TRIPLE_COLUMNS = ["g", "s", "p", "o", "o_type", "lang", "dtype"]
 
@@ -239,3 +239,21 @@ def ancestor_chain(nodes: DataFrame, links: DataFrame, labels: DataFrame, levels
         out = out.join(step, "_at", "left").select(
             "node", F.concat(head, F.col("path")).alias("path"), F.coalesce("_up", end).alias("_at"))
     return out.select("node", "path").distinct()
+
+
+def reached(links: DataFrame, start: DataFrame) -> DataFrame:
+    """Distinct `node`s met from the `node`s of `start` along links (s, o), these included; NULL starts nowhere.
+
+    A round joins the links with the nodes of the round before alone and each node is passed once, so what is shuffled
+    follows what is reached. The result is a table of `session.cut`.
+    """
+    frontier = cut(start.select("node").filter("node IS NOT NULL").distinct())
+    seen, tables = frontier, [frontier]
+    while not frontier.isEmpty():
+        step = links.join(frontier, F.col("s") == F.col("node"), "left_semi").select(F.col("o").alias("node"))
+        frontier = cut(step.filter("node IS NOT NULL").distinct().join(seen, "node", "left_anti"))
+        tables.append(frontier)
+        seen = seen.unionByName(frontier)
+    out = cut(seen)
+    discard(*tables)
+    return out

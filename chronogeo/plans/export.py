@@ -61,10 +61,11 @@ CONTRACT = T.StructType([
 ])
 
 
-def export_site(tables: list[DataFrame], config: SiteExport, contract: T.StructType = CONTRACT) -> DataFrame:
+def export_site(tables: list[DataFrame], config: SiteExport, contract: T.StructType) -> DataFrame:
     """(identifier, 0/1 flags, geometry) of one site and kind.
 
-    Union without duplicates, stable ids for rows without one, flags per period.
+    Union without duplicates, stable ids for rows without one, flags per period. Rows are duplicates when they agree in all
+    columns of the contract, so it names every column in which rows of the site may differ; `CONTRACT` has the least.
     """
     same = [P.apply_contract(t, contract, config.aliases) for t in tables]
     rows = P.union_periods(same)

@@ -52,6 +52,20 @@ def write_issue_report(issues: DataFrame, path: str, mode: str = "errorifexists"
     issues.write.mode(mode).partitionBy("category").json(path)
 
 
+def write_keyed(df: DataFrame, name: str, key: str = "identifier", buckets: int = 64, path: str | None = None,
+                mode: str = "errorifexists") -> DataFrame:
+    """Catalog table in buckets of a key, one file per bucket, sorted by it.
+
+    Joins on the key read the stored side as it lies: neither shuffled nor, with one file per bucket, sorted. Tables that
+    are joined with each other get the same number of buckets. Choose it so that a bucket fits an executor; it holds all
+    rows of its keys, so the key should be (nearly) unique.
+    """
+    rows = df.repartition(buckets, key).sortWithinPartitions(key)
+    out = rows.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    (out.option("path", path) if path else out).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Replace a catalog table."""
     df.write.mode("overwrite").saveAsTable(name)

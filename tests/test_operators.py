@@ -29,13 +29,13 @@ def test_export_site_unions_and_flags(spark):
     a = spark.createDataFrame([(1, "G1", "A", "1982"), (1, "G1", "A", "1982"), (2, "G2", None, "1982")], "id int, geom string, bw_id string, Date string")
     b = spark.createDataFrame([(3, "G1", "A", "2019", 1.5)], "id long, geometry string, BW_ID string, Date string, Height double")
     config = E.SiteExport("s", "islands", {"1982": "1982", "2019": "2019"}, {"geom": "geometry", "bw_id": "BW_ID"})
-    out = E.export_site([a, b], config)
+    out = E.export_site([a, b], config, E.CONTRACT)
     assert out.columns == ["identifier", "geometry", "1982", "2019"]
     got = rows(out)
     assert [r for r in got if r[0] == "A"] == [("A", "G1", 0, 1), ("A", "G1", 1, 0)]
     (filled,) = [r for r in got if r[0] != "A"]
     assert len(filled[0]) == 36 and filled[1:] == ("G2", 1, 0)
-    assert got == rows(E.export_site([a, b], config))
+    assert got == rows(E.export_site([a, b], config, E.CONTRACT))
     layer = E.import_layer(out, {"Today": ["2019"], "1982: Ortofoto": ["1982", "1981"], "1694:dis.22": ["1694"]})
     assert [r for r in rows(layer) if r[0] == "A"] == [("A", "G1", True, True, False)]
     assert E.unmapped_periods(out, {"Today": ["2019"]}) == ["1982"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -86,24 +87,25 @@ class Encoder:
         slots = np.array([self.slot.get(h, -1) for h in names], np.int64)
         new = np.flatnonzero(slots < 0)
         if len(new):
-            own = new.tolist()
-            for i, ids in zip(own, self._words([names[i].decode() for i in own])):
-                k = len(self.slot)
-                if k == len(self.size):
-                    self.size, self.start = np.resize(self.size, 2 * k), np.resize(self.start, 2 * k)
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.resize(self.ids, 2 * len(self.ids))
-                self.ids[self.used:self.used + len(ids)] = ids
-                self.size[k], self.start[k] = len(ids), self.used
-                self.used += len(ids)
-                self.slot[names[i]] = k
-                slots[i] = k
+            fresh = [names[i] for i in new.tolist()]
+            found = self._words([x.decode() for x in fresh])
+            length = np.fromiter(map(len, found), np.int64, len(found))
+            k, used, more = len(self.slot), self.used, int(length.sum())
+            while k + len(new) > len(self.size):
+                self.size, self.start = np.resize(self.size, 2 * len(self.size)), np.resize(self.start, 2 * len(self.start))
+            while used + more > len(self.ids):
+                self.ids = np.resize(self.ids, 2 * len(self.ids))
+            self.ids[used:used + more] = np.fromiter(chain.from_iterable(found), np.uint32, more)
+            self.size[k:k + len(new)], self.start[k:k + len(new)] = length, used + np.cumsum(length) - length
+            self.used += more
+            self.slot.update(zip(fresh, range(k, k + len(new))))
+            slots[new] = np.arange(k, k + len(new))
         return slots
 
     def _words(self, words: list[str]) -> list[list[int]]:
         """A full stop or comma after a letter always begins a piece of its own."""
         stems = [x.rstrip(".,") for x in words]
-        plain = [s.isalpha() and max(s) < "̀" for s in stems]
+        plain = [s.isalpha() and (s.isascii() or max(s) < "̀") for s in stems]
         made = iter(self.bare.encode_batch_fast([s.lower() for s, p in zip(stems, plain) if p], add_special_tokens=False))
         other = iter(self.text.encode_batch_fast([x for x, p in zip(words, plain) if not p], add_special_tokens=False))
         out = []
@@ -112,22 +114,27 @@ class Encoder:
                 rim = word[len(stem):]
                 if rim not in self.rims:
                     self.rims[rim] = self.text.encode(rim, add_special_tokens=False).ids
-                out.append(next(made).ids + self.rims[rim])
+                out.append(next(made).ids + self.rims[rim] if rim else next(made).ids)
             else:
                 out.append(next(other).ids)
         return out
 
 
 def _distinct(data: np.ndarray, w: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each word among the distinct ones, and a word for each number. Hashes find them, bytes decide."""
+    """Number of each word among the distinct ones, and a word for each number. Hashes find them, bytes decide.
+
+    Words of one length of up to eight bytes never share a hash, so only the bytes of longer ones are compared.
+    """
     code, _ = pd.factorize(w.hash)
     example = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
     example[code[::-1]] = np.arange(len(code))[::-1]
     size, first = w.end - w.start, example[code]
     same = (size == size[first]).all()
     if same:
+        long = np.flatnonzero((size > 8) & (first != np.arange(len(code))))
+        size, start, other = size[long], w.start[long], w.start[first[long]]
         step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        same = (data[np.repeat(w.start, size) + step] == data[np.repeat(w.start[first], size) + step]).all()
+        same = (data[np.repeat(start, size) + step] == data[np.repeat(other, size) + step]).all()
     if not same:
         raw = data.tobytes()
         code, _ = pd.factorize(np.array([raw[a:b] for a, b in zip(w.start.tolist(), w.end.tolist())], object))

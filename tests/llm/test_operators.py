@@ -87,6 +87,27 @@ def test_line_dedup(docs, empty):
     assert got(line_dedup.remove_lines(docs, 4, stats=True).filter("doc_id = 51"), "n_removed") == Counter([(0,)])
 
 
+def test_selected_lines(spark):
+    """Every window selects its last smallest hash, each selected line is one row, and longer runs go as in a plain search."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(rng.choice(["a", "b", "c", "d", "", "e e"]) for _ in range(rng.randint(0, 30)))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = dict(spark.createDataFrame([(x,) for x in ("a", "b", "c", "d", "e e")], "t string").select("t", F.xxhash64("t")).collect())
+    for run in (1, 2, 3, 5):
+        picked, seen, gone = Counter(), {}, {}
+        for i, t in rows:
+            filled = [(k, x) for k, x in enumerate(t.split("\n")) if x]
+            lows = [min(filled[p:p + run], key=lambda c: (prints[c[1]], -c[0]))[0] for p in range(len(filled) - run + 1)]
+            picked.update((i, at, n + run - 1) for at, n in Counter(lows).items())
+            for p in range(len(lows)):
+                if seen.setdefault(tuple(x for _, x in filled[p:p + run]), (i, p)) != (i, p):
+                    gone.setdefault(i, set()).update(k for k, _ in filled[p:p + run])
+        keyed = line_dedup.with_key(docs)
+        assert got(line_dedup.selected_lines(keyed, run).select("ord", "at", F.size("around")), *["ord", "at", "size(around)"]) == picked
+        out = line_dedup.remove_lines(docs, run, stats=True)
+        assert got(out, "doc_id", "n_removed") == Counter((i, len(gone.get(i, ()))) for i, _ in rows)
+
+
 def test_sharding(spark, docs, empty):
     for limit in (100, 600, 3000, 1 << 30):
         rows = sharding.assign_shards(docs, limit).collect()

@@ -246,15 +246,17 @@ def complete_registry(spark, sf):
 
 
 def _rdf(spark, sf):
-    """Labels the graph uses: published ids of urgent orders, and suppliers with a typo; used by their nation."""
-    own = table(spark, sf, "orders").filter("o_orderpriority in ('1-URGENT', '2-HIGH')").join(table(spark, sf, "customer"), c("o_custkey") == c("c_custkey"))
-    a = own.select(v.txt("C_BLDG_", c("o_custkey"), F.when(c("o_orderpriority") == "2-HIGH", ".2").otherwise("")).alias("identifier"), v.txt("B", c("c_nationkey")).alias("building"))
+    """Labels the graph uses: ids of orders, without a suffix where finished, and suppliers with a typo; used by their nation."""
+    own = table(spark, sf, "orders").join(table(spark, sf, "customer"), c("o_custkey") == c("c_custkey"))
+    digit = F.substring("o_orderpriority", 1, 1)
+    suffix = F.when(c("o_orderstatus").eqNullSafe("F") | (digit == "1"), "").otherwise(F.concat(F.lit("."), digit))
+    a = own.select(v.txt("C_BLDG_", c("o_custkey"), suffix).alias("identifier"), v.txt("B", c("c_nationkey")).alias("building"))
     b = table(spark, sf, "supplier").select(v.txt("SUP ", c("s_suppkey")).alias("identifier"), v.txt("B", c("s_nationkey")).alias("building"))
     return a.unionByName(b).distinct()
 
 
-_RDF = """, rdf AS (SELECT DISTINCT 'C_BLDG_' || o_custkey || CASE WHEN o_orderpriority = '2-HIGH' THEN '.2' ELSE '' END AS identifier, 'B' || c_nationkey AS building
- FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') UNION ALL
+_RDF = """, rdf AS (SELECT DISTINCT 'C_BLDG_' || o_custkey || CASE WHEN o_orderstatus = 'F' OR o_orderpriority = '1-URGENT' THEN '' ELSE '.' || left(o_orderpriority, 1) END AS identifier,
+  'B' || c_nationkey AS building FROM orders JOIN customer ON o_custkey = c_custkey UNION ALL
  SELECT 'SUP ' || s_suppkey, 'B' || s_nationkey FROM supplier)"""
 _ISSUES = with_views("layer", "published", "published_sources", "source_years", "registry") + _RDF + """, issues AS (
  SELECT DISTINCT 'missing_from_production' AS category, site || '_' || kind AS "table", identifier AS item, CAST(NULL AS VARCHAR) AS detail FROM layer

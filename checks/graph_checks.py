@@ -297,10 +297,10 @@ def creation_events(spark, sf):
     return PV.creation_events(v.stored(spark, sf, v.prov_graph))
 
 
-@check(_PROV + ", m AS (SELECT subject, min(CAST(ts AS DATE)) AS day FROM e GROUP BY subject) SELECT e.subject, event_id, CAST(day AS VARCHAR) AS day FROM e JOIN m ON m.subject = e.subject AND CAST(ts AS DATE) = day")
+@check("WITH e AS (SELECT 'x:source/' || user_id AS subject, event_id, ts FROM events), m AS (SELECT subject, min(CAST(ts AS DATE)) AS day FROM e GROUP BY subject) SELECT e.subject, event_id, CAST(day AS VARCHAR) AS day FROM e JOIN m ON m.subject = e.subject AND CAST(ts AS DATE) = day")
 def earliest_with_ties(spark, sf):
     """All events on a subject's first day."""
-    rows = table(spark, sf, "events").join(table(spark, sf, "part"), c("p_partkey") == c("user_id")).select(
+    rows = table(spark, sf, "events").select(
         v.txt("x:source/", c("user_id")).alias("subject"), "event_id", c("ts").cast("date").cast("string").alias("day"))
     return PV.earliest(rows, "subject", "day")
 

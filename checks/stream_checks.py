@@ -185,16 +185,17 @@ def issue_report_file(spark, sf):
     return spark.read.schema("item string, category string").json(path).select("category", "item")
 
 
-@check(with_views("layer") + """ SELECT DISTINCT 'north' AS site, CASE kind WHEN 'buildings' THEN 'buildings' ELSE 'islands' END AS kind, identifier, f AS source,
- CASE f WHEN 'Today' THEN bool_or(source = 'Today' AND present) OVER w WHEN '1694:dis.22' THEN bool_or(source = '1995: F' AND present) OVER w ELSE bool_or(source = '1995: O' AND present) OVER w END AS present
- FROM layer, (VALUES ('Today'), ('1982: Ortofoto'), ('1694:dis.22')) x(f) WHERE kind IN ('buildings', 'islands') AND (f <> '1982: Ortofoto' OR kind = 'islands') AND (f <> '1694:dis.22' OR kind = 'buildings')
- WINDOW w AS (PARTITION BY kind, identifier)""")
+@check(with_views("layer") + """ SELECT 'north' AS site, kind, identifier, flag AS source, bool_or(source = label AND present) AS present
+ FROM layer JOIN (VALUES ('buildings', '1694:dis.22', '1995: F'), ('islands', '1982: Ortofoto', '1995: O'), ('openspaces', '1838: Cens', '1995-1996'),
+  ('waterways', '1900: IGM', '1995:dis.7'), ('buildings', 'Today', 'Today'), ('islands', 'Today', 'Today'), ('openspaces', 'Today', 'Today'), ('waterways', 'Today', 'Today'))
+  x(k, flag, label) ON k = kind GROUP BY ALL""")
 def layer_folders(spark, sf):
     """Layers with different flag columns, one folder each, read in one scan; site and kind come from the path."""
     from chronogeo.operators import periods as P
     root = _folder(spark)
     lay = v.plain_layer(spark, sf)
-    for kind, flag, match in (("buildings", "1694:dis.22", "1995: F"), ("islands", "1982: Ortofoto", "1995: O")):
+    for kind, flag, match in (("buildings", "1694:dis.22", "1995: F"), ("islands", "1982: Ortofoto", "1995: O"),
+                              ("openspaces", "1838: Cens", "1995-1996"), ("waterways", "1900: IGM", "1995:dis.7")):
         wide = P.to_wide(lay.filter(c("kind") == kind), ["identifier"], ["Today", match])
         wide.withColumnRenamed(match, flag).withColumn("geometry", F.lit("G")).write.parquet(f"{root}/qgis_north_{kind}")
     return readers.read_layers(spark, root).select("site", "kind", "identifier", "source", "present")

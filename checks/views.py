@@ -301,7 +301,9 @@ def book_graph(spark, sf) -> DataFrame:
     series = txt("x:series/", c("o_orderstatus"))
     prio = o.select("o_orderpriority").distinct()
     cust, sup = table(spark, sf, "customer"), table(spark, sf, "supplier")
-    wrote = table(spark, sf, "lineitem").filter("l_returnflag = 'A'").select("l_orderkey", "l_suppkey").distinct()
+    # who wrote the other lines has neither a class nor a name
+    actor = F.when(c("l_returnflag") == "A", txt("x:sup/", c("l_suppkey"))).otherwise(txt("x:unnamed/", c("l_returnflag")))
+    wrote = table(spark, sf, "lineitem").select("l_orderkey", actor.alias("actor")).distinct()
     w_item = txt("x:book/", c("l_orderkey"))
     w_work, w_made = txt(w_item, "/work"), txt(w_item, "/made")
     parts = [
@@ -322,7 +324,7 @@ def book_graph(spark, sf) -> DataFrame:
         _t(status, txt("x:typ/", c("o_orderstatus")), V.label, txt("Typ ", c("o_orderstatus")), True),
         _t(wrote, w_item, V.c("P129i_is_subject_of"), w_work), _t(wrote, w_work, V.rdf_type, F.lit(V.c("E33_Linguistic_Object"))),
         _t(wrote, w_work, V.c("P94i_was_created_by"), w_made), _t(wrote, w_made, V.rdf_type, F.lit(V.c("E65_Creation"))),
-        _t(wrote, w_made, V.c("P14_carried_out_by"), txt("x:sup/", c("l_suppkey"))),
+        _t(wrote, w_made, V.c("P14_carried_out_by"), c("actor")),
         _t(sup, txt("x:sup/", c("s_suppkey")), V.rdf_type, F.lit(V.c("E39_Actor"))),
         _t(sup, txt("x:sup/", c("s_suppkey")), V.label, c("s_name"), True),
     ]

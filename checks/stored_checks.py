@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from checks import views as v
 from checks.graph_checks import _BOOK, _EV, _named
-from checks.registry import check
+from checks.registry import ORACLE, check
 from checks.stream_checks import _folder
 from checks.views import c, table, with_views
 from chronogeo.operators import features as M
 from chronogeo.operators import properties as PR
+from chronogeo.plans import stars
 from chronogeo.plans import terms as S
 from chronogeo.plans import upkeep as K
 from chronogeo.schema import VOCAB as V
@@ -122,6 +123,47 @@ def property_hubs(spark, sf):
     return PR.star(PR.property_table(g, [V.label, lists], most=50), {"label": V.label, "customer": lists}, "nation")
 
 
+# ---------------------------------------------------------------- search terms from a property table
+
+
+def _star_terms(spark, sf, view, kind, most=PR.MOST_VALUES):
+    """The property table is stored first, as a user keeps it."""
+    path = _folder(spark)
+    PR.write_properties(PR.property_table(v.stored(spark, sf, view), stars.term_predicates(), most), path)
+    return S.search_terms(PR.read_properties(spark, path), kind).select("item", "node", "label", "lang")
+
+
+@check(ORACLE["search_terms_event"])
+def star_terms_event(spark, sf):
+    return _star_terms(spark, sf, v.event_graph, "event")
+
+
+@check(ORACLE["search_terms_group"])
+def star_terms_group(spark, sf):
+    return _star_terms(spark, sf, v.group_graph, "group")
+
+
+@check(ORACLE["search_terms_person"])
+def star_terms_person(spark, sf):
+    return _star_terms(spark, sf, v.person_graph, "person")
+
+
+@check(ORACLE["search_terms_primary_source"])
+def star_terms_primary_source(spark, sf):
+    return _star_terms(spark, sf, v.source_graph, "primary_source")
+
+
+@check(ORACLE["search_terms_secondary_source"])
+def star_terms_secondary_source(spark, sf):
+    return _star_terms(spark, sf, v.book_graph, "secondary_source")
+
+
+@check(ORACLE["search_terms_person"])
+def star_terms_hubs(spark, sf):
+    """With one value per predicate allowed in a row, every person with two names stays triples."""
+    return _star_terms(spark, sf, v.person_graph, "person", most=1)
+
+
 # ---------------------------------------------------------------- tables in buckets
 
 def _keyed(spark, df, key):

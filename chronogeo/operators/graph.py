@@ -93,10 +93,14 @@ def has_appellation(triples: DataFrame, kind: str, vocab: Vocabulary = VOCAB) ->
 
 def preferred_labels(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
     """(node, label): the acronym, else an Italian or untagged label, else an English one."""
-    acronyms = appellations(triples, ["acronym"], vocab, strict=True).select(
-        F.col("item").alias("node"), F.lit(0).alias("rank"), "label")
+    return preferred(appellations(triples, ["acronym"], vocab, strict=True), literals(triples, vocab.label, "node", "label"))
+
+
+def preferred(acronyms: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) of first rank from (item, label) and (node, label, lang)."""
     lang = F.col("lang")
-    tagged = literals(triples, vocab.label, "node", "label").select(
+    acronyms = acronyms.select(F.col("item").alias("node"), F.lit(0).alias("rank"), "label")
+    tagged = labels.select(
         "node", F.when(lang.isin("it", ""), 1).when(lang == "en", 2).alias("rank"), "label").filter("rank is not null")
     every = acronyms.unionByName(tagged)
     best = every.groupBy("node").agg(F.min("rank").alias("rank"))

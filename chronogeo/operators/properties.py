@@ -21,11 +21,15 @@ VALUE_FIELDS = ["o", "o_type", "lang", "dtype", "g"]
 
 @dataclass
 class Properties:
-    """`rows`: s and an array of values per predicate, named by `columns`; `hubs`: all triples of the other nodes."""
+    """`rows`: s and an array of values per predicate, named by `columns`; `hubs`: all triples of the other nodes.
+
+    Patterns over a table that is known to have no hubs are without the joins for them.
+    """
 
     rows: DataFrame
     hubs: DataFrame
     columns: dict[str, str]
+    has_hubs: bool = True
 
 
 def property_table(triples: DataFrame, predicates: list[str], most: int = MOST_VALUES) -> Properties:
@@ -57,7 +61,7 @@ def read_properties(spark: SparkSession, path: str) -> Properties:
     rows = spark.read.parquet(f"{path}/rows")
     columns = {f.metadata["predicate"]: f.name for f in rows.schema.fields if "predicate" in f.metadata}
     hubs = spark.read.schema(TRIPLES).parquet(f"{path}/hubs").select(*TRIPLES.fieldNames())
-    return Properties(rows, hubs, columns)
+    return Properties(rows, hubs, columns, has_hubs=not hubs.isEmpty())
 
 
 def _opened(table: Properties, rows: DataFrame, p: str, name: str, optional: bool) -> DataFrame:
@@ -96,6 +100,8 @@ def star(table: Properties, wanted: dict[str, str], subject: str = "s", optional
         few = _opened(table, few, p, inner[n], n in optional_)
     few = few.select(F.col("s").alias(subject), *[F.col(inner[n]).alias(n) for n in wanted])
 
+    if not table.has_hubs:
+        return few
     hubs = table.hubs.distinct()
     many = hubs.select("s").distinct()
     for p, values in where.items():
@@ -112,4 +118,6 @@ def labels_of(table: Properties, p: str) -> DataFrame:
     v = F.col("v")
     few = table.rows.select("s", F.explode(table.columns[p]).alias("v")).select(
         "s", v["o"].alias("value"), F.coalesce(v["lang"], F.lit("")).alias("lang"))
+    if not table.has_hubs:
+        return few
     return few.unionByName(R.literals(table.hubs.distinct(), p))

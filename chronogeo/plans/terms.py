@@ -1,4 +1,7 @@
-"""Search terms: one text per item that gathers names, places and years."""
+"""Search terms: one text per item that gathers names, places and years.
+
+The graph is a table of triples or a property table that holds `stars.term_predicates`, which needs fewer joins.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,8 @@ from pyspark.sql import functions as F
 
 from chronogeo.functions import text as X
 from chronogeo.operators import graph as R
+from chronogeo.operators.properties import Properties
+from chronogeo.plans import stars
 from chronogeo.schema import VOCAB, Vocabulary
 from chronogeo.session import cut
 
@@ -25,14 +30,39 @@ def _spaced(part: str) -> Column:
     return F.coalesce(F.concat(F.lit(" "), F.col(part)), F.lit(""))
 
 
-def open_items(triples: DataFrame, kind: str, vocab: Vocabulary = VOCAB) -> DataFrame:
+Graph = DataFrame | Properties
+
+
+def _reader(triples: Graph):
+    """Edges, instances and literals of the graph."""
+    return stars if isinstance(triples, Properties) else R
+
+
+def open_items(triples: Graph, kind: str, vocab: Vocabulary = VOCAB) -> DataFrame:
     """Items of the kind that have no search term yet."""
+    if isinstance(triples, Properties):
+        return stars.open_items(triples, vocab.onto(CLASSES[kind]), vocab)
     items = R.instances(triples, vocab.rdf_type, vocab.onto(CLASSES[kind]), "item")
     return R.missing(items, R.has_appellation(triples, "search_term", vocab), "item")
 
 
-def _year_of(triples: DataFrame, link: str, out: str, vocab: Vocabulary, node_class: str | None = None) -> DataFrame:
+def _names(triples: Graph, kinds: list[str], vocab: Vocabulary, strict: bool = False) -> DataFrame:
+    """(item, kind, label) of the appellations of the given kinds."""
+    if isinstance(triples, Properties):
+        return stars.names(triples, kinds, vocab, strict)
+    return R.appellations(triples, kinds, vocab, strict).select("item", "kind", "label")
+
+
+def _preferred(triples: Graph, vocab: Vocabulary) -> DataFrame:
+    if isinstance(triples, Properties):
+        return R.preferred(_names(triples, ["acronym"], vocab, strict=True), stars.literals(triples, vocab.label, "node", "label"))
+    return R.preferred_labels(triples, vocab)
+
+
+def _year_of(triples: Graph, link: str, out: str, vocab: Vocabulary, node_class: str | None = None) -> DataFrame:
     """(item, year label): item -> [node of a class ->] time span -> year primitive."""
+    if isinstance(triples, Properties):
+        return stars.years(triples, link, out, vocab, node_class)
     spans = R.edges(triples, vocab.c("P4_has_time-span"), "event", "span")
     if node_class:
         spans = spans.join(R.instances(triples, vocab.rdf_type, vocab.c(node_class), "event"), "event", "left_semi")
@@ -49,25 +79,27 @@ def _year_of(triples: DataFrame, link: str, out: str, vocab: Vocabulary, node_cl
     return R.edges(triples, link, "item", "event").join(dated, "event").select("item", out)
 
 
-def _island(triples: DataFrame, out: str, vocab: Vocabulary, typed: bool) -> DataFrame:
+def _island(triples: Graph, out: str, vocab: Vocabulary, typed: bool) -> DataFrame:
     """One island name per item."""
+    G = _reader(triples)
     if typed:
-        names = R.appellations(triples, ["appellation"], vocab, strict=True).select(F.col("item").alias("island"), "label")
+        names = _names(triples, ["appellation"], vocab, strict=True).select(F.col("item").alias("island"), "label")
     else:
-        names = R.edges(triples, vocab.c("P1_is_identified_by"), "island", "node").join(
-            R.literals(triples, vocab.label, "node", "label"), "node").select("island", "label")
-    links = R.edges(triples, vocab.onto("has_island"), "item", "island")
+        names = G.edges(triples, vocab.c("P1_is_identified_by"), "island", "node").join(
+            G.literals(triples, vocab.label, "node", "label"), "node").select("island", "label")
+    links = G.edges(triples, vocab.onto("has_island"), "item", "island")
     return R.one_of(links.join(R.one_of(names, "island", "label", "label"), "island"), "item", "label", out)
 
 
-def event_terms(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
+def event_terms(triples: Graph, vocab: Vocabulary = VOCAB) -> DataFrame:
+    G = _reader(triples)
     langs = F.col("lang").isin("it", "en", "")
-    labels = R.literals(triples, vocab.label, "item", "label").filter(langs)
-    listed = R.instances(triples, vocab.c("P71i_is_listed_in"), vocab.event_types, "type")
+    labels = G.literals(triples, vocab.label, "item", "label").filter(langs)
+    listed = G.instances(triples, vocab.c("P71i_is_listed_in"), vocab.event_types, "type")
     typology = (
-        R.edges(triples, vocab.c("P2_has_type"), "item", "type")
+        G.edges(triples, vocab.c("P2_has_type"), "item", "type")
         .join(listed, "type", "left_semi")
-        .join(R.literals(triples, vocab.label, "type", "typology").filter(langs), "type")
+        .join(G.literals(triples, vocab.label, "type", "typology").filter(langs), "type")
         .select(F.col("item").alias("_item"), F.col("lang").alias("_lang"), "typology").distinct()
     )
     rows = R.optional(open_items(triples, "event", vocab), labels, "item")
@@ -90,9 +122,9 @@ def _name(given: Column, family: Column, alias: Column, group: Column) -> Column
     return F.concat(F.coalesce(group, F.lit("")), person)
 
 
-def group_terms(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
+def group_terms(triples: Graph, vocab: Vocabulary = VOCAB) -> DataFrame:
     """Any one name per group, so one of each part is enough: no combinations are made."""
-    parts = R.appellations(triples, NAME_KINDS, vocab).groupBy("item").agg(
+    parts = _names(triples, NAME_KINDS, vocab).groupBy("item").agg(
         *[F.min(F.when(F.col("kind") == k, F.col("label"))).alias(k) for k in NAME_KINDS])
     name = _name(F.col("given_name"), F.col("family_name"), F.col("alias"), F.col("appellation"))
     rows = R.optional(open_items(triples, "group", vocab), parts, "item")
@@ -102,14 +134,14 @@ def group_terms(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
                        F.lit(None).cast("string").alias("lang"))
 
 
-def person_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, include_death_only: bool = False) -> DataFrame:
+def person_terms(triples: Graph, vocab: Vocabulary = VOCAB, include_death_only: bool = False) -> DataFrame:
     """Every combination of a person's own name parts is a term of its own.
 
     Dates start from births; with `include_death_only` a death without a birth
     counts as well.
     """
     # read five times below, so it is stored once
-    names = cut(R.appellations(triples, NAME_KINDS + ["patronymic"], vocab).select("item", "kind", "label").distinct())
+    names = cut(_names(triples, NAME_KINDS + ["patronymic"], vocab).distinct())
     rows = open_items(triples, "person", vocab)
     for k in NAME_KINDS:
         rows = R.optional(rows, names.filter(F.col("kind") == k).select("item", F.col("label").alias(k)), "item")
@@ -133,35 +165,36 @@ def person_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, include_death_on
     ).distinct()
 
 
-def primary_source_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, levels: int = 7) -> DataFrame:
+def primary_source_terms(triples: Graph, vocab: Vocabulary = VOCAB, levels: int = 7) -> DataFrame:
     """One term per title and location; paths are built once per archive node, not per item."""
-    titles = R.appellations(triples, ["attributed_title"], vocab).select("item", F.col("label").alias("title")).distinct()
+    G = _reader(triples)
+    titles = _names(triples, ["attributed_title"], vocab).select("item", F.col("label").alias("title")).distinct()
     rows = open_items(triples, "primary_source", vocab).join(titles, "item")
 
-    at = R.edges(triples, vocab.c("P53_has_former_or_current_location"), "item", "location")
-    ref = R.edges(triples, vocab.c("P53_has_former_or_current_location"), "location", "node")
-    up = R.edges(triples, vocab.c("P46i_forms_part_of"))
+    at = G.edges(triples, vocab.c("P53_has_former_or_current_location"), "item", "location")
+    ref = G.edges(triples, vocab.c("P53_has_former_or_current_location"), "location", "node")
+    up = G.edges(triples, vocab.c("P46i_forms_part_of"))
     # only objects that are themselves locations of something carry a reference
     locations = at.select("location").distinct()
     refs = ref.join(locations, "location", "left_semi")
-    paths = R.ancestor_chain(refs.select("node"), up, R.preferred_labels(triples, vocab), levels)
+    paths = R.ancestor_chain(refs.select("node"), up, _preferred(triples, vocab), levels)
     archival = refs.join(paths, "node").select("location", F.col("path").alias("archival")).distinct()
     bib = (
-        R.edges(triples, vocab.c("P46i_forms_part_of"), "location", "bib").join(locations, "location", "left_semi")
-        .join(R.literals(triples, vocab.label, "bib", "bib_label"), "bib").select("location", "bib_label").distinct()
+        G.edges(triples, vocab.c("P46i_forms_part_of"), "location", "bib").join(locations, "location", "left_semi")
+        .join(G.literals(triples, vocab.label, "bib", "bib_label"), "bib").select("location", "bib_label").distinct()
     )
     where = R.optional(R.optional(at, archival, "location"), bib, "location").select(
         "item", F.coalesce("archival", "bib_label", F.lit("")).alias("loc_path")).distinct()
     rows = R.optional(rows, where, "item")
     rows = R.optional(rows, _island(triples, "island", vocab, typed=False), "item")
 
-    made = R.edges(triples, vocab.c("P108i_was_produced_by"), "item", "event").join(
-        R.instances(triples, vocab.rdf_type, vocab.c("E12_Production"), "event"), "event", "left_semi")
+    made = G.edges(triples, vocab.c("P108i_was_produced_by"), "item", "event").join(
+        G.instances(triples, vocab.rdf_type, vocab.c("E12_Production"), "event"), "event", "left_semi")
     year = (
-        R.edges(triples, vocab.c("P170i_time_is_defined_by"), "span", "primitive")
-        .join(R.instances(triples, vocab.c("P2_has_type"), vocab.kind("time_primitive_year"), "primitive"), "primitive", "left_semi")
-        .join(R.literals(triples, vocab.label, "primitive", "year"), "primitive").select("span", "year"))
-    year = made.join(R.edges(triples, vocab.c("P4_has_time-span"), "event", "span"), "event").join(year, "span")
+        G.edges(triples, vocab.c("P170i_time_is_defined_by"), "span", "primitive")
+        .join(G.instances(triples, vocab.c("P2_has_type"), vocab.kind("time_primitive_year"), "primitive"), "primitive", "left_semi")
+        .join(G.literals(triples, vocab.label, "primitive", "year"), "primitive").select("span", "year"))
+    year = made.join(G.edges(triples, vocab.c("P4_has_time-span"), "event", "span"), "event").join(year, "span")
     rows = R.optional(rows, R.one_of(year, "item", "year", "year"), "item")
     path = F.when(F.col("loc_path") != "", F.concat(F.lit(" "), F.col("loc_path"))).otherwise("")
     return rows.select(
@@ -169,60 +202,62 @@ def primary_source_terms(triples: DataFrame, vocab: Vocabulary = VOCAB, levels:
         F.lit(None).cast("string").alias("lang")).distinct()
 
 
-def _publication(triples: DataFrame, vocab: Vocabulary) -> DataFrame:
+def _publication(triples: Graph, vocab: Vocabulary) -> DataFrame:
     """(item, curator, publisher, year, place) of one publication event per item."""
-    labels = R.literals(triples, vocab.label, "who", "label").select("who", "label")
+    G = _reader(triples)
+    labels = G.literals(triples, vocab.label, "who", "label").select("who", "label")
     roles = {vocab.kind("curator"): "curator", vocab.kind("publisher"): "publisher"}
     role_name = F.element_at(F.create_map(*[F.lit(v) for kv in roles.items() for v in kv]), F.col("o"))
-    role = triples.filter((F.col("p") == vocab.c("P14.1_in_the_role_of")) & F.col("o").isin(list(roles))).select(
-        F.col("s").alias("part"), role_name.alias("role"))
+    role = G.edges(triples, vocab.c("P14.1_in_the_role_of"), "part", "o").filter(F.col("o").isin(list(roles))).select(
+        "part", role_name.alias("role"))
     actors = (
-        R.edges(triples, vocab.c("P01i_is_domain_of"), "event", "part").join(role, "part")
-        .join(R.edges(triples, vocab.c("P02_has_range"), "part", "who"), "part")
+        G.edges(triples, vocab.c("P01i_is_domain_of"), "event", "part").join(role, "part")
+        .join(G.edges(triples, vocab.c("P02_has_range"), "part", "who"), "part")
         .join(labels, "who").select("event", "role", F.col("label").alias("v"))
     )
-    spans = R.edges(triples, vocab.c("P4_has_time-span"), "event", "span").join(
-        R.edges(triples, vocab.c("P82a_begin_of_the_begin"), "span", "v"), "span").select("event", F.lit("year").alias("role"), "v")
-    places = R.edges(triples, vocab.c("P7_took_place_at"), "event", "who").join(labels, "who").select(
+    spans = G.edges(triples, vocab.c("P4_has_time-span"), "event", "span").join(
+        G.edges(triples, vocab.c("P82a_begin_of_the_begin"), "span", "v"), "span").select("event", F.lit("year").alias("role"), "v")
+    places = G.edges(triples, vocab.c("P7_took_place_at"), "event", "who").join(labels, "who").select(
         "event", F.lit("place").alias("role"), F.col("label").alias("v"))
     parts = ["curator", "publisher", "year", "place"]
     per_event = reduce(lambda a, b: a.unionByName(b), [actors, spans, places]).groupBy("event").agg(
         *[F.min(F.when(F.col("role") == p, F.col("v"))).alias(p) for p in parts])
-    events = R.edges(triples, vocab.frbroo + "R24i_was_created_through", "item", "event")
+    events = G.edges(triples, vocab.frbroo + "R24i_was_created_through", "item", "event")
     chosen = R.optional(events, per_event, "event").groupBy("item").agg(F.min_by(F.struct(*parts), "event").alias("c"))
     return chosen.select("item", *[F.col("c")[p].alias(p) for p in parts])
 
 
-def secondary_source_terms(triples: DataFrame, vocab: Vocabulary = VOCAB) -> DataFrame:
-    who = R.literals(triples, vocab.label, "actor", "author").select("actor", "author")
+def secondary_source_terms(triples: Graph, vocab: Vocabulary = VOCAB) -> DataFrame:
+    G = _reader(triples)
+    who = G.literals(triples, vocab.label, "actor", "author").select("actor", "author")
     wrote = (
-        R.edges(triples, vocab.c("P129i_is_subject_of"), "item", "work")
-        .join(R.edges(triples, vocab.c("P94i_was_created_by"), "work", "creation"), "work")
-        .join(R.edges(triples, vocab.c("P14_carried_out_by"), "creation", "actor"), "creation")
+        G.edges(triples, vocab.c("P129i_is_subject_of"), "item", "work")
+        .join(G.edges(triples, vocab.c("P94i_was_created_by"), "work", "creation"), "work")
+        .join(G.edges(triples, vocab.c("P14_carried_out_by"), "creation", "actor"), "creation")
     )
     first_author = R.one_of(wrote.join(who, "actor"), "item", "author", "author")
 
     def typed(df: DataFrame, node: str, cls: str) -> DataFrame:
-        return df.join(R.instances(triples, vocab.rdf_type, vocab.c(cls), node), node, "left_semi")
+        return df.join(G.instances(triples, vocab.rdf_type, vocab.c(cls), node), node, "left_semi")
 
     strict = typed(typed(typed(wrote, "work", "E33_Linguistic_Object"), "creation", "E65_Creation"), "actor", "E39_Actor")
     authors = strict.join(who, "actor").select("item", "author").distinct().groupBy("item").agg(
         F.array_join(F.array_sort(F.collect_list("author")), ", ").alias("authors"))
 
-    titles = R.appellations(triples, ["title"], vocab).select(F.col("item").alias("book"), "label")
+    titles = _names(triples, ["title"], vocab).select(F.col("item").alias("book"), "label")
     own = R.one_of(titles, "book", "label", "title").withColumnRenamed("book", "item")
-    broader = R.edges(triples, vocab.onto("has_broader"), "item", "book")
+    broader = G.edges(triples, vocab.onto("has_broader"), "item", "book")
     above = R.one_of(broader.join(R.one_of(titles, "book", "label", "label"), "book"), "item", "label", "broader")
     typology = (
-        broader.join(R.edges(triples, vocab.onto("has_broader_typology"), "book", "type"), "book")
-        .join(R.literals(triples, vocab.label, "type", "label"), "type"))
+        broader.join(G.edges(triples, vocab.onto("has_broader_typology"), "book", "type"), "book")
+        .join(G.literals(triples, vocab.label, "type", "label"), "type"))
     typology = R.one_of(typology, "item", "label", "typology")
     published = (
-        R.edges(triples, vocab.frbroo + "R24i_was_created_through", "item", "event")
-        .join(R.instances(triples, vocab.rdf_type, vocab.frbroo + "F30_Publication_Event", "event"), "event", "left_semi")
-        .join(R.edges(triples, vocab.c("P4_has_time-span"), "event", "span"), "event")
-        .join(R.instances(triples, vocab.rdf_type, vocab.c("E52_Time-Span"), "span"), "span", "left_semi")
-        .join(R.edges(triples, vocab.c("P82a_begin_of_the_begin"), "span", "v"), "span"))
+        G.edges(triples, vocab.frbroo + "R24i_was_created_through", "item", "event")
+        .join(G.instances(triples, vocab.rdf_type, vocab.frbroo + "F30_Publication_Event", "event"), "event", "left_semi")
+        .join(G.edges(triples, vocab.c("P4_has_time-span"), "event", "span"), "event")
+        .join(G.instances(triples, vocab.rdf_type, vocab.c("E52_Time-Span"), "span"), "span", "left_semi")
+        .join(G.edges(triples, vocab.c("P82a_begin_of_the_begin"), "span", "v"), "span"))
     published = R.one_of(published, "item", "v", "pub_date")
 
     rows = open_items(triples, "secondary_source", vocab)
@@ -249,7 +284,7 @@ _MAKERS = {
 }
 
 
-def search_terms(triples: DataFrame, kind: str, vocab: Vocabulary = VOCAB) -> DataFrame:
+def search_terms(triples: Graph, kind: str, vocab: Vocabulary = VOCAB) -> DataFrame:
     """(item, node, label, lang) for items of a kind that have no term; node ids are stable."""
     rows = _MAKERS[kind](triples, vocab)
     return rows.withColumn("node", X.mint_iri(F.col("item"), "search_term", F.col("item"), F.col("label"), F.col("lang")))
@@ -269,7 +304,7 @@ def term_triples(terms: DataFrame, vocab: Vocabulary = VOCAB, unique: bool = Fal
     ], unique)
 
 
-def run_all(triples: DataFrame, vocab: Vocabulary = VOCAB) -> tuple[DataFrame, DataFrame]:
+def run_all(triples: Graph, vocab: Vocabulary = VOCAB) -> tuple[DataFrame, DataFrame]:
     """New term triples of all kinds and a (kind, items, terms) summary."""
     terms = [search_terms(triples, k, vocab).withColumn("kind", F.lit(k)) for k in CLASSES]
     every = reduce(lambda a, b: a.unionByName(b), terms)

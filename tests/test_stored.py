@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chronogeo.operators import features as M
 from chronogeo.operators import graph as R
 from chronogeo.operators import properties as PR
+from chronogeo.plans import stars
 from chronogeo.plans import terms as S
 from chronogeo.plans import upkeep as K
 from chronogeo.schema import TRIPLES
@@ -171,3 +172,47 @@ def test_keyed_tables_are_joined_as_they_lie(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"DROP TABLE IF EXISTS {name}_links")
+
+
+# ---------------------------------------------------------------- search terms from a property table
+
+@pytest.mark.parametrize("most", [1, 1000])
+def test_terms_of_a_property_table_equal_those_of_triples(spark, tmp_path, most):
+    """Odd graphs: nodes without kind, class or label, repeated triples, several names, languages, years and types."""
+    rng = random.Random(most)
+    pick = lambda name, n: f"x:{name}/{rng.randrange(n)}"
+    triples = [_iri("x:type/0", V.c("P71i_is_listed_in"), V.event_types), _iri("x:type/1", V.c("P71i_is_listed_in"), V.event_types)]
+    for i in range(12):
+        triples += [_iri(f"x:item/{i}", V.rdf_type, V.onto(S.CLASSES[k])) for k in ("event", "group", "person", "secondary_source", "primary_source") if rng.random() < .6]
+        triples += [_text(f"x:item/{i}", V.label, f"l{i}", lang) for lang in (None, "it", "en", "de") if rng.random() < .4]
+    for i in range(30):
+        triples += [_iri(pick("item", 12), V.c("P1_is_identified_by"), f"x:name/{i}"), _text(f"x:name/{i}", V.label, f"n{i % 7}")][: rng.choice([1, 2, 2])]
+        triples += [_iri(f"x:name/{i}", V.c("P2_has_type"), V.kind(rng.choice([*S.NAME_KINDS, "patronymic", "title", "attributed_title", "acronym"])))] * rng.choice([0, 1, 2])
+        triples += [_iri(f"x:name/{i}", V.rdf_type, V.c("E41_Appellation"))] * rng.choice([0, 1])
+        triples += [_iri(pick("item", 12), V.c(p), pick("ev", 8)) for p in ("P98i_was_born", "P100i_died_in", "P95i_was_formed_by", "P108i_was_produced_by") if rng.random() < .4]
+        triples += [_iri(pick("item", 12), V.onto(rng.choice(["has_island", "has_broader"])), pick("item", 12)), _iri(pick("item", 12), V.c("P2_has_type"), pick("type", 3)),
+                    _iri(pick("item", 12), V.c("P53_has_former_or_current_location"), pick("item", 12)), _iri(pick("item", 12), V.c("P4_has_time-span"), pick("span", 6))]
+    for i in range(8):
+        triples += [_iri(f"x:ev/{i}", V.rdf_type, V.c(cls)) for cls in ("E67_Birth", "E69_Death", "E66_Formation", "E12_Production") if rng.random() < .7]
+        triples += [_iri(f"x:ev/{i}", V.c("P4_has_time-span"), pick("span", 6)), _iri(pick("span", 6), V.c("P170i_time_is_defined_by"), pick("prim", 5))]
+    for i in range(5):
+        triples += [_iri(f"x:prim/{i}", V.rdf_type, V.c("E61_Time-Primitive")), _iri(f"x:prim/{i}", V.c("P2_has_type"), V.kind("time_primitive_year")), _text(f"x:prim/{i}", V.label, str(1900 + i))][rng.choice([0, 0, 1]):]
+        triples += [_text(f"x:type/{i}", V.label, f"t{i}", lang) for lang in ("it", "en")]
+    done = [_iri("x:item/0", V.c("P1_is_identified_by"), "x:done"), _iri("x:done", V.c("P2_has_type"), V.kind("search_term")), _iri("x:done", V.rdf_type, V.c("E41_Appellation"))]
+    g = _graph(spark, triples + done)
+    PR.write_properties(PR.property_table(g, stars.term_predicates(), most), str(tmp_path / "p"))
+    table = PR.read_properties(spark, str(tmp_path / "p"))
+    assert table.has_hubs == (most == 1)
+    for kind in S.CLASSES:
+        want = rows(S.search_terms(g, kind).select("item", "node", "label", "lang"))
+        assert rows(S.search_terms(table, kind).select("item", "node", "label", "lang")) == want
+        assert want and not any(r[0] == "x:item/0" for r in want) or kind == "primary_source"
+    if most > 1:
+        joins = [S.group_terms(x)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for x in (g, table)]
+        assert 3 * joins[1] <= 2 * joins[0], joins
+
+
+def test_a_table_without_a_needed_predicate_is_refused(spark):
+    table = PR.property_table(_graph(spark, [_iri("x:a", V.rdf_type, V.onto("Group"))]), [V.rdf_type])
+    with pytest.raises(ValueError):
+        S.search_terms(table, "group")

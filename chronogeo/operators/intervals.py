@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronogeo.session import cut
+
+FEW_MARKS = 200_000  # segments of all points that are sent to every task; more are shuffled
 _SEGMENTS = "array<struct<k:int,seg:bigint>>"
 
 
@@ -43,7 +46,8 @@ def at_points(df: DataFrame, points: DataFrame, begin: str, end: str, point: str
     """
     kind = points.schema[point].dataType.typeName()
     asked = points.select(F.col(point).alias("_point")).filter("_point IS NOT NULL").distinct().withColumn("_n", _number(F.col("_point"), kind))
-    low, high = asked.agg(F.min("_n"), F.max("_n")).first()
+    asked = cut(asked)
+    low, high, n = asked.agg(F.min("_n"), F.max("_n"), F.count("*")).first()
     if low is None:
         return df.withColumn(point, F.lit(None).cast(points.schema[point].dataType)).limit(0)
     levels = (high - low + 1).bit_length()
@@ -52,4 +56,6 @@ def at_points(df: DataFrame, points: DataFrame, begin: str, end: str, point: str
     rows = df.filter(F.col(begin).isNotNull()).withColumn("_s", F.explode(segments(first, last, levels)))
     marks = asked.select("_point", F.explode(F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: F.struct(
         k.alias("k"), F.call_function("shiftright", F.col("_n") - low, k).cast("long").alias("seg")))).alias("_s"))
+    # the size of the intervals is known from before they are cut up, so the side to send is not left to an estimate
+    rows, marks = (rows, F.broadcast(marks)) if n * (levels + 1) <= FEW_MARKS else (rows.hint("merge"), marks)
     return rows.join(marks, "_s").drop("_s").withColumnRenamed("_point", point)

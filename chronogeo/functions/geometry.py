@@ -2,8 +2,8 @@
 
 A geometry is `parts -> rings -> points`: array<array<array<struct<x,y>>>>.
 Ring 0 of a part is its shell, the others are holes. Everything here is a
-row-local JVM expression: measuring or projecting a table of any size needs no
-shuffle and no Python worker.
+row-local expression: measuring or projecting a table of any size needs no
+shuffle. Only projections of whole geometries use Python workers.
 """
 
 from __future__ import annotations
@@ -11,9 +11,17 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chronogeo.functions import projection
+from chronogeo.functions.constants import ALPHA as _ALPHA
+from chronogeo.functions.constants import BETA as _BETA
+from chronogeo.functions.constants import E as _E
+from chronogeo.functions.constants import RADIUS as _RADIUS
+from chronogeo.functions.constants import UTM33_LON0, UTM_EASTING, UTM_K0, WGS84_A
+
 GEOMETRY_TYPE = "array<array<array<struct<x:double,y:double>>>>"
 
 
@@ -269,33 +277,6 @@ def ring_report(geom: Column) -> Column:
 
 # ---------------------------------------------------------------- projections
 
-# WGS84 ellipsoid and the transverse Mercator zone 33N frame.
-WGS84_A = 6378137.0
-WGS84_F = 1 / 298.257223563
-UTM_K0, UTM_EASTING, UTM33_LON0 = 0.9996, 500000.0, 15.0
-
-_N = WGS84_F / (2 - WGS84_F)
-_E = math.sqrt(WGS84_F * (2 - WGS84_F))
-_RADIUS = WGS84_A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64 + _N**6 / 256)
-
-# Krüger series in the third flattening n, orders 1..6.
-_ALPHA = [
-    _N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180 - 127 * _N**5 / 288 + 7891 * _N**6 / 37800,
-    13 * _N**2 / 48 - 3 * _N**3 / 5 + 557 * _N**4 / 1440 + 281 * _N**5 / 630 - 1983433 * _N**6 / 1935360,
-    61 * _N**3 / 240 - 103 * _N**4 / 140 + 15061 * _N**5 / 26880 + 167603 * _N**6 / 181440,
-    49561 * _N**4 / 161280 - 179 * _N**5 / 168 + 6601661 * _N**6 / 7257600,
-    34729 * _N**5 / 80640 - 3418889 * _N**6 / 1995840,
-    212378941 * _N**6 / 319334400,
-]
-_BETA = [
-    _N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96 - _N**4 / 360 - 81 * _N**5 / 512 + 96199 * _N**6 / 604800,
-    _N**2 / 48 + _N**3 / 15 - 437 * _N**4 / 1440 + 46 * _N**5 / 105 - 1118711 * _N**6 / 3870720,
-    17 * _N**3 / 480 - 37 * _N**4 / 840 - 209 * _N**5 / 4480 + 5569 * _N**6 / 90720,
-    4397 * _N**4 / 161280 - 11 * _N**5 / 504 - 830251 * _N**6 / 7257600,
-    4583 * _N**5 / 161280 - 108847 * _N**6 / 3991680,
-    20648693 * _N**6 / 638668800,
-]
-
 SRIDS = (3857, 4326, 32633)
 
 
@@ -382,18 +363,26 @@ def project_point(p: Column, src: int, dst: int) -> Column:
     return _let(p, _FROM_LONLAT[dst]) if dst in _FROM_LONLAT else p
 
 
+def _projected(geom: Column, srid: Column, dst: int) -> Column:
+    def project(geoms: pa.Array, srids: pa.Array) -> pa.Array:
+        return projection.project(geoms, srids, dst)
+
+    return F.arrow_udf(project, GEOMETRY_TYPE)(geom, srid.cast("int"))
+
+
 def transform(geom: Column, src: int, dst: int) -> Column:
-    """Project every vertex; unchanged when both systems are the same."""
-    if src == dst:
-        return geom
-    return F.transform(geom, lambda part: F.transform(part, lambda ring: F.transform(
-        ring, lambda p: project_point(p, src, dst))))
+    """Project every vertex; unchanged when both systems are the same. Whole Arrow batches of vertices are projected at once."""
+    if src not in SRIDS or dst not in SRIDS:
+        raise ValueError(f"supported SRIDs are {SRIDS}")
+    return geom if src == dst else _projected(geom, F.lit(src), dst)
 
 
 def transform_by_srid(geom: Column, srid: Column, dst: int) -> Column:
-    """Project rows of mixed systems; an unset SRID (NULL or 0) is taken as already in `dst`, an unknown one gives NULL."""
-    branches = F.when(srid.isNull() | (srid == 0) | (srid == dst), geom)
-    for src in SRIDS:
-        if src != dst:
-            branches = branches.when(srid == src, transform(geom, src, dst))
-    return branches
+    """Project rows of mixed systems; an unset SRID (NULL or 0) is taken as already in `dst`, an unknown one gives NULL.
+
+    Only rows that are in another system are handed to the projection.
+    """
+    if dst not in SRIDS:
+        raise ValueError(f"supported SRIDs are {SRIDS}")
+    other = srid.isin([src for src in SRIDS if src != dst])
+    return F.when(srid.isNull() | (srid == 0) | (srid == dst), geom).when(other, _projected(F.when(other, geom), srid, dst))

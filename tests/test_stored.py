@@ -113,6 +113,30 @@ def test_upkeep_looks_only_at_items_that_lead_to_an_edit(spark):
     assert rows(up.looked_at) == [(f"e{k}",) for k in range(6)] and up.removed.isEmpty()
 
 
+def test_edits_are_made_on_triples_of_touched_nodes_alone(spark, monkeypatch):
+    graph = _graph(spark, _events(random.Random(5), 40)).cache()
+    sizes, edit = [], K.edit
+
+    def spied(triples, inserted, deleted):
+        sizes.append(triples.count())
+        return edit(triples, inserted, deleted)
+
+    monkeypatch.setattr(K, "edit", spied)
+    up = K.refresh_terms(graph, _graph(spark, [_text("e1", V.label, "other", "it")]), _graph(spark, []), "event")
+    assert rows(up.looked_at) == [("e1",)]
+    assert sizes and max(sizes) < graph.count() / 4
+
+
+def test_triples_are_compared_by_their_hash_first(spark):
+    """With NULL and '' apart, copies kept, and only asked predicates compared."""
+    g = _graph(spark, [_text("a", "p", "1"), _text("a", "p", "1"), _text("a", "p", "1", ""), _text("b", "q", "2"), _iri("b", "q", "2")])
+    gone = R.delete_triples(g, _graph(spark, [_text("a", "p", "1", ""), _iri("b", "q", "2")]))
+    assert rows(gone, "s", "o_type", "lang") == [("a", "literal", None), ("a", "literal", None), ("b", "literal", None)]
+    more = R.add_triples(g, _graph(spark, [_text("a", "p", "1"), _text("a", "p", "3"), _text("a", "p", "3")]), ["p"])
+    assert more.count() == g.count() + 1
+    assert "xxhash64" in gone._jdf.queryExecution().optimizedPlan().toString()
+
+
 # ---------------------------------------------------------------- property tables
 
 def _random_triples(rng, n):

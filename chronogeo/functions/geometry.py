@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chronogeo.functions import projection
+from chronogeo.functions import batches, projection
 from chronogeo.functions.constants import ALPHA as _ALPHA
 from chronogeo.functions.constants import BETA as _BETA
 from chronogeo.functions.constants import E as _E
@@ -23,6 +23,7 @@ from chronogeo.functions.constants import RADIUS as _RADIUS
 from chronogeo.functions.constants import UTM33_LON0, UTM_EASTING, UTM_K0, WGS84_A
 
 GEOMETRY_TYPE = "array<array<array<struct<x:double,y:double>>>>"
+MEASURES_TYPE = "struct<area:double,cx:double,cy:double>"
 
 
 def let(value: Column, body) -> Column:
@@ -33,6 +34,18 @@ def let(value: Column, body) -> Column:
 _let = let
 
 
+def _batched(work, out: str, kind: str, value: Column, plainly) -> Column:
+    """`work` on whole Arrow batches; `plainly` computes the rows that it leaves, which come back as they were.
+
+    `value` stands in the plan once. Marked so that Spark does not run it once more in every filter that it derives from a join.
+    """
+    def batch(items: pa.Array) -> pa.Array:
+        return batches.split(items, work)
+
+    both = F.arrow_udf(batch, f"struct<done:{out},left:{kind}>").asNondeterministic()(value)
+    return let(both, lambda b: F.coalesce(b["done"], plainly(b["left"])))
+
+
 # ---------------------------------------------------------------- text in / out
 
 def wkt_srid(wkt: Column) -> Column:
@@ -49,9 +62,10 @@ def parse_wkt(wkt: Column) -> Column:
 
     White space is normalised once per text; after that every split is on one
     plain character, which needs no pattern per vertex. Text of another type or
-    with anything but numbers in it is NULL.
+    with anything but numbers in it is NULL. Whole batches of plain texts are
+    read at once, only the others one by one.
     """
-    return let(wkt, _parsed)
+    return _batched(batches.parse, GEOMETRY_TYPE, "string", wkt, _parsed)
 
 
 def _parsed(wkt: Column) -> Column:
@@ -95,8 +109,10 @@ def to_wkt(geom: Column) -> Column:
     def part(rings: Column) -> Column:
         return F.concat(F.lit("("), F.array_join(F.transform(rings, ring), ","), F.lit(")"))
 
-    text = F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(geom, part), ","), F.lit(")"))
-    return F.when(F.size(geom) == 0, F.lit("MULTIPOLYGON EMPTY")).otherwise(text)
+    def text(parts: Column) -> Column:
+        return F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(parts, part), ","), F.lit(")"))
+
+    return let(geom, lambda g: F.when(F.size(g) == 0, F.lit("MULTIPOLYGON EMPTY")).otherwise(text(g)))
 
 
 def _least_rotation(ring: Column) -> Column:
@@ -146,7 +162,7 @@ def geometry_digest(geom: Column) -> Column:
     def digest(shape: Column) -> Column:
         return F.when(shape.isNotNull(), F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), shape)), 16, "0") for seed in (1, 0x9E3779B9)]))
 
-    return let(canonical(geom), digest)
+    return let(_batched(batches.canonical, GEOMETRY_TYPE, GEOMETRY_TYPE, geom, canonical), digest)
 
 
 def geometry_key(geom: Column) -> Column:
@@ -191,7 +207,12 @@ def measures(geom: Column) -> Column:
     """struct<area, cx, cy>: shells count positive, holes negative, whatever their direction.
 
     Select it once under a name and read its fields, so it is evaluated once per row.
+    Whole batches are measured at once, odd rows (NULL, empty lists) one by one.
     """
+    return _batched(batches.measures, MEASURES_TYPE, GEOMETRY_TYPE, geom, _measured)
+
+
+def _measured(geom: Column) -> Column:
     rings = F.flatten(F.transform(geom, lambda part: F.transform(part, lambda ring, i: _ring_moments(ring, i > 0))))
     three = lambda acc: F.nullif(acc["a"] * 3, F.lit(0.0))
     return F.aggregate(
@@ -244,8 +265,13 @@ def bbox_status(min_x: Column, min_y: Column, max_x: Column, max_y: Column, box)
 # ---------------------------------------------------------------- ring repair
 
 def _repair_ring(ring: Column) -> Column:
-    """Drop repeated neighbours, then close the ring."""
-    kept = F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, i - 1)))
+    """Drop repeated neighbours, then close the ring.
+
+    Neighbours are paired, as a function of a point that also reads its ring cannot be handed to a projection.
+    """
+    before = F.concat(F.slice(ring, F.lit(1), F.lit(1)), F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0))))
+    pairs = F.filter(F.zip_with(ring, before, lambda p, q: F.struct(p.alias("p"), q.alias("q"))), lambda z, i: (i == 0) | (z["p"] != z["q"]))
+    kept = F.transform(pairs, lambda z: z["p"])
     return _let(kept, lambda k: F.when(
         (F.size(k) > 0) & (F.get(k, F.lit(0)) != F.get(k, F.size(k) - 1)),
         F.concat(k, F.slice(k, F.lit(1), F.lit(1)))).otherwise(k))

@@ -68,11 +68,11 @@ _TO_LONLAT = {3857: _mercator_to_lonlat, 32633: _utm33_to_lonlat}
 _FROM_LONLAT = {3857: _lonlat_to_mercator, 32633: _lonlat_to_utm33}
 
 
-def _lengths(lists: pa.Array) -> np.ndarray:
+def lengths(lists: pa.Array) -> np.ndarray:
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) if len(lists) else np.zeros(0, np.int64)
 
 
-def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     none = column.is_null().to_numpy(zero_copy_only=False)
     return np.where(none, 0.0, column.to_numpy(zero_copy_only=False)), none
 
@@ -81,12 +81,12 @@ def project(geoms: pa.Array, srids: pa.Array, dst: int) -> pa.Array:
     """Every geometry from its own system to `dst`; all lists and their NULLs stay as they are."""
     levels, at, row = [], geoms, np.arange(len(geoms))
     for _ in range(3):
-        sizes = _lengths(at)
+        sizes = lengths(at)
         levels.append((sizes, at.is_null()))
         row = np.repeat(row, sizes)
         # where there are no items, an array from Spark may lack its buffers
         at = at.flatten() if sizes.any() else pa.array([], at.type.value_type)
-    (x, none_x), (y, none_y) = map(_values, at.flatten())
+    (x, none_x), (y, none_y) = map(values, at.flatten())
     system = srids.fill_null(0).to_numpy(zero_copy_only=False)[row]
     with np.errstate(all="ignore"):
         for src in np.unique(system).tolist():

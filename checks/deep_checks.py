@@ -12,7 +12,7 @@ from checks.feature_checks import _IV, _KIND_T, _KIND_Z, _PH, _RECT, _state
 from checks.geo_checks import _IN, _WKT, BOX
 from checks.graph_checks import _ANC, _NODE_LABEL, _PATHS, _links, _uuid
 from checks.registry import ORACLE, check
-from checks.stream_checks import _LINKS, _REPLAY, _folder
+from checks.stream_checks import _LINKS, _REPLAY, _folder, feed_of
 from checks.views import RANGE_END, RANGE_START, c, table, with_views
 from chronogeo import schema
 from chronogeo.functions import ewkb as W
@@ -35,13 +35,10 @@ from chronogeo.streaming import stateful
 
 def _stateful(spark, sf):
     """Edits in four files by number, which arrive in another order: every slice but one is late or has late ones behind it."""
-    feed, log = _folder(spark), _folder(spark)
+    log = _folder(spark)
     edits = v.edits(spark, sf)
-    limits = skew.order_limits(edits, "seq", 4)
-    slices = edits.withColumn("slice", skew.chunk_of(c("seq"), limits))
-    for i in sorted(range(len(limits) + 1), key=lambda i: (i % 2 == 0, i)):
-        slices.filter(c("slice") == i).drop("slice").coalesce(1).write.mode("append").parquet(feed)
-    stream = spark.readStream.schema(edits.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    feed, files = feed_of(spark, edits, order=lambda i: (i % 2 == 0, i))
+    stream = spark.readStream.schema(edits.schema).option("maxFilesPerTrigger", files).parquet(feed)
     features, sources = v.edit_features(spark, sf), v.edit_sources(spark, sf)
     stateful.start(stream, features, sources, log, _folder(spark)).awaitTermination()
     return stateful.tables(spark, log, features, sources)

@@ -87,16 +87,28 @@ def change_outcomes_wired(spark, sf):
     return K.apply_changes(v.edit_features(spark, sf), v.edit_sources(spark, sf), edits, registry=registry)[2]
 
 
+def feed_of(spark, edits, order=None, rows=250_000):
+    """(feed, files): edits as a file feed of four slices by number, each written as `files` files of about `rows` rows.
+
+    `order` sorts the numbers of the slices. A micro-batch of `files` files is a slice.
+    """
+    feed = _folder(spark)
+    limits = skew.order_limits(edits, "seq", 4)
+    slices = edits.withColumn("slice", skew.chunk_of(c("seq"), limits))
+    files = 1 + edits.count() // (rows * (len(limits) + 1))
+    for i in sorted(range(len(limits) + 1), key=order):
+        one = slices.filter(c("slice") == i).drop("slice")
+        (one.coalesce(1) if files == 1 else one.repartition(files, "seq")).write.mode("append").parquet(feed)
+    return feed, files
+
+
 def _streamed(spark, sf):
     """Edits written as a file feed in four ordered slices, propagated one micro-batch per slice."""
-    feed, root = _folder(spark), _folder(spark)
+    root = _folder(spark)
     edits = v.edits(spark, sf)
-    limits = skew.order_limits(edits, "seq", 4)
-    slices = edits.withColumn("slice", skew.chunk_of(c("seq"), limits))
     K.init_tables(v.edit_features(spark, sf), v.edit_sources(spark, sf), root, buckets=8)
-    for i in range(len(limits) + 1):
-        slices.filter(c("slice") == i).drop("slice").coalesce(1).write.mode("append").parquet(feed)
-    stream = spark.readStream.schema(edits.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    feed, files = feed_of(spark, edits)
+    stream = spark.readStream.schema(edits.schema).option("maxFilesPerTrigger", files).parquet(feed)
     query = K.start_propagation(stream, root, _folder(spark), buckets=8)
     query.awaitTermination()
     return K.read_tables(spark, root)

@@ -6,8 +6,10 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from checks.stream_checks import feed_of
 from chronogeo import schema
 from chronogeo.functions import ewkb as W
 from chronogeo.functions import geometry as G
@@ -79,6 +81,60 @@ def test_first_source_wiring_and_a_bounded_state(spark, tmp_path):
         stateful.start(stream, *empty, log, str(tmp_path / "c"), mode="first")
 
 
+class _Held:
+    """A list or value of the state that counts how often it is called."""
+
+    def __init__(self, calls):
+        self.calls, self.rows = calls, []
+
+    def get(self):
+        self.calls.append("get")
+        return iter(self.rows) if isinstance(self.rows, list) else self.rows
+
+    def appendValue(self, row):
+        self.calls.append("append")
+        self.rows = [*self.rows, row]
+
+    def update(self, row):
+        self.calls.append("update")
+        self.rows = row
+
+
+class _Handle:
+    def __init__(self):
+        self.calls = []
+
+    def getListState(self, name, schema):
+        return _Held(self.calls)
+
+    def getValueState(self, name, schema):
+        held = _Held(self.calls)
+        held.rows = None
+        return held
+
+
+def test_calls_to_the_state_do_not_grow_with_the_edits():
+    handle, p = _Handle(), stateful.EditProcessor()
+    p.init(handle)
+    made = lambda seqs: [Row(seq=n, op="IU"[n > 0], t="Island", z=0, name=f"n{n}", geometry=f"g{n}", links=["b", "a"]) for n in seqs]
+    (last,) = p.handleInputRows(("k",), iter(made(range(0, 500, 2))), None)
+    few = len(handle.calls)
+    assert few <= 4 and (last.applied, last.geometry, last.links) == (250, "g498", ["a", "b"])
+    twice = [Row(**{**r.asDict(), "geometry": "a"}) for r in made([499])]  # of two edits with a number the smaller one counts
+    (last,) = p.handleInputRows(("k",), iter(made(range(1, 500, 2)) + twice + made(range(500))), None)
+    assert len(handle.calls) <= 2 * few and (last.version, last.applied, last.geometry) == (2, 500, "a")
+    (last,) = p.handleInputRows(("k",), iter(made([500])), None)
+    assert (last.version, last.applied, last.geometry) == (3, 501, "g500")
+
+
+def test_a_feed_is_written_by_many_tasks(spark):
+    edits = spark.range(4000).select(F.col("id").alias("seq"), F.lit("x").alias("identifier"))
+    for rows_, files in ((250_000, 1), (300, 4)):
+        feed, n = feed_of(spark, edits, rows=rows_)
+        assert n == files and len(spark.read.parquet(feed).inputFiles()) == 4 * files
+        assert rows(spark.read.parquet(feed), "seq", "identifier") == rows(edits)
+
+
 # ---------------------------------------------------------------- hierarchies
 
 def _brute_up(edges):

@@ -497,3 +497,21 @@ def test_jaccard_of_very_short_sets(spark):
     got = {r.doc_id: r.component_id for r in jaccard.link_components(docs, 1, 80).collect()}
     assert got == dict(enumerate(root))
     assert sum(r != i for i, r in enumerate(root)) > 200
+
+
+def test_words_are_split_as_they_are_matched(spark):
+    texts = ["", " ", "One two", "  One,TWO  3-four_", "Äpfel ÀB straße İI", "日本 x", "a\u0000B\u007fC\u0080D", "...", "ǅ K\u212a end.", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    both = df.select(decontaminate.word_list(F.col("text")).alias("a"), F.transform(
+        decontaminate.any_case_words(F.col("text")), decontaminate.small_letters).alias("b")).collect()
+    assert all(r.a == r.b for r in both)
+
+
+def test_only_ids_of_contaminated_documents_meet_the_rows(spark):
+    """What is contaminated is stored first: as a small table it is broadcast, and no text is shuffled."""
+    item = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(1, item.upper()), (2, "w1 w2"), (2, item), (None, None)], "doc_id long, text string")
+    out = decontaminate.decontaminate(docs, spark.createDataFrame([("b", item)], "item_id string, text string"))
+    assert sorted((tuple(r) for r in out.collect()), key=str) == [(2, "w1 w2"), (None, None)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ObjectHashAggregate" not in plan and "hashpartitioning" not in plan

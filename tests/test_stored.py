@@ -137,6 +137,88 @@ def test_triples_are_compared_by_their_hash_first(spark):
     assert "xxhash64" in gone._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _compared(monkeypatch):
+    """Predicates of the triples that are joined with those to delete."""
+    seen, delete = set(), R.delete_triples
+
+    def spied(triples, *a):
+        seen.update(r.p for r in triples.select("p").distinct().collect())
+        return delete(triples, *a)
+
+    monkeypatch.setattr(R, "delete_triples", spied)
+    return seen
+
+
+def test_edits_pass_other_predicates_as_they_lie(spark, monkeypatch):
+    """As joins on whole triples give them, with copies, NULL and re-inserted triples."""
+    g = _graph(spark, [_text("a", "p", "1"), _text("a", "p", "1"), _text("a", "q", "1"), _text("b", "q", "2", ""), _text("c", None, "3"),
+                       _iri("d", "r", "e"), _text("f", "s", "x"), _text("f", "s", "x")])
+    gone = _graph(spark, [_text("a", "p", "1"), _text("b", "q", "2"), _iri("d", "r", "e"), _text("n", "r", "n")])
+    new = _graph(spark, [_iri("d", "r", "e"), _text("f", "s", "x"), _text("f", "s", "y"), _text("f", "s", "y"), _text("a", "z", None)])
+    for extra in ([], [_text("c", None, "3")]):
+        gone_ = gone.unionByName(_graph(spark, extra))
+        wanted = rows(R.add_triples(R.delete_triples(g, gone_), new))
+        for stored in (False, True):
+            assert rows(K.edit(g, new, gone_, stored)) == wanted
+    assert rows(K.edit(g, new.limit(0), gone.limit(0))) == rows(g)
+    seen = _compared(monkeypatch)
+    K.edit(g, new.filter("p = 'z'"), gone, stored=False)
+    assert seen == {"p", "q", "r"}
+
+
+def test_terms_are_put_in_among_triples_of_terms_alone(spark, monkeypatch):
+    g = _graph(spark, [_iri("e", V.rdf_type, V.onto("Event")), _text("e", V.label, "new", "it"), _text("e", "other", "/search_term/")])
+    gone = S.term_triples(S.search_terms(_graph(spark, [_iri("e", V.rdf_type, V.onto("Event")), _text("e", V.label, "old", "it")]), "event"))
+    new = S.term_triples(S.search_terms(g, "event"))
+    up = K.Upkeep(gone, new, g.limit(0), K.term_predicates())
+    seen = _compared(monkeypatch)
+    done = up.apply(g.unionByName(gone))
+    assert seen == set(K.term_predicates())
+    assert _set(done) == _set(g.unionByName(new)) == _set(up.apply(g.unionByName(gone), stored=True))
+    assert rows(K.derived_terms(done), "label", "lang") == [("new", "it")]
+
+
+def test_absent_rows(spark):
+    g = _graph(spark, [_text("a", "p", "1"), _text("a", "p", "2", ""), _text(None, "p", None)])
+    new = _graph(spark, [_text("a", "p", "1"), _text("a", "p", "2"), _text("b", "p", "1"), _text(None, "p", None)])
+    assert rows(K.absent(new, g), "s", "o") == [("a", "2"), ("b", "1")]
+    assert rows(K.absent(new, g.limit(0))) == rows(new)
+
+
+# ---------------------------------------------------------------- frequent keys
+
+def test_frequent_keys_are_looked_up(spark):
+    links = spark.createDataFrame([(k, "hot") for k in range(20)] + [(20, "x"), (21, "x"), (22, None), (23, "none")], "item int, who string")
+    facts = spark.createDataFrame([("hot", "h"), ("x", "y"), ("x", "z"), (None, "n"), ("unused", "u")], "who string, v string")
+    for many in (1, 5, 100):
+        assert rows(R.join_frequent(links, facts, "who", many), "item", "v") == rows(links.join(facts, "who"), "item", "v")
+    assert rows(R.join_frequent(links.limit(0), facts, "who")) == []
+    plan = R.join_frequent(links.filter("who = 'hot'"), facts, "who", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1  # all keys are frequent: one small table is left
+
+
+def test_book_terms_with_frequent_keys(spark, monkeypatch):
+    """One author list from all works, dates of typed events alone, as before with every key looked up."""
+    lo, cr = V.c("E33_Linguistic_Object"), V.c("E65_Creation")
+    t = [_iri("a1", V.rdf_type, V.c("E39_Actor")), _text("a1", V.label, "Zoe"), _text("a2", V.label, "Ann"), _text("pl", V.label, "Rome"),
+         _iri("s", V.c("P1_is_identified_by"), "s/t"), _iri("s/t", V.c("P2_has_type"), V.kind("title")), _text("s/t", V.label, "Series"),
+         _iri("s", V.onto("has_broader_typology"), "ty"), _text("ty", V.label, "Typ")]
+    for b in ("b1", "b2", "b3"):
+        t += [_iri(b, V.rdf_type, V.onto("Source_Secondary")), _iri(b, V.onto("has_broader"), "s"),
+              _iri(b, V.c("P129i_is_subject_of"), b + "/w"), _iri(b + "/w", V.c("P94i_was_created_by"), b + "/c"),
+              _iri(b + "/c", V.c("P14_carried_out_by"), "a1"), _iri(b + "/c", V.c("P14_carried_out_by"), "a2"), _iri(b + "/w", V.rdf_type, lo),
+              _iri(b, V.frbroo + "R24i_was_created_through", b + "/p"), _iri(b + "/p", V.c("P7_took_place_at"), "pl"),
+              _iri(b + "/p", V.c("P4_has_time-span"), b + "/s"), _text(b + "/s", V.c("P82a_begin_of_the_begin"), "1900")]
+    t += [_iri("b1/c", V.rdf_type, cr), _iri("b2/c", V.rdf_type, cr), _iri("b2/p", V.rdf_type, V.frbroo + "F30_Publication_Event"),
+          _iri("b2/s", V.rdf_type, V.c("E52_Time-Span"))]
+    wanted = [("b1", "Ann, , Series, Rome, 1900 Zoe Typ"), ("b2", "Ann, , Series, Rome, 1900 Zoe Typ 1900"), ("b3", "Ann, , Series, Rome, 1900 Typ")]
+    g = _graph(spark, t)
+    assert rows(S.search_terms(g, "secondary_source"), "item", "label") == wanted
+    assert rows(S.search_terms(PR.property_table(g, stars.term_predicates(), most=1), "secondary_source"), "item", "label") == wanted
+    monkeypatch.setattr(R.join_frequent, "__defaults__", (1,))
+    assert rows(S.search_terms(g, "secondary_source"), "item", "label") == wanted
+
+
 # ---------------------------------------------------------------- property tables
 
 def _random_triples(rng, n):
